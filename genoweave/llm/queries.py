@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from genoweave.llm import mixing, packing, token_counts
+from genoweave.llm import jaccard_join, mixing, packing, token_counts
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -66,5 +66,28 @@ def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return df.select("doc_id", n_bytes.alias("n_bytes"), "n_tokens", (F.col("n_tokens") > 1024).alias("over_limit"))
 
 
-QUERIES: dict[str, Query] = {"op1_mix": op1_mix, "op5_pack": op5_pack, "op8_token_counts": op8_token_counts}
-ORACLE_SQL: dict[str, str] = {"op1_mix": OP1_SQL}
+
+
+def op6_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.jaccard_components(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+OP6_SQL = r"""
+WITH RECURSIVE words AS (
+  SELECT doc_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+sets AS (
+  SELECT doc_id, CASE WHEN coalesce(len(w), 0) = 0 THEN []::VARCHAR[] WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+         ELSE list_distinct([array_to_string(w[i:i + 4], ' ') FOR i IN range(1, len(w) - 3)]) END AS s FROM words),
+sized AS (SELECT doc_id, s, len(s)::BIGINT AS n FROM sets),
+shingles AS (SELECT doc_id, n, hash(x) AS x FROM (SELECT doc_id, n, unnest(s) AS x FROM sized)),
+links AS (
+  SELECT a.doc_id AS a, b.doc_id AS b FROM shingles a JOIN shingles b ON a.x = b.x AND a.doc_id <> b.doc_id AND 5 * least(a.n, b.n) >= 4 * greatest(a.n, b.n)
+  GROUP BY a.doc_id, b.doc_id, a.n, b.n HAVING 100 * count(*) >= 80 * (a.n + b.n - count(*))),
+reach(doc_id, other) AS (
+  SELECT doc_id, doc_id FROM sized UNION SELECT r.doc_id, l.b FROM reach r JOIN links l ON r.other = l.a)
+SELECT s.doc_id, s.n AS n_shingles, m.component_id FROM sized s JOIN (SELECT doc_id, min(other) AS component_id FROM reach GROUP BY doc_id) m USING (doc_id)
+"""
+
+
+QUERIES: dict[str, Query] = {"op1_mix": op1_mix, "op5_pack": op5_pack, "op6_jaccard": op6_jaccard, "op8_token_counts": op8_token_counts}
+ORACLE_SQL: dict[str, str] = {"op1_mix": OP1_SQL, "op6_jaccard": OP6_SQL}
