@@ -8,7 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from genoweave.llm import jaccard_join, mixing, packing, token_counts
+from genoweave.llm import jaccard_join, mixing, packing, quality, token_counts, toxicity
+from genoweave.llm.common import fold
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -55,6 +56,26 @@ FROM ranked
 """
 
 
+def _learned(labels: DataFrame, folds: int, held_out: int) -> DataFrame:
+    """The labels that may be learned from: those whose id isn't in the held-out fold."""
+    return labels.filter(fold(F.col("doc_id"), folds) != held_out)
+
+
+def _digest(scored: DataFrame, folds: int, held_out: int) -> DataFrame:
+    out = F.coalesce(fold(F.col("doc_id"), folds) == held_out, F.lit(False))
+    return scored.select("doc_id", out.alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
+def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = _table(spark, sf_dir, "documents").select("doc_id", "text"), _table(spark, sf_dir, "labels")
+    return _digest(quality.score(docs, quality.train(docs, _learned(labels, 3, 1))), 3, 1)
+
+
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = _table(spark, sf_dir, "documents").select("doc_id", "text"), _table(spark, sf_dir, "labels")
+    return _digest(toxicity.score(docs, *toxicity.learn(docs, _learned(labels, 5, 0))), 5, 0)
+
+
 def op5_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(_table(spark, sf_dir, "documents").select("doc_id", "text"), public_tokenizers.path("word_bpe_49k.json"))
 
@@ -89,5 +110,5 @@ SELECT s.doc_id, s.n AS n_shingles, m.component_id FROM sized s JOIN (SELECT doc
 """
 
 
-QUERIES: dict[str, Query] = {"op1_mix": op1_mix, "op5_pack": op5_pack, "op6_jaccard": op6_jaccard, "op8_token_counts": op8_token_counts}
+QUERIES: dict[str, Query] = {"op1_mix": op1_mix, "op3_quality": op3_quality, "op5_pack": op5_pack, "op6_jaccard": op6_jaccard, "op7_toxicity": op7_toxicity, "op8_token_counts": op8_token_counts}
 ORACLE_SQL: dict[str, str] = {"op1_mix": OP1_SQL, "op6_jaccard": OP6_SQL}
