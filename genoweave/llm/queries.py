@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from genoweave.llm import jaccard_join, mixing, packing, quality, token_counts, toxicity
+from genoweave.llm import jaccard_join, mixing, packing, quality, token_counts, toxicity, url_filter
 from genoweave.llm.common import fold
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -76,6 +76,10 @@ def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _digest(toxicity.score(docs, *toxicity.learn(docs, _learned(labels, 5, 0))), 5, 0)
 
 
+def op2_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.judge(_table(spark, sf_dir, "pages").select("page_id", "url")).select("page_id", "host", "path", "rule", "verdict", "score")
+
+
 def op5_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(_table(spark, sf_dir, "documents").select("doc_id", "text"), public_tokenizers.path("word_bpe_49k.json"))
 
@@ -110,5 +114,5 @@ SELECT s.doc_id, s.n AS n_shingles, m.component_id FROM sized s JOIN (SELECT doc
 """
 
 
-QUERIES: dict[str, Query] = {"op1_mix": op1_mix, "op3_quality": op3_quality, "op5_pack": op5_pack, "op6_jaccard": op6_jaccard, "op7_toxicity": op7_toxicity, "op8_token_counts": op8_token_counts}
+QUERIES: dict[str, Query] = {"op1_mix": op1_mix, "op2_urls": op2_urls, "op3_quality": op3_quality, "op5_pack": op5_pack, "op6_jaccard": op6_jaccard, "op7_toxicity": op7_toxicity, "op8_token_counts": op8_token_counts}
 ORACLE_SQL: dict[str, str] = {"op1_mix": OP1_SQL, "op6_jaccard": OP6_SQL}
