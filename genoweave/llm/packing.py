@@ -11,16 +11,20 @@ window more.
 from __future__ import annotations
 
 import heapq
+import struct
 import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
 from genoweave.llm.common import common_only
 
+#: How the tokenizer splits lower-cased text before its merges (the published pattern of its file); bounds of the caches.
+PRE_TOKEN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 CACHE_ENTRIES, CACHE_CHARS = 300_000, 64
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
 
@@ -81,36 +85,58 @@ def pack_sizes(sizes: list[int], capacity: int) -> list[list[int]]:
         windows += 1
 
 
+class Cache(dict):
+    """A dictionary of two generations: when the young one is full it becomes the old one, whose entries come back when
+    they are asked for. So what is frequent stays, and at most twice ``entries`` are held."""
+
+    def __init__(self, entries: int, make):
+        self.entries, self.make, self.old = entries, make, {}
+
+    def __missing__(self, key):
+        found = self.old.get(key)
+        if found is None:
+            found = self.make(key)
+        if len(key) <= CACHE_CHARS:
+            if len(self) >= self.entries:
+                self.old = dict(self)
+                self.clear()
+            self[key] = found
+        return found
+
+
 class WordIds:
-    """Token ids of whole texts as little-endian unsigned 32-bit bytes, by a bounded cache over words.
+    """Token ids of whole texts as little-endian unsigned 32-bit bytes, by bounded caches over words and pre-tokens.
 
-    The tokenizer drops white space and never merges across it, so a text's ids are those of its words.
+    The tokenizer drops white space and never merges across it, so a text's ids are those of its words, and a word's
+    those of its pre-tokens, which the library's own merge model gives. Texts with special strings or rare characters go
+    to the library whole.
     """
 
     def __init__(self, path: str):
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
         self.library = Tokenizer.from_file(path)
         self.added = tuple(t.content for t in self.library.get_added_tokens_decoder().values())
-        self.cache: dict[str, bytes] = {}
+        self.find = regex.compile(PRE_TOKEN).findall
+        self.merge, self.as_bytes = self.library.model.tokenize, pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False).pre_tokenize_str
+        self.pre_tokens = Cache(CACHE_ENTRIES, self._merged)
+        self.words = Cache(CACHE_ENTRIES, self._word)
+
+    def _merged(self, piece: str) -> bytes:
+        form = piece if piece.isascii() else self.as_bytes(piece)[0][0]
+        return struct.pack(f"<{len(found := self.merge(form))}I", *[t.id for t in found])
+
+    def _word(self, word: str) -> bytes:
+        of = self.pre_tokens
+        return b"".join([of[x] for x in self.find(word.lower())])
 
     def ids(self, text: str | None) -> bytes:
         if not text:
             return b""
         if any(a in text for a in self.added) or not common_only(text):
             return np.asarray(self.library.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
-        words, cache = text.split(), self.cache
-        try:
-            return b"".join([cache[w] for w in words])
-        except KeyError:
-            pass
-        missing = list({w for w in words if w not in cache})
-        found = {w: np.asarray(e.ids, "<u4").tobytes() for w, e in zip(missing, self.library.encode_batch(missing, add_special_tokens=False), strict=True)}
-        out = b"".join([found[w] if w in found else cache[w] for w in words])
-        if len(cache) + len(found) > CACHE_ENTRIES:
-            cache.clear()
-        cache.update((w, x) for w, x in found.items() if len(w) <= CACHE_CHARS)
-        return out
+        of = self.words
+        return b"".join([of[w] for w in text.split()])
 
 
 _WORKER: dict[str, WordIds] = {}
