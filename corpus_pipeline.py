@@ -2,11 +2,45 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from genoweave.llm import common
+from genoweave.llm import common, jaccard_join, mixing, packing, quality, queries, toxicity
 
-STAGES: list = []
+
+def _labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/labels.parquet")
+
+
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The documents that the toxicity grammar doesn't reject (score below 0.5), learned as in op7."""
+    insults, calibration = toxicity.learn(docs, queries.learned(_labels(spark, sf_dir), 5, 0))
+    return toxicity.score(docs, insults, calibration, out="_score").filter(F.col("_score") < 0.5).select(*docs.columns)
+
+
+def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The documents that the quality classifier accepts (score of 0.5 or more), trained as in op3."""
+    weights = quality.train(docs, queries.learned(_labels(spark, sf_dir), 3, 1))
+    return quality.score(docs, weights, out="_score").filter(F.col("_score") >= 0.5).select(*docs.columns)
+
+
+def keep_distinct(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group that the n-gram Jaccard join links, that of the least id."""
+    return jaccard_join.keep_one(docs)
+
+
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The documents as often as the mix of sources takes them."""
+    return mixing.mix(docs)
+
+
+def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of all documents in sequences of at most 2048 tokens."""
+    return packing.pack(docs, public_tokenizers.path("word_bpe_49k.json"))
+
+
+STAGES = [("toxicity", drop_toxic), ("quality", keep_quality), ("near_duplicates", keep_distinct), ("mixing", mix_sources), ("packing", pack_sequences)]
 
 #: SQL can't express these stages.
 ORACLE_SQL = None

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from genoweave.llm import jaccard_join, mixing, packing, quality, token_counts, toxicity, url_filter
+from genoweave.llm import html_text, jaccard_join, mixing, packing, quality, token_counts, toxicity, url_filter, vector_search
 from genoweave.llm.common import fold
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -56,7 +56,7 @@ FROM ranked
 """
 
 
-def _learned(labels: DataFrame, folds: int, held_out: int) -> DataFrame:
+def learned(labels: DataFrame, folds: int, held_out: int) -> DataFrame:
     """The labels that may be learned from: those whose id isn't in the held-out fold."""
     return labels.filter(fold(F.col("doc_id"), folds) != held_out)
 
@@ -68,12 +68,12 @@ def _digest(scored: DataFrame, folds: int, held_out: int) -> DataFrame:
 
 def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = _table(spark, sf_dir, "documents").select("doc_id", "text"), _table(spark, sf_dir, "labels")
-    return _digest(quality.score(docs, quality.train(docs, _learned(labels, 3, 1))), 3, 1)
+    return _digest(quality.score(docs, quality.train(docs, learned(labels, 3, 1))), 3, 1)
 
 
 def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = _table(spark, sf_dir, "documents").select("doc_id", "text"), _table(spark, sf_dir, "labels")
-    return _digest(toxicity.score(docs, *toxicity.learn(docs, _learned(labels, 5, 0))), 5, 0)
+    return _digest(toxicity.score(docs, *toxicity.learn(docs, learned(labels, 5, 0))), 5, 0)
 
 
 def op2_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -114,5 +114,34 @@ SELECT s.doc_id, s.n AS n_shingles, m.component_id FROM sized s JOIN (SELECT doc
 """
 
 
-QUERIES: dict[str, Query] = {"op1_mix": op1_mix, "op2_urls": op2_urls, "op3_quality": op3_quality, "op5_pack": op5_pack, "op6_jaccard": op6_jaccard, "op7_toxicity": op7_toxicity, "op8_token_counts": op8_token_counts}
-ORACLE_SQL: dict[str, str] = {"op1_mix": OP1_SQL, "op6_jaccard": OP6_SQL}
+def op4_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_search.exact_top_k(_table(spark, sf_dir, "embeddings"), F.col("id") % 50 == 0)
+
+
+OP4_SQL = """
+WITH v AS (
+  SELECT vec_id, [floor(256 * x::DOUBLE)::BIGINT FOR x IN embedding] AS e FROM embeddings
+  WHERE vec_id IS NOT NULL AND len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+pairs AS (
+  SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.e::DOUBLE[], c.e::DOUBLE[])::BIGINT AS score
+  FROM v q JOIN v c ON q.vec_id % 50 = 0 AND c.vec_id <> q.vec_id AND len(c.e) = len(q.e)),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank FROM pairs)
+SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5
+"""
+
+
+def op9_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_search.nearest(_table(spark, sf_dir, "embeddings"), F.col("id") % 20 == 0)
+
+
+def op10_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = _table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    df = html_text.extract(pages, html_text.learn(pages))
+    return df.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
+QUERIES: dict[str, Query] = {
+    "op1_mix": op1_mix, "op2_urls": op2_urls, "op3_quality": op3_quality, "op4_exact_top_k": op4_exact_top_k, "op5_pack": op5_pack, "op6_jaccard": op6_jaccard,
+    "op7_toxicity": op7_toxicity, "op8_token_counts": op8_token_counts, "op9_nearest": op9_nearest, "op10_main_text": op10_main_text,
+}
+ORACLE_SQL: dict[str, str] = {"op1_mix": OP1_SQL, "op4_exact_top_k": OP4_SQL, "op6_jaccard": OP6_SQL}

@@ -171,7 +171,7 @@ def learn(docs: DataFrame, labels: DataFrame, *, target: str = "toxic", sample:
     """Insult patterns with weights, and the calibration (constant and a factor for each of ``FEATURES``).
 
     Both come from one bounded sample of labelled rows; ``terms`` bounds the patterns. Without labels of both kinds
-    there are no patterns, and the score is the share of toxic labels.
+    there are no patterns, and every score is about the share of toxic labels, near 0 without any.
     """
     rows = stage(sampled(docs, labels, target, sample).filter("y IN (0, 1)"), "labelled")
     counts = {r.y: r.n for r in rows.groupBy("y").agg(F.count("*").alias("n")).collect()}
@@ -186,6 +186,8 @@ def learn(docs: DataFrame, labels: DataFrame, *, target: str = "toxic", sample:
         odds = F.log((F.col("a") + 0.5) / (toxic + 1.0)) - F.log((F.col("b") + 0.5) / (other + 1.0))
         found = seen.groupBy("p").agg(count(1).alias("a"), count(0).alias("b")).filter(F.col("a") >= support).select("p", odds.alias("v")).filter(F.col("v") >= least)
         insults = {r.p: r.v for r in found.orderBy(F.desc("v"), "p").limit(terms).collect()}
+    if not (toxic and other):
+        return insults, np.array([math.log((toxic + 0.5) / (other + 1.0)) if toxic or other else -5.0, *[0.0] * len(FEATURES)])
     matcher = Matcher(insults)
 
     @F.pandas_udf(", ".join(f"{x} double" for x in FEATURES))
