@@ -8,8 +8,9 @@ score is the sum of the weights along its path; a document's score is a calibrat
 clauses: the highest, their number and sum, and their share of the text. So matched clauses count, not isolated words.
 
 Insults are patterns with weights: whole words, or beginnings of words, so that inflected forms of a stem match. They
-are learned from labels, as log odds of occurring in toxic against other documents; occurrences are counted in
-distinct contexts (the words before and after), so copies of one document count once. Small lists give the other tags.
+are learned from labels, as log odds of occurring in toxic against other documents, each distinct form in a document
+counting once. Labelled documents that share the least hash of three words in a row are taken as copies, of which one
+is learned from. Small lists give the other tags.
 """
 
 from __future__ import annotations
@@ -173,18 +174,20 @@ def learn(docs: DataFrame, labels: DataFrame, *, target: str = "toxic", sample:
     Both come from one bounded sample of labelled rows; ``terms`` bounds the patterns. Without labels of both kinds
     there are no patterns, and every score is about the share of toxic labels, near 0 without any.
     """
-    rows = stage(sampled(docs, labels, target, sample).filter("y IN (0, 1)"), "labelled")
+    words = F.filter(F.split(F.lower(F.coalesce("text", F.lit(""))), r"[^\p{L}\p{N}]+"), lambda w: w != "")
+    rows = sampled(docs, labels, target, sample).filter("y IN (0, 1)").withColumn("w", words)
+    triples = F.transform(F.sequence(F.lit(0), F.greatest(F.size("w") - 3, F.lit(0))), lambda i: F.xxhash64(F.get("w", i), F.get("w", i + 1), F.get("w", i + 2)))
+    rows = stage(rows.withColumn("sketch", F.array_min(triples)).groupBy("y", "sketch").agg(F.min("text").alias("text"), F.min("w").alias("w")), "labelled")
     counts = {r.y: r.n for r in rows.groupBy("y").agg(F.count("*").alias("n")).collect()}
     toxic, other = counts.get(1, 0), counts.get(0, 0)
     insults: dict[str, float] = {}
     if toxic and other:
-        words = rows.withColumn("w", F.split(F.lower(F.coalesce("text", F.lit(""))), r"[^\p{L}\p{N}]+")).select("y", "w", F.posexplode("w").alias("i", "word")).filter("word <> ''")
-        context = words.select("y", "word", F.xxhash64(F.get("w", F.col("i") - 1), F.get("w", F.col("i") + 1)).alias("c"))
+        of = lambda y: F.count_if(F.col("y") == y)
+        forms = rows.select("y", F.explode(F.array_distinct("w")).alias("word")).groupBy("word").agg(of(1).alias("a"), of(0).alias("b"))
         parts = F.array(*[F.when(F.length("word") >= k, F.substring("word", 1, k)) for k in STEMS], F.concat(F.lit("="), "word"))
-        seen = context.distinct().select("y", "c", F.explode(F.array_compact(parts)).alias("p"))
-        count = lambda y: F.countDistinct(F.when(F.col("y") == y, F.col("c")))
+        seen = forms.select("a", "b", F.explode(F.array_compact(parts)).alias("p")).groupBy("p").agg(F.sum("a").alias("a"), F.sum("b").alias("b"))
         odds = F.log((F.col("a") + 0.5) / (toxic + 1.0)) - F.log((F.col("b") + 0.5) / (other + 1.0))
-        found = seen.groupBy("p").agg(count(1).alias("a"), count(0).alias("b")).filter(F.col("a") >= support).select("p", odds.alias("v")).filter(F.col("v") >= least)
+        found = seen.filter(F.col("a") >= support).select("p", odds.alias("v")).filter(F.col("v") >= least)
         insults = {r.p: r.v for r in found.orderBy(F.desc("v"), "p").limit(terms).collect()}
     if not (toxic and other):
         return insults, np.array([math.log((toxic + 0.5) / (other + 1.0)) if toxic or other else -5.0, *[0.0] * len(FEATURES)])
