@@ -25,7 +25,7 @@ from genoweave.llm.common import common_only
 
 #: How the tokenizer splits lower-cased text before its merges (the published pattern of its file); bounds of the caches.
 PRE_TOKEN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
-CACHE_ENTRIES, CACHE_CHARS = 300_000, 64
+CACHE_ENTRIES, CACHE_CHARS = 300_000, 64  # words have twice as many
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
 
 
@@ -120,7 +120,7 @@ class WordIds:
         self.find = regex.compile(PRE_TOKEN).findall
         self.merge, self.as_bytes = self.library.model.tokenize, pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False).pre_tokenize_str
         self.pre_tokens = Cache(CACHE_ENTRIES, self._merged)
-        self.words = Cache(CACHE_ENTRIES, self._word)
+        self.words = Cache(2 * CACHE_ENTRIES, self._word)
 
     def _merged(self, piece: str) -> bytes:
         form = piece if piece.isascii() else self.as_bytes(piece)[0][0]
@@ -128,6 +128,10 @@ class WordIds:
 
     def _word(self, word: str) -> bytes:
         of = self.pre_tokens
+        if word.isalpha():  # letters alone are one pre-token, and so is a last mark
+            return of[word.lower()]
+        if word[-1] in ".,;:!?" and word[:-1].isalpha():
+            return of[word[:-1].lower()] + of[word[-1]]
         return b"".join([of[x] for x in self.find(word.lower())])
 
     def ids(self, text: str | None) -> bytes:
