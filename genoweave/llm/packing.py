@@ -29,38 +29,43 @@ CACHE_ENTRIES, CACHE_CHARS = 300_000, 64  # words have twice as many
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
 
 
+_NODE = 32  # bits of an entry for its node; the sum is above them
+
+
 def differencing(sizes: list[int], windows: int) -> list[list[int]]:
     """Deal items to windows with near-equal sums; returns the item numbers of each window.
 
-    A partial partition is a vector of window sums, largest first, less its smallest entry, and for each window a node
-    of a binary tree over items. Ties are broken by the order of creation, so results are repeatable.
+    A partial partition is a list of its windows that hold items, largest sum first, less the smallest sum of all windows
+    (0 while some are empty). A window is one number, its sum and a node of a binary tree over items. Ties are broken by the
+    order of creation, so results are repeatable.
     """
     n = len(sizes)
     left, right = [], []  # of inner nodes, which are numbered from n
-    heap = []
-    for i, x in enumerate(sizes):
-        sums, node = np.zeros(windows, np.int64), np.full(windows, -1, np.int64)
-        sums[0], node[0] = x, i
-        heap.append((-x if windows > 1 else 0, i, sums, node))
+    low = (1 << _NODE) - 1
+    heap = [(-x if windows > 1 else 0, i, [x << _NODE | i]) for i, x in enumerate(sizes)]
     heapq.heapify(heap)
     tick = n
     while len(heap) > 1:
-        _, _, s, a = heapq.heappop(heap)
-        _, _, t, b = heapq.heappop(heap)
-        s, t, b = s + t[::-1], None, b[::-1]
-        both = np.flatnonzero((a >= 0) & (b >= 0))
-        node = np.where(a >= 0, a, b)
-        node[both] = n + len(left) + np.arange(len(both))
-        left += a[both].tolist()
-        right += b[both].tolist()
-        order = np.argsort(-s, kind="stable")
-        s, node = s[order], node[order]
-        s = s - s[-1]
-        heapq.heappush(heap, (-int(s[0]), tick, s, node))
+        _, _, a = heapq.heappop(heap)
+        _, _, b = heapq.heappop(heap)
+        alone_a, alone_b = windows - len(b), windows - len(a)  # windows of one that meet an empty one of the other
+        if alone_a >= len(a):
+            c = a + b
+        else:
+            c = a[:alone_a] + b[:alone_b]
+            for x, y in zip(a[alone_a:], reversed(b[alone_b:]), strict=True):
+                c.append((x >> _NODE) + (y >> _NODE) << _NODE | n + len(left))
+                left.append(x & low)
+                right.append(y & low)
+        c.sort(reverse=True)
+        if len(c) == windows and (least := c[-1] >> _NODE):
+            least <<= _NODE
+            c = [x - least for x in c]
+        heapq.heappush(heap, (-(c[0] >> _NODE), tick, c))
         tick += 1
     out = []
-    for top in heap[0][3].tolist() if heap else []:
-        items, open_ = [], [top] if top >= 0 else []
+    for top in heap[0][2] if heap else []:
+        items, open_ = [], [top & low]
         while open_:
             x = open_.pop()
             if x < n:
@@ -68,7 +73,7 @@ def differencing(sizes: list[int], windows: int) -> list[list[int]]:
             else:
                 open_ += (right[x - n], left[x - n])
         out.append(sorted(items))
-    return out
+    return out + [[] for _ in range(windows - len(out))]
 
 
 def pack_sizes(sizes: list[int], capacity: int) -> list[list[int]]:
@@ -96,11 +101,12 @@ class Cache(dict):
         found = self.old.get(key)
         if found is None:
             found = self.make(key)
-        if len(key) <= CACHE_CHARS:
-            if len(self) >= self.entries:
-                self.old = dict(self)
-                self.clear()
-            self[key] = found
+            if len(key) > CACHE_CHARS:
+                return found
+        if len(self) >= self.entries:
+            self.old = dict(self)
+            self.clear()
+        self[key] = found
         return found
 
 
@@ -139,8 +145,7 @@ class WordIds:
             return b""
         if any(a in text for a in self.added) or not common_only(text):
             return np.asarray(self.library.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
-        of = self.words
-        return b"".join([of[w] for w in text.split()])
+        return b"".join(map(self.words.__getitem__, text.split()))
 
 
 _WORKER: dict[str, WordIds] = {}
