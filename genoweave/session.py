@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import tempfile
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -24,3 +26,20 @@ def checkpointed(df: DataFrame) -> DataFrame:
     """The rows, written to the shared folder, with a short lineage."""
     with_checkpoints(df.sparkSession)
     return df.checkpoint()
+
+
+_SHIPPED: set[str] = set()
+
+
+def ship(spark: SparkSession) -> SparkSession:
+    """Give the package to the Python workers of this application, wherever they run and whatever their path is."""
+    context = spark.sparkContext
+    if context.applicationId not in _SHIPPED:
+        root = Path(__file__).resolve().parent
+        target = Path(tempfile.mkdtemp(prefix="genoweave-")) / "genoweave_package.zip"
+        with zipfile.ZipFile(target, "w") as z:
+            for f in sorted(root.rglob("*.py")):
+                z.write(f, f.relative_to(root.parent))
+        context.addPyFile(str(target))
+        _SHIPPED.add(context.applicationId)
+    return spark
