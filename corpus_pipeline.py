@@ -13,16 +13,25 @@ def _labels(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/labels.parquet")
 
 
+def _free(docs: DataFrame, name: str) -> str:
+    """A column name that the documents don't have."""
+    while name in docs.columns:
+        name += "_"
+    return name
+
+
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents that the toxicity grammar doesn't reject (score below 0.5), learned as in op7."""
     insults, calibration = toxicity.learn(docs, queries.learned(_labels(spark, sf_dir), 5, 0))
-    return toxicity.score(docs, insults, calibration, out="_score").filter(F.col("_score") < 0.5).select(*docs.columns)
+    score = _free(docs, "score")
+    return toxicity.score(docs, insults, calibration, out=score).filter(F.col(score) < 0.5).select(*docs.columns)
 
 
 def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents that the quality classifier accepts (score of 0.5 or more), trained as in op3."""
     weights = quality.train(docs, queries.learned(_labels(spark, sf_dir), 3, 1))
-    return quality.score(docs, weights, out="_score").filter(F.col("_score") >= 0.5).select(*docs.columns)
+    score = _free(docs, "score")
+    return quality.score(docs, weights, out=score).filter(F.col(score) >= 0.5).select(*docs.columns)
 
 
 def keep_distinct(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

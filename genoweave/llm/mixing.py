@@ -21,10 +21,11 @@ CAP, WEIGHTS, SEED = 3, (1, 2, 3), 42
 
 
 def _sized(docs: DataFrame) -> DataFrame:
-    """Adds the size, its class of 16 steps an octave, the hash bucket and a source key without nulls."""
+    """Adds the size, its class of 16 steps an octave, the hash bucket, a tie-break and a source key without nulls."""
     df = docs.withColumn("_size", n_words(F.col("text")))
     df = df.withColumn("_cls", F.expr("CASE WHEN _size < 16 THEN _size ELSE 16L * (length(bin(_size)) - 1) + shiftright(_size, length(bin(_size)) - 5) END"))
-    return df.withColumn("_bucket", F.substring(F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))), 1, 2)).withColumn("_key", F.when(F.col("source").isNull(), "").otherwise(F.concat(F.lit("="), "source")))
+    df = df.withColumn("_bucket", F.substring(F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))), 1, 2)).withColumn("_tie", F.xxhash64("text"))
+    return df.withColumn("_key", F.when(F.col("source").isNull(), "").otherwise(F.concat(F.lit("="), "source")))
 
 
 def targets(totals: DataFrame, *, cap: int = CAP, weights: tuple[int, ...] = WEIGHTS) -> DataFrame:
@@ -57,21 +58,31 @@ def copies(docs: DataFrame, *, cap: int = CAP, weights: tuple[int, ...] = WEIGHT
     target 0 and no copies. A null source is a source of its own, the last. Rows that repeat are sampled one by one.
     Extra columns are kept; those named as the added ones are replaced. An empty table stays empty.
     """
-    docs = docs.drop("size", "source_size", "target", "copies")
-    counts = _sized(docs.select("doc_id", "text", "source")).groupBy("_key", "_cls", "_bucket").agg(F.count("*").alias("_n"), F.sum("_size").alias("_words"), F.first("source").alias("source"))
+    given = [c for c in docs.columns if c not in ("size", "source_size", "target", "copies")]
+    needed = ("doc_id", "text", "source")
+    inner = {c: c if c in needed else f"given{i}" for i, c in enumerate(given)}  # so that no name can clash
+    docs = docs.select(*[F.col(f"`{c}`").alias(inner[c]) for c in given])
+    counts = _sized(docs.select(*needed)).groupBy("_key", "_cls", "_bucket").agg(F.count("*").alias("_n"), F.sum("_size").alias("_words"), F.first("source").alias("source"))
     totals = counts.groupBy("_key", "source").agg(F.sum("_words").alias("source_size"))
     before = Window.partitionBy("_key").orderBy("_cls", "_bucket").rowsBetween(Window.unboundedPreceding, 0)
     places = counts.withColumn("_before", F.sum("_n").over(before) - F.col("_n")).select("_key", "_cls", "_bucket", "_before")
     offset = F.conv(F.substring(F.md5(F.concat(F.lit(f"{seed}:"), "_key")), 1, 8), 16, 10).cast("double") / 4294967296.0
     rate = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0)
     places = places.join(targets(totals, cap=cap, weights=weights).drop("source"), "_key").withColumn("_rate", rate).withColumn("_offset", offset)
-    inside = Window.partitionBy("_key", "_cls", "_bucket").orderBy("_size", "doc_id", F.xxhash64("text"))
+    inside = Window.partitionBy("_key", "_cls", "_bucket").orderBy("_size", "doc_id", "_tie")
     df = _sized(docs).join(places, ["_key", "_cls", "_bucket"]).withColumn("_rank", F.col("_before") + F.row_number().over(inside))
     edge = lambda rank: F.floor(rank.cast("double") * F.col("_rate") + F.col("_offset"))
     df = df.withColumn("copies", edge(F.col("_rank")) - edge(F.col("_rank") - 1)).withColumn("size", F.col("_size"))
-    return df.select(*docs.columns, "size", "source_size", "target", "copies")
+    return df.select(*[F.col(inner[c]).alias(c) for c in given], "size", "source_size", "target", "copies")
 
 
 def mix(docs: DataFrame, **how) -> DataFrame:
-    """The mixed corpus itself: each document repeated as often as it is copied, with its own columns."""
-    return copies(docs, **how).withColumn("_copy", F.explode(F.array_repeat(F.lit(True), F.col("copies").cast("int")))).select(*docs.columns)
+    """The mixed corpus itself: each document repeated as often as it is copied, with its own columns.
+
+    Columns named as those that ``copies`` adds are kept as well.
+    """
+    names = docs.columns
+    inner = [c if c in ("doc_id", "text", "source") else f"own{i}" for i, c in enumerate(names)]
+    found = copies(docs.toDF(*inner), **how)
+    rows = found.select(*inner, F.explode(F.array_repeat(F.lit(True), F.col("copies").cast("int"))).alias("_copy"))
+    return rows.select(*[F.col(i).alias(c) for i, c in zip(inner, names, strict=True)])

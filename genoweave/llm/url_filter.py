@@ -92,8 +92,10 @@ def judge(urls: DataFrame, *, url: str = "url", rules=RULES) -> DataFrame:
     reject none to learn from. Repeated rows are judged alike; an empty table stays empty. Columns of the added names
     are replaced.
     """
-    kept = [c for c in urls.columns if c not in ("host", "path", "rule", "score", "verdict")]
-    base = ruled(parsed(urls.select(*kept), url), rules)
+    given = [c for c in urls.columns if c not in ("host", "path", "rule", "score", "verdict")]
+    kept = [f"given{i}" for i in range(len(given))]  # so that no name can clash
+    url = kept[given.index(url)]
+    base = ruled(parsed(urls.select(*[F.col(f"`{c}`").alias(k) for c, k in zip(given, kept, strict=True)]), url), rules)
     held = F.pmod(F.xxhash64(url), F.lit(10)) == 0
     each = base.select(F.explode(windows(symbols(F.col(url)))).alias("w"), "ruling", held.alias("held"))
     each = stage(each.groupBy("w", "ruling", "held").agg(F.count("*").alias("n")), "windows")
@@ -108,4 +110,4 @@ def judge(urls: DataFrame, *, url: str = "url", rules=RULES) -> DataFrame:
     (a, sa), (b, sb) = law.get("allow", (0.0, 1.0)), law.get("block", (0.0, 1.0))
     least = (a * sb + b * sa) / (sa + sb) if len(law) == 2 else float("-inf")
     verdict = F.coalesce("ruling", F.when(F.col("score") < least, "block").otherwise("allow"))
-    return sums.select(*kept, "host", "path", "rule", "score", verdict.alias("verdict"))
+    return sums.select(*[F.col(k).alias(c) for c, k in zip(given, kept, strict=True)], "host", "path", "rule", "score", verdict.alias("verdict"))

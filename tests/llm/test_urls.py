@@ -6,6 +6,8 @@ import math
 import re
 from collections import Counter
 
+from pyspark.sql import functions as F
+
 from genoweave.llm import url_filter as U
 
 ODD = [
@@ -27,7 +29,7 @@ def plain(url: str | None) -> tuple:
 
 def test_rules_and_models(spark):
     urls = ODD + [f"http://{h}.{d}/{lang}/{i}" for i in range(60) for h, d, lang in (("good" + "ab"[i % 2], "org", "en"), ("spam" + "xy"[i % 2], "com", "de"), ("fine", "com", "fr"), ("spamx", "net", "en"), ("gooda", "net", "en"))]
-    df = spark.createDataFrame([(i, u, "clash") for i, u in enumerate(urls)], "page_id long, url string, host string").repartition(4)
+    df = spark.createDataFrame([(i, u, "clash") for i, u in enumerate(urls)], "page_id long, url string, host string").withColumns({"ruling": F.lit("x"), "w": F.lit(1), "_id": F.lit(2), "gain": F.lit(3)}).repartition(4)
     found = {r.page_id: r for r in U.judge(df).collect()}
     assert len(found) == len(urls)
     held = {r.page_id: r.h for r in df.selectExpr("page_id", "pmod(xxhash64(url), 10) = 0 AS h").collect()}
