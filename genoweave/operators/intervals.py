@@ -39,7 +39,8 @@ def max_runs(df: DataFrame, keys: Sequence[str], *, bin_size: int = 1, tile: int
 
     Input may be in any order. With ``bin_size`` over 1, intervals grow to whole bins, and an empty one takes the bin
     that it lies in; with 1 an empty one counts nothing. Values of 0 or less count nothing. Runs that a tile's border
-    cuts are joined again by one window over border runs alone, two for each tile at most.
+    cuts are joined again by one window in which a key's border runs, two for each tile at most, lie together and all
+    other runs stay with their tile. So there are two exchanges: of the parts, and of the runs.
     """
     df = df.select(*keys, F.col(start).cast("long").alias("start"), F.col(end).cast("long").alias("end"), F.col(value).alias("value")).filter("value > 0")
     if bin_size > 1:
@@ -47,12 +48,15 @@ def max_runs(df: DataFrame, keys: Sequence[str], *, bin_size: int = 1, tile: int
         df = df.withColumns({"start": low, "end": F.greatest(F.ceil(F.col("end") / bin_size), low + 1)})
     at = [*keys, "tile"]
     parts = clipped(df, tile).repartition(*at).groupBy(*at, "start", "end").agg(F.max("value").alias("value"))
-    points = parts.select(*at, F.explode(F.array("start", "end")).alias("s")).groupBy(*at, "s").agg(F.count("*").alias("_n"))
-    spans = points.withColumn("e", F.lead("s").over(Window.partitionBy(*at).orderBy("s"))).filter("e IS NOT NULL").drop("_n")
-    held = spans.join(parts, at).filter("start <= s AND end >= e").groupBy(*at, "s", "e").agg(F.max("value").alias("value"))
-    runs = _islands(held.select(*at, F.col("s").alias("start"), F.col("e").alias("end"), "value"), at).drop("tile")
+    # every part of a tile gets the tile's sorted borders, as many as a tile has positions at most
+    inside = Window.partitionBy(*at)
+    borders = F.array_sort(F.array_union(F.collect_set("start").over(inside), F.collect_set("end").over(inside)))
+    parts = parts.withColumn("_all", borders).withColumn("_at", F.filter("_all", lambda x: (x >= F.col("start")) & (x <= F.col("end"))))
+    spans = F.transform(F.slice("_at", 1, F.size("_at") - 1), lambda x, i: F.struct(x.alias("s"), F.get("_at", i + 1).alias("e")))
+    held = parts.select(*at, "value", F.explode(spans).alias("_x")).groupBy(*at, F.col("_x.s").alias("start"), F.col("_x.e").alias("end")).agg(F.max("value").alias("value"))
+    runs = _islands(held, at)
     border = (F.pmod("start", F.lit(tile)) == 0) | (F.pmod("end", F.lit(tile)) == 0)
-    runs = runs.filter(~border).unionByName(_islands(runs.filter(border), keys))
+    runs = _islands(runs.withColumn("_place", F.when(border, -1).otherwise(F.col("tile"))).drop("tile"), [*keys, "_place"])
     if bin_size > 1:
         runs = runs.withColumns({"start": F.col("start") * bin_size, "end": F.col("end") * bin_size})
     return runs.select(*keys, "start", "end", "value")
