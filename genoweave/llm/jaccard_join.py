@@ -14,9 +14,10 @@ A set joins the next lower band too if a set there can be large enough. (A set w
 D + 1 hold anything could lose a link; with 64 shingles and more the odds are below 1e-15, as for a hash collision.)
 
 Candidates are verified on the words themselves. Groups of copies are never expanded to pairs: in each bucket all
-members are first held against the least one, and of these pairs each document verifies the one with most shared buckets.
-Only buckets that then still hold more than one component have the rest compared, outliers against all, in blocks of
-bounded size, by compact sketches; what their Hamming distance can't exclude is verified as well.
+members are first held against the one that shares most buckets overall, and of these pairs each document verifies that with
+most shared buckets, then the others if they lie across components. Only buckets that still hold more than one
+component have the rest compared, outliers against all, in blocks of bounded size, by compact sketches: first an outlier's
+nearest member of each component is verified, then whatever else the Hamming distance can't exclude.
 """
 
 from __future__ import annotations
@@ -159,19 +160,22 @@ def sketches(docs: DataFrame) -> DataFrame:
     return docs.select("doc_id", F.xxhash64("text").alias("text_hash"), "text").mapInArrow(run, f"node long, doc_id {kind}, text_hash long, n long, print binary, dense binary, leader long, keys array<long>")
 
 
-def _stars(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows sorted by (key, node) become (key, first node of the key, other node); memory is that of one batch."""
-    last, hub = None, None
+def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Of rows sorted by key, those whose key another row has too; memory is that of one batch."""
+    held, met = None, False  # the last row, and whether its key was met before it
     for b in batches:
         key, node = b.column(0).to_numpy(), b.column(1).to_numpy()
         if not len(key):
             continue
-        first = np.concatenate(([key[0] != last], key[1:] != key[:-1]))
-        at = np.maximum.accumulate(np.where(first, np.arange(len(key)), -1))
-        hubs = np.where(at >= 0, node[at], hub if hub is not None else 0)
-        other = hubs != node
-        last, hub = key[-1], hubs[-1]
-        yield pa.RecordBatch.from_arrays([pa.array(x[other]) for x in (key, hubs, node)], names=["key", "hub", "node"])
+        if held is not None:
+            key, node = np.append(held[0], key), np.append(held[1], node)
+        same = key[1:] == key[:-1]
+        keep = np.append(False, same) | np.append(same, False)
+        keep[0] |= met
+        held, met = (key[-1], node[-1]), bool(keep[-1])
+        yield pa.RecordBatch.from_arrays([pa.array(x[:-1][keep[:-1]]) for x in (key, node)], names=["key", "node"])
+    if held is not None and met:
+        yield pa.RecordBatch.from_arrays([pa.array([x], pa.int64()) for x in held], names=["key", "node"])
 
 
 def _near(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -219,47 +223,55 @@ def _links(pairs: DataFrame, meta: DataFrame, docs: DataFrame) -> DataFrame:
     return stage(equal.union(checked).distinct(), "links")
 
 
-def _outliers(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _outliers(best: bool):
     """Blocks sorted by (key, i, j): outliers (kind 1) against members (kind 0); emits pairs that sketches don't exclude.
 
-    A block has about ``BLOCK`` rows of either kind at most, so it is held in memory as a whole.
+    With ``best``, an outlier gives its nearest such member of each component only. A block has about ``BLOCK`` rows of
+    either kind at most, so it is held in memory as a whole.
     """
-    held: list[tuple] = []
-
-    def compare() -> pa.RecordBatch:
-        a, b = [np.empty(0, np.int64)], [np.empty(0, np.int64)]
-        u, v = ([r for r in held if r[3] == k] for k in (1, 0))
-        if u and v:
-            size = min(len(r[7]) for r in held)
-            (nu, mu, cu), (nv, mv, cv) = ([np.array([r[k] for r in x]) for k in (4, 6, 5)] for x in (u, v))
-            su, sv = folded([r[7] for r in u], size), folded([r[7] for r in v], size)
-            step = max(1, 2_000_000 // (len(v) * su.shape[1]))
-            for i in range(0, len(u), step):
-                k = slice(i, i + step)
-                apart = np.bitwise_count(su[k, None, :] ^ sv[None, :, :]).sum(-1, dtype=np.int64)
-                near = (apart <= most_apart(mu[k, None], mv[None, :])) & (cu[k, None] != cv[None, :])
-                near &= DENOMINATOR * np.minimum(mu[k, None], mv[None, :]) >= NUMERATOR * np.maximum(mu[k, None], mv[None, :])
-                x, y = np.nonzero(near)
-                a.append(np.minimum(nu[k][x], nv[y]))
-                b.append(np.maximum(nu[k][x], nv[y]))
-        held.clear()
-        return pa.RecordBatch.from_arrays([pa.array(np.concatenate(a)), pa.array(np.concatenate(b))], names=["a", "b"])
-
-    for batch in batches:
-        for row in zip(*[c.to_pylist() for c in batch.columns], strict=True):
-            if held and held[0][:3] != row[:3]:
-                yield compare()
-            held.append(row)
-    yield compare()
-
-
-def _blocks(stars: DataFrame, comps: DataFrame, meta: DataFrame) -> DataFrame:
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[tuple] = []
+
+        def compare() -> pa.RecordBatch:
+            a, b = [np.empty(0, np.int64)], [np.empty(0, np.int64)]
+            u, v = ([r for r in held if r[3] == k] for k in (1, 0))
+            if u and v:
+                size = min(len(r[7]) for r in held)
+                (nu, mu, cu), (nv, mv, cv) = ([np.array([r[k] for r in x]) for k in (4, 6, 5)] for x in (u, v))
+                su, sv = folded([r[7] for r in u], size), folded([r[7] for r in v], size)
+                step = max(1, 2_000_000 // (len(v) * su.shape[1]))
+                for i in range(0, len(u), step):
+                    k = slice(i, i + step)
+                    apart = np.bitwise_count(su[k, None, :] ^ sv[None, :, :]).sum(-1, dtype=np.int64)
+                    near = (apart <= most_apart(mu[k, None], mv[None, :])) & (cu[k, None] != cv[None, :])
+                    near &= DENOMINATOR * np.minimum(mu[k, None], mv[None, :]) >= NUMERATOR * np.maximum(mu[k, None], mv[None, :])
+                    x, y = np.nonzero(near)
+                    if best and len(x):
+                        order = np.lexsort((nv[y], apart[x, y], cv[y], x))
+                        x, y = x[order], y[order]
+                        first = np.append(True, (x[1:] != x[:-1]) | (cv[y][1:] != cv[y][:-1]))
+                        x, y = x[first], y[first]
+                    a.append(np.minimum(nu[k][x], nv[y]))
+                    b.append(np.maximum(nu[k][x], nv[y]))
+            held.clear()
+            return pa.RecordBatch.from_arrays([pa.array(np.concatenate(a)), pa.array(np.concatenate(b))], names=["a", "b"])
+
+        for batch in batches:
+            for row in zip(*[c.to_pylist() for c in batch.columns], strict=True):
+                if held and held[0][:3] != row[:3]:
+                    yield compare()
+                held.append(row)
+        yield compare()
+
+    return run
+
+
+def _blocks(shared: DataFrame, comps: DataFrame, meta: DataFrame, best: bool) -> DataFrame:
     """The pairs (a, b) across components that share a bucket and that compact sketches don't exclude."""
-    of = lambda node: comps.select(F.col("node").alias(node), F.col("comp").alias(f"{node}_comp"))
-    seen = stars.join(of("node"), "node", "left").join(of("hub"), "hub", "left").select("key", "hub", "node", F.coalesce("node_comp", "node").alias("node_comp"), F.coalesce("hub_comp", "hub").alias("hub_comp"))
-    mixed = seen.filter("node_comp <> hub_comp").select("key").distinct()
-    seen = seen.join(mixed, "key", "left_semi")
-    rows = stage(seen.select("key", "node", F.col("node_comp").alias("comp")).union(seen.select("key", "hub", "hub_comp")).distinct(), "mixed")
+    rows = shared.join(comps, "node", "left").select("key", "node", F.coalesce("comp", "node").alias("comp"))
+    mixed = rows.groupBy("key").agg(F.min("comp").alias("low"), F.max("comp").alias("high")).filter("low < high").select("key")
+    rows = stage(rows.join(mixed, "key", "left_semi"), "mixed")
     by_comp = rows.groupBy("key", "comp").agg(F.count("*").alias("c"))
     top = by_comp.groupBy("key").agg(F.max(F.struct("c", "comp")).alias("top"), F.sum("c").alias("m"))
     top = top.select("key", F.col("top.comp").alias("major"), F.ceil(F.col("m") / BLOCK).cast("int").alias("is"), F.ceil((F.col("m") - F.col("top.c")) / BLOCK).cast("int").alias("js"))
@@ -270,7 +282,12 @@ def _blocks(stars: DataFrame, comps: DataFrame, meta: DataFrame) -> DataFrame:
     outliers = rows.filter("comp <> major").withColumn("j", place("js")).withColumn("i", each("is")).withColumn("kind", F.lit(1))
     order = ["key", "i", "j", "kind", "node", "comp", "n", "dense"]
     both = members.select(*order).union(outliers.select(*order)).repartition("key", "i", "j").sortWithinPartitions("key", "i", "j", "kind")
-    return both.mapInArrow(_outliers, "a long, b long").distinct()
+    return both.mapInArrow(_outliers(best), "a long, b long").distinct()
+
+
+def _merged(comps: DataFrame, links: DataFrame) -> DataFrame:
+    """Components with further links."""
+    return connected(comps.select(F.col("node").alias("a"), F.col("comp").alias("b")).union(links.select("a", "b")))
 
 
 def components(docs: DataFrame) -> DataFrame:
@@ -281,16 +298,27 @@ def components(docs: DataFrame) -> DataFrame:
     """
     known = stage(sketches(docs), "sketches")
     meta = known.select("node", "doc_id", "text_hash", "n", "print", "dense")
-    bands = known.select(F.explode("keys").alias("key"), "node").repartition("key").sortWithinPartitions("key", "node")
-    stars = stage(bands.mapInArrow(_stars, "key long, hub long, node long"), "stars")
-    shared = stars.groupBy("node", "hub").agg(F.count("*").alias("c"))
-    best = shared.groupBy("node").agg(F.max(F.struct("c", (-F.col("hub")).alias("h"))).alias("best")).select((-F.col("best.h")).alias("a"), F.col("node").alias("b"))
+    bands = known.select(F.explode("keys").alias("key"), "node").repartition("key").sortWithinPartitions("key")
+    shared = stage(bands.mapInArrow(_shared, "key long, node long"), "shared")
+    degree = shared.groupBy("node").agg(F.count("*").alias("d"))
+    hubs = shared.join(degree, "node").groupBy("key").agg(F.max(F.struct("d", (-F.col("node")).alias("h"))).alias("top")).select("key", (-F.col("top.h")).alias("hub"))
+    stars = stage(shared.join(hubs, "key").filter("node <> hub").groupBy("node", "hub").agg(F.count("*").alias("c")), "stars")
+    best = stars.groupBy("node").agg(F.max(F.struct("c", (-F.col("hub")).alias("h"))).alias("best")).select((-F.col("best.h")).alias("a"), F.col("node").alias("b"))
+    best = stage(best, "best")
     copies = known.filter("leader IS NOT NULL").select(F.col("leader").alias("a"), F.col("node").alias("b"))
-    first = _links(best, meta, docs).union(copies)
-    comps = connected(first)
-    rest = _links(stage(_blocks(stars, comps, meta), "cross"), meta, docs)
-    if not rest.isEmpty():
-        comps = connected(comps.select(F.col("node").alias("a"), F.col("comp").alias("b")).union(comps.select("comp", "comp")).union(rest))
+    comps = connected(_links(best, meta, docs).union(copies))
+    of = lambda x: comps.select(F.col("node").alias(x), F.col("comp").alias(f"{x}_comp"))
+    across = stars.select(F.col("hub").alias("a"), F.col("node").alias("b")).join(best, ["a", "b"], "left_anti")
+    across = across.join(of("a"), "a", "left").join(of("b"), "b", "left").filter(F.coalesce("a_comp", "a") != F.coalesce("b_comp", "b")).select("a", "b")
+    comps = _merged(comps, _links(across, meta, docs))
+    for nearest in (True, False):
+        pairs = stage(_blocks(shared, comps, meta, nearest), "cross")
+        links = _links(pairs, meta, docs)
+        n = links.count()
+        if n:
+            comps = _merged(comps, links)
+        if pairs.count() == n:  # each outlier joined every component with a candidate; nothing is left to compare
+            break
     return known.select("node", "doc_id", "text_hash", F.col("n").alias("n_shingles")).join(comps, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
 
 
