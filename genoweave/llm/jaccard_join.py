@@ -109,8 +109,8 @@ def keys_of(h: np.ndarray) -> np.ndarray:
 
 
 def compact_sketch(h: np.ndarray) -> bytes:
-    """A parity sketch of 2^(c+1) bits, at least 64; XOR of its halves is the sketch of half the width."""
-    bits = max(64, 2 << (len(h).bit_length() - 1)) if len(h) else 64
+    """A parity sketch of 2^(c+3) bits, four to eight a shingle; XOR of its halves is the sketch of half the width."""
+    bits = max(64, 8 << (len(h).bit_length() - 1)) if len(h) else 64
     odd = np.bincount((h & np.uint64(bits - 1)).astype(np.int64), minlength=bits) & 1
     return np.packbits(odd.astype(np.uint8), bitorder="little").tobytes()
 
@@ -207,10 +207,9 @@ def _links(pairs: DataFrame, meta: DataFrame, docs: DataFrame) -> DataFrame:
     """Those of the pairs (a, b) of nodes that link; equal sets by fingerprint, others on their words."""
     side = lambda x: meta.select(*[F.col(c).alias(x if c == "node" else f"{x}_{c}") for c in meta.columns])
     full = pairs.join(side("a"), "a").join(side("b"), "b").filter(f"{DENOMINATOR} * least(a_n, b_n) >= {NUMERATOR} * greatest(a_n, b_n)")
-    full = stage(full, "pairs")
-    equal = full.filter("a_print = b_print").select("a", "b")
-    rest = full.filter("a_print <> b_print").select("a", "b", "a_doc_id", "b_doc_id", "a_text_hash", "b_text_hash", "a_n", "b_n", "a_dense", "b_dense")
-    rest = stage(rest.mapInArrow(_near, rest.drop("a_dense", "b_dense").schema), "near")
+    full = full.select("a", "b", *[f"{x}_{c}" for x in "ab" for c in ("doc_id", "text_hash", "print", "n", "dense")])
+    near = stage(full.mapInArrow(_near, full.drop("a_dense", "b_dense").schema), "near")
+    equal, rest = near.filter("a_print = b_print").select("a", "b"), near.filter("a_print <> b_print")
     ids = lambda x: rest.select(F.col(f"{x}_doc_id").alias("doc_id"), F.col(f"{x}_text_hash").alias("text_hash"))
     need = ids("a").union(ids("b")).distinct()
     hashed = docs.select("doc_id", "text", F.xxhash64("text").alias("text_hash"))
@@ -331,8 +330,11 @@ def jaccard_components(docs: DataFrame) -> DataFrame:
 
 def keep_one(docs: DataFrame) -> DataFrame:
     """One document of each component, that of the least doc_id; rows that repeat wholly are one document."""
+    names = docs.columns
+    inner = [c if c in ("doc_id", "text") else f"own{i}" for i, c in enumerate(names)]  # so that no name can clash
+    docs = docs.toDF(*inner)
     found = stage(components(docs), "components")
     kept = found.groupBy("comp").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "node", "text_hash")).alias("k")).select("k.doc_id", "k.text_hash").distinct()
     hashed = docs.withColumn("_hash", F.xxhash64("text"))
-    one = hashed.join(kept, (hashed["_hash"] == kept["text_hash"]) & hashed["doc_id"].eqNullSafe(kept["doc_id"]), "left_semi")
-    return one.dropDuplicates(["doc_id", "_hash"]).select(*docs.columns)
+    one = hashed.join(kept, (hashed["_hash"] == kept["text_hash"]) & hashed["doc_id"].eqNullSafe(kept["doc_id"]), "left_semi").dropDuplicates(["doc_id", "_hash"])
+    return one.select(*[F.col(i).alias(c) for i, c in zip(inner, names, strict=True)])

@@ -76,3 +76,18 @@ def test_run_is_all_stages(spark):
     sf = "/root/testdata/sf0.001"
     assert corpus_pipeline.run(spark, sf).columns == ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"]
     assert corpus_pipeline.run(spark, sf).count() > 0
+
+
+def test_clashing_columns(spark):
+    """Columns that are named like the operators' own are carried through all stages but the last."""
+    sf = "/root/testdata/sf0.001"
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    names = ["size", "copies", "_key", "_offset", "_rank", "score", "score_", "text_hash", "_hash", "comp", "node", "y", "w"]
+    from pyspark.sql import functions as F
+
+    wide = docs.select("*", *[F.concat(F.lit(f"{n}:"), F.col("doc_id").cast("string")).alias(n) for n in names])
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        wide = stage(spark, wide, sf)
+        assert wide.columns == docs.columns + names
+    rows = wide.collect()
+    assert rows and all(r[n] == f"{n}:{r.doc_id}" for r in rows for n in names)
