@@ -7,7 +7,7 @@ at most a small negative number. One linear scan finds the contiguous region wit
 advert amid an article doesn't cut it in two.
 
 Labelled pages are those whose markup names its content itself, by one ``article`` element; a bounded sample of them
-is learned from, those with the least hash of the page.
+is learned from, those whose rows have the least hashes; rows that repeat wholly share one.
 """
 
 from __future__ import annotations
@@ -169,8 +169,10 @@ def evidence(page: str | None) -> Counter:
 
 def learn(pages: DataFrame, *, html: str = "html", sample: int = 2000, keys: int = 5000) -> dict[str, float]:
     """Weights of words and tags from at most ``sample`` labelled pages, for the ``keys`` most frequent keys."""
-    one = F.regexp_count(F.lower(html), F.lit("<article[\\s>]")) == 1
-    chosen = pages.select(html).filter(one).orderBy(F.xxhash64(html), html).limit(sample)
+    one = F.regexp_count(F.lower("html"), F.lit("<article[\\s>]")) == 1
+    rows = pages.select(F.col(html).alias("html"), F.xxhash64(*pages.columns).alias("hash")).filter(one)
+    least = rows.select("hash").distinct().orderBy("hash").limit(sample)  # narrow, and at most ``sample`` rows to broadcast
+    chosen = rows.join(F.broadcast(least), "hash").select("html")
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total: Counter = Counter()
