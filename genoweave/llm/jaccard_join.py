@@ -109,8 +109,8 @@ def keys_of(h: np.ndarray) -> np.ndarray:
 
 
 def compact_sketch(h: np.ndarray) -> bytes:
-    """A parity sketch of 2^(c+3) bits, four to eight a shingle; XOR of its halves is the sketch of half the width."""
-    bits = max(64, 8 << (len(h).bit_length() - 1)) if len(h) else 64
+    """A parity sketch of 2^(c+2) bits, two to four a shingle; XOR of its halves is the sketch of half the width."""
+    bits = max(64, 4 << (len(h).bit_length() - 1)) if len(h) else 64
     odd = np.bincount((h & np.uint64(bits - 1)).astype(np.int64), minlength=bits) & 1
     return np.packbits(odd.astype(np.uint8), bitorder="little").tobytes()
 
