@@ -133,12 +133,12 @@ class WordIds:
         return struct.pack(f"<{len(found := self.merge(form))}I", *[t.id for t in found])
 
     def _word(self, word: str) -> bytes:
-        of = self.pre_tokens
+        of, word = self.pre_tokens, word.lower()  # lowering first: a lowered letter can hold a mark, as that of U+0130 does
         if word.isalpha():  # letters alone are one pre-token, and so is a last mark
-            return of[word.lower()]
+            return of[word]
         if word[-1] in ".,;:!?" and word[:-1].isalpha():
-            return of[word[:-1].lower()] + of[word[-1]]
-        return b"".join([of[x] for x in self.find(word.lower())])
+            return of[word[:-1]] + of[word[-1]]
+        return b"".join([of[x] for x in self.find(word)])
 
     def ids(self, text: str | None) -> bytes:
         if not text:

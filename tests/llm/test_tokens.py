@@ -11,6 +11,7 @@ import pytest
 from tokenizers import Tokenizer
 
 from genoweave.llm import mixing, packing, token_counts
+from genoweave.llm.common import common_only
 
 BYTE, WORD = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("word_bpe_49k.json")
 ODD = [
@@ -44,6 +45,14 @@ def test_word_ids_are_the_librarys(texts):
         assert np.frombuffer(ids.ids(t), "<u4").tolist() == library.encode(t, add_special_tokens=False).ids
 
 
+def test_every_common_character_is_split_as_in_the_library():
+    ids, library = packing.WordIds(WORD), Tokenizer.from_file(WORD)
+    common = [c for c in map(chr, range(0x3000)) if common_only(c)]
+    assert "İ" in common and len(common) > 500
+    for t in ["İstanbul", "İSTANBUL.", *(x for c in common for x in (c, f"a{c}b", f"A{c}.", f"{c}{c}A9"))]:
+        assert np.frombuffer(ids.ids(t), "<u4").tolist() == library.encode(t, add_special_tokens=False).ids, t
+
+
 def test_pieces_make_up_documents_and_sequences(spark, texts):
     rows = [(i, t) for i, t in enumerate([*texts, None])] + [(None, "null id"), (0, ""), (5, texts[5])]
     pieces = packing.pack(spark.createDataFrame(rows, "doc_id long, text string").repartition(3), WORD).collect()
