@@ -1,7 +1,8 @@
 """Quality classifier: hashed word n-gram logistic regression, trained by follow-the-regularised-leader updates.
 
 A text has four views: words and pairs of words, and the shapes of words (letter case, digits, punctuation, repetition of
-the word before) alone and in pairs, so unseen words still carry evidence. Each n-gram is hashed to a slot of its view's
+the word before) alone and in pairs, so unseen words still carry evidence. Words of more than ``LONGEST`` characters (text
+without white space) are cut into consecutive pieces that all count as words. Each n-gram is hashed to a slot of its view's
 table; a view's value at a slot is the share of the text's n-grams there, and a score is the sparse dot product of these
 shares and the weights, through the logistic function.
 
@@ -23,14 +24,14 @@ from pyspark.sql import functions as F
 
 BITS, VIEWS, SCALE = 17, 4, 20.0
 SLOTS = 1 << BITS
-CACHE_ENTRIES = 300_000
+CACHE_ENTRIES, LONGEST = 300_000, 64
 _RUN = re.compile(r"(.)\1+")
 _P, _Q = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9)
 
 
 def shape(word: str) -> str:
     """Letters become A or a, digits 0, all else stays; runs become one."""
-    return _RUN.sub(r"\1", "".join("A" if c.isupper() else "a" if c.isalpha() else "0" if c.isdigit() else c for c in word[:64]))
+    return _RUN.sub(r"\1", "".join("A" if c.isupper() else "a" if c.isalpha() else "0" if c.isdigit() else c for c in word))
 
 
 class Features:
@@ -43,13 +44,14 @@ class Features:
         found = xxhash.xxh3_64_intdigest(word.lower()), xxhash.xxh3_64_intdigest(shape(word), 1)
         if len(self.cache) >= CACHE_ENTRIES:
             self.cache.clear()
-        if len(word) <= 64:
-            self.cache[word] = found
+        self.cache[word] = found
         return found
 
     def slots(self, text: str | None) -> list[np.ndarray]:
         """An array of slots for each view; a null or empty text has none in any."""
         words = text.split() if text else []
+        if max(map(len, words), default=0) > LONGEST:
+            words = [w[i : i + LONGEST] for w in words for i in range(0, len(w), LONGEST)]
         get = self.cache.get
         pairs = np.array([get(w) or self._hashes(w) for w in words], np.uint64).reshape(-1, 2)
         word, form = pairs[:, 0], pairs[:, 1].copy()

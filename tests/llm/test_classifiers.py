@@ -54,6 +54,18 @@ def test_scores_of_odd_texts(spark):
     assert insults == {} and np.isfinite(calibration).all()
 
 
+def test_all_of_a_long_word_counts_in_each_view():
+    slots = quality.Features().slots
+    head = "東京は日本の首都です。" * 12
+    plain, odd = slots(head + "東京。" * 100), slots(head + "x9-Y!" * 60)
+    assert all(set(a.tolist()) != set(b.tolist()) for a, b in zip(plain, odd, strict=True))
+    rng = np.random.default_rng(4)
+    text = "".join(map(chr, rng.integers(0x21, 0x7F, 1000)))
+    pieces = slots(" ".join(text[i : i + 64] for i in range(0, 1000, 64)))
+    assert [v.tolist() for v in slots(text)] == [v.tolist() for v in pieces] and [len(v) for v in pieces] == [16, 15, 16, 15]
+    assert quality.shape("a1" * 50) == "a0" * 50
+
+
 def test_readings_of_clauses():
     m = toxicity.Matcher({"=idiot": 8.0, "lowei": 6.0})
     of = lambda t: m.clauses(t)[0]
