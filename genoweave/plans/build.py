@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from genoweave.functions.names import is_primary
+from genoweave.functions.names import is_primary, slugify
 from genoweave.operators import intervals, omics, pairs, peaks, vocab, windows
 from genoweave.plans import verify
 from genoweave.plans.release import Release, adopt
@@ -74,16 +74,21 @@ def build_release(
     release.record("pairs", window=size)
 
     stored = release.table("omics")
+    files = every.select(F.col("ct_class").alias("tissue"), slugify(F.col("antigen")).alias("stem")).distinct()
+    below = tracks.filter(F.col("ct_class") != vocab.PAN).join(lens, "chrom", "left_semi")
     checks = verify.report(
         {
+            "tissues and chromosomes with signal have rows": verify.missing_omics(stored, signal),
             "rows lie in their chunk": verify.misplaced_rows(stored, chunk),
             "rows are those of the tracks": verify.rederived(stored, signal, chunk),
             "the vocabulary has rows": verify.unbacked_vocabulary(chosen, stored),
+            "every feature is reachable": verify.unreachable_features(chosen, files),
             "sequence chunks are whole": verify.dna_faults(release.table("dna"), grid),
-            "windows lie in their chromosome": verify.window_faults(release.windows(size), lens),
-            "a locus has one split": windows.split_clashes(release.windows(size)),
             "pan runs are disjoint": verify.disjoint(pan, ["ag_class", "antigen", "chrom"]),
+            "pan runs reach those of all tissues": verify.pan_dominance(below, pan, ["ag_class", "antigen"]).filter("above_pan > 0"),
         }
+        | {f"windows of {n} lie in their chromosome": verify.window_faults(release.windows(n), lens) for n in sizes}
+        | {f"a locus of {n} has one split": windows.split_clashes(release.windows(n)) for n in sizes}
     )
     if all(ok for _, _, ok in checks):
         release.record("verify", checks=len(checks))

@@ -59,6 +59,11 @@ def unbacked_vocabulary(pairs: DataFrame, omics: DataFrame) -> DataFrame:
     return pairs.join(omics.select("tissue", F.col("feature_name").alias("antigen")).distinct(), ["tissue", "antigen"], "left_anti")
 
 
+def missing_omics(omics: DataFrame, runs: DataFrame) -> DataFrame:
+    """(tissue, chrom) with runs and without a stored row. Chunks and chromosomes that no run touches may be empty."""
+    return runs.select("tissue", "chrom").distinct().join(omics.select("tissue", "chrom").distinct(), ["tissue", "chrom"], "left_anti")
+
+
 def unreachable_features(pairs: DataFrame, files: DataFrame) -> DataFrame:
     """(tissue, antigen) that no file's stem (tissue, stem) reaches by slug."""
     return pairs.withColumn("stem", slugify(F.col("antigen"))).join(files.select("tissue", "stem"), ["tissue", "stem"], "left_anti").drop("stem")

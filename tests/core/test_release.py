@@ -201,6 +201,27 @@ def test_a_whole_release(spark, tmp_path):
     assert f.read_row_group(chunks.index(1)).num_rows == opened.load_chunk("Blood", "chr1", 1).count()
 
 
+def test_faults_of_all_sizes_and_of_pan_runs_are_found(spark, tmp_path, monkeypatch):
+    made, lowered = windows.build_windows, peaks.pan_tissue
+
+    def faulty(lens, n_runs, black, tissues, size, **how):
+        df = made(lens, n_runs, black, tissues, size, **how)
+        if size != 65536:
+            return df
+        first = df.orderBy("chrom", "start", "strand", "tissue").limit(1)
+        return df.union(first.withColumn("split", F.lit("other"))).union(first.withColumns({"start": F.lit(10**7), "end": F.lit(2 * 10**7)}).select(df.columns))
+
+    monkeypatch.setattr(windows, "build_windows", faulty)
+    monkeypatch.setattr(peaks, "pan_tissue", lambda *a, **how: lowered(*a, **how).withColumn("value", (F.col("value") - 1).cast("int")))
+    found, checks, _, runs = toy(spark, tmp_path)
+    assert {name for name, _, ok in checks if not ok} == {"windows of 65536 lie in their chromosome", "a locus of 65536 has one split", "pan runs reach those of all tissues"}
+    assert {"every feature is reachable", "tissues and chromosomes with signal have rows"} <= {name for name, _, _ in checks} and not found.has("verify")
+    with pytest.raises(RuntimeError):
+        release.promote(spark, str(tmp_path), "hg38", "2024-06-01")
+    signal = runs.withColumnRenamed("ct_class", "tissue")
+    assert [tuple(r) for r in verify.missing_omics(found.table("omics").filter("NOT (tissue = 'Blood' AND chrom = 'chr8')"), signal).collect()] == [("Blood", "chr8")]
+
+
 def test_vocabulary(spark):
     rng = random.Random(3)
     held = {(f"T{rng.randint(0, 9)}", f"A{rng.randint(0, 19)}") for _ in range(110)}
