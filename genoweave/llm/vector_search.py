@@ -89,7 +89,7 @@ class SortedLists:
         n = len(self.x)
         up, down = np.flatnonzero(q > 0), np.flatnonzero(q < 0)
         seen = ids == own
-        places, scores = np.empty(0, np.int64), np.empty(0)
+        places, scores = np.empty(0, np.int64), np.empty(0, self.x.dtype)
         start, end = 0, min(4, n)
         while True:
             met = np.zeros(n, bool)
@@ -109,21 +109,32 @@ class SortedLists:
             start, end = end, min(n, 4 * end)
 
 
-def scaled(v: np.ndarray, scale: int) -> np.ndarray:
-    """floor(scale * v), whole numbers in doubles; refuses what would not give exact inner products."""
-    x = np.floor(scale * v)
-    if x.size and np.abs(x).max() ** 2 * v.shape[1] >= 2.0**53:
-        raise OverflowError("components are too large for exact integer inner products")
-    return x
+def scaled(scale: int, *vectors: np.ndarray) -> list[np.ndarray]:
+    """floor(scale * v) of each, as whole numbers of the first type that has their inner products exactly: doubles, 64-bit
+    integers, or Python's integers, which have no bound but are slow."""
+    with np.errstate(over="ignore"):
+        out = [np.floor(scale * v) for v in vectors]
+    largest = max((float(np.abs(x).max()) for x in out if x.size), default=0.0)
+    reach = largest * largest * max(v.shape[1] for v in vectors)
+    if reach < 2.0**53:
+        return out
+    if reach < 2.0**62:
+        return [x.astype(np.int64) for x in out]
+    whole = np.frompyfunc(lambda x, v: int(x) if np.isfinite(x) else scale * int(v), 2, 1)
+    return [whole(x, v) for x, v in zip(out, vectors, strict=True)]
 
 
 def exact_top_k(vectors: DataFrame, is_query: Column, *, k: int = 5, scale: int = 256, vec_id: str = "vec_id", embedding: str = "embedding") -> DataFrame:
-    """The k rows of each query with the largest integer inner products; ``is_query`` is a condition on column ``id``."""
+    """The k rows of each query with the largest integer inner products; ``is_query`` is a condition on column ``id``.
+
+    Components may be of any finite size; only a score among the k best that a long can't hold is an error.
+    """
 
     def search(ids, x, query_ids, q):
-        lists = SortedLists(scaled(x, scale))
+        x, q = scaled(scale, x, q)
+        lists = SortedLists(x)
         found = []
-        for own, v in zip(query_ids.tolist(), scaled(q, scale), strict=True):
+        for own, v in zip(query_ids.tolist(), q, strict=True):
             places, scores = lists.top(v, ids, own, k)
             found.append((own, ids[places], scores.astype(np.int64)))
         return found

@@ -45,6 +45,25 @@ def test_exact_top_k(spark, monkeypatch, block):
     assert sorted(map(tuple, found.collect())) == brute(rows, 20, 5, 256)
 
 
+@pytest.mark.parametrize("large", [1e6, 1e13])
+def test_large_components_are_exact(spark, large):
+    """Beyond 2^53 in 64-bit integers, beyond 2^62 in Python's; the queries are small enough for scores to fit a long."""
+    rng = random.Random(8)
+    rows = [(i, [rng.uniform(-1, 1) * (1 if i % 20 == 0 else large) for _ in range(6)]) for i in range(200)]
+    whole = {i: [math.floor(256 * x) for x in v] for i, v in rows}
+    if large == 1e6:
+        rows += [(220, rows[1][1])]
+        whole[220] = whole[1]
+    expected = []
+    for q in (i for i in whole if i % 20 == 0):
+        scored = sorted((-sum(a * b for a, b in zip(whole[q], w, strict=True)), i) for i, w in whole.items() if i != q)
+        expected += [(q, r, i, -s) for r, (s, i) in enumerate(scored[:5], 1)]
+    assert max(e[3] for e in expected) > 2**53
+    found = vector_search.exact_top_k(spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(3), F.col("id") % 20 == 0)
+    assert sorted(map(tuple, found.collect())) == sorted(expected)
+    assert vector_search.scaled(256, np.array([[1.7e308, -0.5]]))[0].tolist() == [[256 * int(1.7e308), -128]]
+
+
 def test_the_threshold_stops_early():
     """Where a few rows dominate, most rows are never met."""
     rng = np.random.default_rng(0)
