@@ -5,7 +5,6 @@ from __future__ import annotations
 import re
 import tempfile
 import uuid
-import zlib
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -37,29 +36,40 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 _LOCAL: dict[str, str] = {}
-_STAGED: list[str] = []
+_STAGED: dict[str, None] = {}
 
 
-def stage(df: DataFrame, name: str, partitions_by: str | None = None) -> DataFrame:
+def stage(df: DataFrame, name: str) -> DataFrame:
     """Write a table to the shared folder and read it back.
 
     It cuts the lineage, survives the loss of executors and makes values that depend on the physical row order
-    (row ids) final. ``drop_staged`` removes what was written.
+    (row ids) final. ``unstage`` and ``drop_staged`` remove what was written.
     """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.option("compression", "zstd").parquet(path)
-    _STAGED.append(path)
-    return spark.read.schema(df.schema).parquet(path)
+    _STAGED[path] = None
+    out = spark.read.schema(df.schema).parquet(path)
+    out.staged_at = path
+    return out
 
 
-def drop_staged(spark: SparkSession) -> None:
-    """Remove all tables staged so far; frames that read them can't be used any more."""
-    jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    while _STAGED:
-        path = jvm.org.apache.hadoop.fs.Path(_STAGED.pop())
-        path.getFileSystem(conf).delete(path, True)
+def _delete(spark: SparkSession, path: str) -> None:
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+    _STAGED.pop(path, None)
+
+
+def unstage(*frames: DataFrame) -> None:
+    """Remove staged tables that no frame still to be computed reads."""
+    for df in frames:
+        _delete(df.sparkSession, df.staged_at)
+
+
+def drop_staged(spark: SparkSession, keep: tuple[str, ...] = ()) -> None:
+    """Remove all tables staged so far but those at ``keep``; frames that read them can't be used any more."""
+    for path in [p for p in _STAGED if p not in keep]:
+        _delete(spark, path)
 
 
 def n_words(text: Column) -> Column:
@@ -78,7 +88,3 @@ def words_of(text: str) -> list[bytes]:
 def fold(doc_id: Column, folds: int) -> Column:
     """crc32 of the id as text, modulo the number of folds; null for a null id."""
     return F.pmod(F.crc32(doc_id.cast("string").cast("binary")), F.lit(folds).cast("long"))
-
-
-def crc(data: bytes) -> int:
-    return zlib.crc32(data)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from genoweave.llm.common import stage
+from genoweave.llm.common import stage, unstage
 
 
 def connected(links: DataFrame) -> DataFrame:
@@ -19,9 +19,11 @@ def connected(links: DataFrame) -> DataFrame:
     labels = stage(both.groupBy("a").agg(F.min("b").alias("m")).select(F.col("a").alias("node"), F.least("a", "m").alias("comp")), "labels")
     while True:
         near = both.join(labels.select(F.col("node").alias("b"), "comp"), "b").groupBy("a").agg(F.min("comp").alias("m"))
-        step = labels.join(near.withColumnRenamed("a", "node"), "node").select("node", F.col("comp").alias("was"), F.least("comp", "m").alias("comp"))
+        step = labels.select("node", "comp").join(near.withColumnRenamed("a", "node"), "node").select("node", F.col("comp").alias("was"), F.least("comp", "m").alias("comp"))
         jump = labels.select(F.col("node").alias("comp"), F.col("comp").alias("further"))
         new = stage(step.join(jump, "comp", "left").select("node", "was", F.least("comp", F.coalesce("further", "comp")).alias("comp")), "labels")
-        labels = new.select("node", "comp")
+        unstage(labels)
+        labels = new
         if new.filter("comp <> was").isEmpty():
-            return labels
+            unstage(both)
+            return new.select("node", "comp")

@@ -2,22 +2,23 @@
 
 A document's set of word shingles becomes a bit sketch: each shingle flips one bit of a very wide vector, so the
 Hamming distance of two sketches never exceeds the symmetric difference of the sets. Two sets of sizes a and b with
-Jaccard similarity 0.8 differ in at most (a + b) / 9 shingles. A sketch is cut into parts, 0.8 for each shingle of the
-least set of its size band (sizes from 2^c to 2^(c+1)), and by the pigeonhole principle one of any D + 1 parts is equal
-where at most D bits differ. A part's key is the XOR of random codes of its set bits.
-
-A part is *good* if it holds two shingles or more; a document emits its good parts in order until it has D + 1 of
-them, else all parts that aren't empty. Goodness depends on a part's content alone, so the first D + 1 good parts of the
-document that stops earlier hold one that the other document has, and emits, as well: no link is lost, and
-empty parts and single shared shingles make no candidates. Sets below 64 shingles have a part for each shingle.
-A set joins the next lower band too if a set there can be large enough. (A set whose parts are so uneven that fewer than
-D + 1 hold anything could lose a link; with 64 shingles and more the odds are below 1e-15, as for a hash collision.)
-
-Candidates are verified on the words themselves. Groups of copies are never expanded to pairs: in each bucket all
-members are first held against the one that shares most buckets overall, and of these pairs each document verifies that with
-most shared buckets, then the others if they lie across components. Only buckets that still hold more than one
-component have the rest compared, outliers against all, in blocks of bounded size, by compact sketches: first an outlier's
-nearest member of each component is verified, then whatever else the Hamming distance can't exclude.
+Jaccard similarity 0.8 differ in at most D = (a + b) / 9 shingles. A sketch is cut into parts, 0.8 for each shingle of the
+least set of its size band (sizes from 2^c to 2^(c+1)), 64 at least, and by the pigeonhole principle one of any D + 1
+parts is equal where at most D bits differ. A part's key is the XOR of random codes of its set bits.
+
+A part is *good* if it holds two shingles or more (in bands below 64 shingles: one or more); a document emits its good
+parts in order until it has D + 1 of them, else all parts that aren't empty. Goodness depends on a part's content alone, so
+the first D + 1 good parts of the document that stops earlier hold one that the other document has, and emits, as
+well: no link is lost, and empty parts and single shared shingles make no candidates. Where fewer than D + 1 parts hold
+anything, an empty part may be the one that is equal; such a document emits a key of its band for that. A set joins
+the next lower band too if a set there can be large enough.
+
+Buckets of the same members are one bucket from then on, and copies of one set are one member. Candidates are verified on
+the words themselves. Groups of copies are never expanded to pairs: in each bucket all members are first held against
+the one that shares most buckets overall, and of these pairs each document verifies that with most shared buckets.
+Only buckets that then hold more than one component have the rest compared, outliers against all, in blocks of
+bounded size, by compact sketches: what the Hamming distance can't exclude is verified, or, where that is much,
+an outlier's nearest members first and the rest after these have merged components.
 """
 
 from __future__ import annotations
@@ -31,12 +32,14 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from genoweave.llm.common import stage, words_of
+from genoweave.llm.common import stage, unstage, words_of
 from genoweave.llm.components import connected
 
-#: Similarity as a fraction, the number of words in a shingle, the set size below which each shingle is a part.
-NUMERATOR, DENOMINATOR, WIDTH, SINGLES_BELOW = 4, 5, 5, 64
-BLOCK = 2048
+#: Similarity as a fraction, the number of words in a shingle, the least number of parts of a sketch.
+NUMERATOR, DENOMINATOR, WIDTH, PARTS = 4, 5, 5, 64
+#: Rows of a block of either kind, members of a bucket that are held at once, documents verified against one in a task,
+#: candidate pairs for each row of a block that are verified at once.
+BLOCK, HELD, STAR, MANY = 2048, 4096, 512, 8
 _ODD = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F], np.uint64)
 
 
@@ -79,20 +82,15 @@ def most_apart(a, b):
 
 def _band_keys(h: np.ndarray, code: np.ndarray, c: int, bound: int) -> np.ndarray:
     """Keys of the parts that a set emits in size band c if linked sets differ in at most ``bound`` shingles."""
-    if 1 << c < SINGLES_BELOW:
-        take = h[: bound + 1]
-        return _mixed(take ^ np.uint64(c + 1)) >> np.uint64(24)
-    parts = np.uint64((4 << c) // 5)
+    parts = np.uint64(max(PARTS, (4 << c) // 5))
     part = ((h >> np.uint64(32)) * parts) >> np.uint64(32)  # monotone in h, which is sorted
     first = np.flatnonzero(np.concatenate(([True], part[1:] != part[:-1])))
-    count = np.diff(np.append(first, len(h)))
-    good = count >= 2
-    if good.sum() > bound:
-        chosen = np.flatnonzero(good)[: bound + 1]
-    else:
-        chosen = np.arange(len(first))
-    key = np.bitwise_xor.reduceat(code, first)[chosen]
-    return _mixed(key ^ _mixed(part[first[chosen]] * np.uint64(64) + np.uint64(c))) >> np.uint64(24)
+    good = np.diff(np.append(first, len(h))) >= (2 if 1 << c >= PARTS else 1)
+    chosen = np.flatnonzero(good)[: bound + 1] if good.sum() > bound else np.arange(len(first))
+    key = np.bitwise_xor.reduceat(code, first)[chosen] ^ _mixed(part[first[chosen]] * np.uint64(64) + np.uint64(c))
+    if len(first) <= bound:  # then an empty part may be all that a linked set shares
+        key = np.append(key, np.uint64(c))
+    return _mixed(key) >> np.uint64(24)
 
 
 def keys_of(h: np.ndarray) -> np.ndarray:
@@ -161,79 +159,108 @@ def sketches(docs: DataFrame) -> DataFrame:
 
 
 def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Of rows sorted by key, those whose key another row has too; memory is that of one batch."""
-    held, met = None, False  # the last row, and whether its key was met before it
+    """Buckets of several rows, from rows sorted by key: two sums that tell sets of members apart, the key, the members.
+
+    Memory is that of a batch and ``HELD`` rows; a larger bucket comes in several pieces, which all have its key. Buckets
+    with the members of one that the task has met lately are left out.
+    """
+    seen: set[tuple[int, int]] = set()
+    pieces, open_ = 0, None  # pieces so far; the key of the bucket that they are from, if it may go on
+
+    def rows(m: np.ndarray, m2: np.ndarray, key: np.ndarray, size: np.ndarray, node: np.ndarray) -> pa.RecordBatch:
+        members = pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(size)), pa.int32()), pa.array(node, pa.int64()))
+        return pa.RecordBatch.from_arrays([*[pa.array(x.astype(np.int64)) for x in (m, m2, key)], members], names=["m", "m2", "key", "nodes"])
+
+    def piece(node: np.ndarray) -> pa.RecordBatch:
+        nonlocal pieces
+        pieces += 1
+        return rows(np.array([open_]), np.array([-pieces]), np.array([open_]), np.array([len(node)]), node)
+
+    def buckets(key: np.ndarray, node: np.ndarray) -> pa.RecordBatch:
+        first = np.flatnonzero(np.append(True, key[1:] != key[:-1])) if len(key) else np.empty(0, np.int64)
+        size = np.diff(np.append(first, len(key)))
+        node, first, size = node[np.repeat(size > 1, size)], first[size > 1], size[size > 1]
+        start = np.cumsum(size) - size
+        m, m2 = (np.add.reduceat(_mixed(node.astype(np.uint64) ^ o), start) if len(start) else np.empty(0, np.uint64) for o in _ODD[:2])
+        if len(seen) > 500_000:
+            seen.clear()
+        new = np.array([not (x in seen or seen.add(x)) for x in zip(m.tolist(), m2.tolist(), strict=True)], bool)
+        return rows(m[new], m2[new], key[first[new]], size[new], node[np.repeat(new, size)])
+
+    key = node = np.empty(0, np.int64)  # the last bucket, while it is small
     for b in batches:
-        key, node = b.column(0).to_numpy(), b.column(1).to_numpy()
-        if not len(key):
-            continue
-        if held is not None:
-            key, node = np.append(held[0], key), np.append(held[1], node)
-        same = key[1:] == key[:-1]
-        keep = np.append(False, same) | np.append(same, False)
-        keep[0] |= met
-        held, met = (key[-1], node[-1]), bool(keep[-1])
-        yield pa.RecordBatch.from_arrays([pa.array(x[:-1][keep[:-1]]) for x in (key, node)], names=["key", "node"])
-    if held is not None and met:
-        yield pa.RecordBatch.from_arrays([pa.array([x], pa.int64()) for x in held], names=["key", "node"])
+        k, x = b.column(0).to_numpy(), b.column(1).to_numpy()
+        if open_ is not None and len(k):
+            more = int(np.searchsorted(k, open_, "right"))
+            if more:
+                yield piece(x[:more])
+            k, x, open_ = k[more:], x[more:], open_ if more == len(k) else None
+        key, node = np.append(key, k), np.append(node, x)
+        last = int(np.searchsorted(key, key[-1])) if len(key) else 0
+        yield buckets(key[:last], node[:last])
+        key, node = key[last:], node[last:]
+        if len(key) > HELD:
+            open_ = int(key[0])
+            yield piece(node)
+            key, node = key[:0], node[:0]
+    yield buckets(key, node)
 
 
 def _near(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Keep pairs whose compact sketches don't exclude a link (columns a_n, b_n, a_dense, b_dense)."""
-    for b in batches:
-        x = {n: b.column(n).to_pylist() for n in ("a_n", "b_n", "a_dense", "b_dense")}
+    """Those pairs (a, b, a_n, b_n, a_dense, b_dense) whose compact sketches don't exclude a link."""
+    for batch in batches:
         keep = []
-        for na, nb, sa, sb in zip(*x.values(), strict=True):
+        for na, nb, sa, sb in zip(*[batch.column(i).to_pylist() for i in range(2, 6)], strict=True):
             u, v = folded([sa, sb], min(len(sa), len(sb)))
             keep.append(int(np.bitwise_count(u ^ v).sum()) <= most_apart(na, nb))
-        yield b.filter(pa.array(keep, pa.bool_())).drop_columns(["a_dense", "b_dense"])
+        yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
 
 def _verified(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Keep pairs of texts whose shingle sets link; the last sets are kept, as pairs come sorted by a."""
-    last, s = None, set()
-    for b in batches:
-        keep = []
-        for ta, tb in zip(b.column("a_text"), b.column("b_text"), strict=True):
-            ta, t = ta.as_py(), shingle_set(tb.as_py())
-            if ta != last:
-                last, s = ta, shingle_set(ta)
-            both = len(s & t)
-            keep.append(both > 0 and both * DENOMINATOR >= NUMERATOR * (len(s) + len(t) - both))
-        yield b.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
-
-
-def _links(pairs: DataFrame, meta: DataFrame, docs: DataFrame) -> DataFrame:
-    """Those of the pairs (a, b) of nodes that link; equal sets by fingerprint, others on their words."""
-    side = lambda x: meta.select(*[F.col(c).alias(x if c == "node" else f"{x}_{c}") for c in meta.columns])
-    full = pairs.join(side("a"), "a").join(side("b"), "b").filter(f"{DENOMINATOR} * least(a_n, b_n) >= {NUMERATOR} * greatest(a_n, b_n)")
-    full = full.select("a", "b", *[f"{x}_{c}" for x in "ab" for c in ("doc_id", "text_hash", "print", "n", "dense")])
-    near = stage(full.mapInArrow(_near, full.drop("a_dense", "b_dense").schema), "near")
-    equal, rest = near.filter("a_print = b_print").select("a", "b"), near.filter("a_print <> b_print")
-    ids = lambda x: rest.select(F.col(f"{x}_doc_id").alias("doc_id"), F.col(f"{x}_text_hash").alias("text_hash"))
-    need = ids("a").union(ids("b")).distinct()
-    hashed = docs.select("doc_id", "text", F.xxhash64("text").alias("text_hash"))
-    same = lambda left, x, right: (left[f"{x}_text_hash"] == right["text_hash"]) & left[f"{x}_doc_id"].eqNullSafe(right["doc_id"])
-    found = hashed.join(need, (hashed["text_hash"] == need["text_hash"]) & hashed["doc_id"].eqNullSafe(need["doc_id"]), "left_semi")
-    texts = stage(found.groupBy("doc_id", "text_hash").agg(F.first("text").alias("text")), "texts")
-    for x in ("b", "a"):
-        rest = rest.join(texts, same(rest, x, texts)).withColumnRenamed("text", f"{x}_text").drop("doc_id", "text_hash")
-    checked = rest.select("a", "b", "a_text", "b_text").sortWithinPartitions("a").mapInArrow(_verified, "a long, b long")
-    return stage(equal.union(checked).distinct(), "links")
+    """Links (a, b) of rows (a, part, other, node, text) sorted by these: the text of a, then those to hold against it."""
+    held, own = None, set()
+    for batch in batches:
+        a, b = [], []
+        x = [batch.column(i).to_pylist() for i in range(4)]
+        for hub, part, other, node, text in zip(*x, batch.column(4), strict=True):
+            if not other:
+                if held != (hub, part):
+                    held, own = (hub, part), shingle_set(text.as_py())
+                continue
+            s = shingle_set(text.as_py())
+            both = len(own & s)
+            if both and both * DENOMINATOR >= NUMERATOR * (len(own) + len(s) - both):
+                a.append(hub)
+                b.append(node)
+        yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
+
+
+def _links(pairs: DataFrame, texts: DataFrame) -> DataFrame:
+    """Those of the distinct pairs (a, b) whose texts link, decided on their words.
+
+    Texts move once, to the node ``a`` that they are held against; one with many others meets them in several tasks.
+    """
+    tasks = pairs.groupBy("a").agg(F.ceil(F.count("*") / STAR).alias("tasks"))
+    dealt = pairs.join(tasks, "a").select("a", F.pmod(F.xxhash64("b"), "tasks").cast("int").alias("part"), "b")
+    need = dealt.select("a", "part", F.lit(True).alias("other"), F.col("b").alias("node"))
+    need = need.union(dealt.select("a", "part", F.lit(False), "a").distinct())
+    rows = texts.join(need, "node").select("a", "part", "other", "node", "text").repartition("a", "part").sortWithinPartitions("a", "part", "other", "node")
+    return stage(rows.mapInArrow(_verified, "a long, b long").distinct(), "links")
 
 
-def _outliers(best: bool):
+def _outliers(whole: bool):
     """Blocks sorted by (key, i, j): outliers (kind 1) against members (kind 0); emits pairs that sketches don't exclude.
 
-    With ``best``, an outlier gives its nearest such member of each component only. A block has about ``BLOCK`` rows of
-    either kind at most, so it is held in memory as a whole.
+    Where there are more of them than ``MANY`` times the rows of the block, only those of an outlier with its nearest
+    member of the bucket's major component and with its nearest other one come, and a row (null, null, key) that says so;
+    not with ``whole``. A block has about ``BLOCK`` rows of either kind at most, so it is held in memory.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple] = []
 
         def compare() -> pa.RecordBatch:
-            a, b = [np.empty(0, np.int64)], [np.empty(0, np.int64)]
+            a, b, d, major, key = [np.empty(0, np.int64)], [np.empty(0, np.int64)], [np.empty(0, np.int64)], [np.empty(0, bool)], None
             u, v = ([r for r in held if r[3] == k] for k in (1, 0))
             if u and v:
                 size = min(len(r[7]) for r in held)
@@ -246,15 +273,21 @@ def _outliers(best: bool):
                     near = (apart <= most_apart(mu[k, None], mv[None, :])) & (cu[k, None] != cv[None, :])
                     near &= DENOMINATOR * np.minimum(mu[k, None], mv[None, :]) >= NUMERATOR * np.maximum(mu[k, None], mv[None, :])
                     x, y = np.nonzero(near)
-                    if best and len(x):
-                        order = np.lexsort((nv[y], apart[x, y], cv[y], x))
-                        x, y = x[order], y[order]
-                        first = np.append(True, (x[1:] != x[:-1]) | (cv[y][1:] != cv[y][:-1]))
-                        x, y = x[first], y[first]
-                    a.append(np.minimum(nu[k][x], nv[y]))
-                    b.append(np.maximum(nu[k][x], nv[y]))
+                    a.append(nu[k][x])
+                    b.append(nv[y])
+                    d.append(apart[x, y])
+                    major.append(cv[y] == held[0][8])
+            a, b, d, major = (np.concatenate(x) for x in (a, b, d, major))
+            if not whole and len(a) > MANY * len(held):
+                order = np.lexsort((b, d, major, a))
+                a, b, major, key = a[order], b[order], major[order], held[0][0]
+                first = np.append(True, (a[1:] != a[:-1]) | (major[1:] != major[:-1]))
+                a, b = a[first], b[first]
             held.clear()
-            return pa.RecordBatch.from_arrays([pa.array(np.concatenate(a)), pa.array(np.concatenate(b))], names=["a", "b"])
+            low, high = np.minimum(a, b), np.maximum(a, b)
+            if key is None:
+                return pa.RecordBatch.from_arrays([pa.array(low), pa.array(high), pa.nulls(len(low), pa.int64())], names=["a", "b", "key"])
+            return pa.RecordBatch.from_arrays([pa.array([*low.tolist(), None], pa.int64()), pa.array([*high.tolist(), None], pa.int64()), pa.array([None] * len(low) + [key], pa.int64())], names=["a", "b", "key"])
 
         for batch in batches:
             for row in zip(*[c.to_pylist() for c in batch.columns], strict=True):
@@ -266,27 +299,21 @@ def _outliers(best: bool):
     return run
 
 
-def _blocks(shared: DataFrame, comps: DataFrame, meta: DataFrame, best: bool) -> DataFrame:
-    """The pairs (a, b) across components that share a bucket and that compact sketches don't exclude."""
+def _blocks(shared: DataFrame, comps: DataFrame, met: DataFrame, whole: bool) -> DataFrame:
+    """Staged rows (a, b) of pairs across components that share a bucket and that compact sketches don't exclude, and rows
+    (null, null, key) of buckets for which these are not all (never with ``whole``)."""
     rows = shared.join(comps, "node", "left").select("key", "node", F.coalesce("comp", "node").alias("comp"))
-    mixed = rows.groupBy("key").agg(F.min("comp").alias("low"), F.max("comp").alias("high")).filter("low < high").select("key")
-    rows = stage(rows.join(mixed, "key", "left_semi"), "mixed")
     by_comp = rows.groupBy("key", "comp").agg(F.count("*").alias("c"))
-    top = by_comp.groupBy("key").agg(F.max(F.struct("c", "comp")).alias("top"), F.sum("c").alias("m"))
+    top = by_comp.groupBy("key").agg(F.max(F.struct("c", "comp")).alias("top"), F.sum("c").alias("m")).filter("m > top.c")  # of buckets with several components
     top = top.select("key", F.col("top.comp").alias("major"), F.ceil(F.col("m") / BLOCK).cast("int").alias("is"), F.ceil((F.col("m") - F.col("top.c")) / BLOCK).cast("int").alias("js"))
-    rows = rows.join(top, "key").join(meta.select("node", "n", "dense"), "node")
+    rows = rows.join(top, "key").join(met.select("node", "n", "dense"), "node")
     place = lambda n: F.pmod(F.xxhash64("node"), F.col(n)).cast("int")
     each = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
     members = rows.withColumn("i", place("is")).withColumn("j", each("js")).withColumn("kind", F.lit(0))
     outliers = rows.filter("comp <> major").withColumn("j", place("js")).withColumn("i", each("is")).withColumn("kind", F.lit(1))
-    order = ["key", "i", "j", "kind", "node", "comp", "n", "dense"]
+    order = ["key", "i", "j", "kind", "node", "comp", "n", "dense", "major"]
     both = members.select(*order).union(outliers.select(*order)).repartition("key", "i", "j").sortWithinPartitions("key", "i", "j", "kind")
-    return both.mapInArrow(_outliers(best), "a long, b long").distinct()
-
-
-def _merged(comps: DataFrame, links: DataFrame) -> DataFrame:
-    """Components with further links."""
-    return connected(comps.select(F.col("node").alias("a"), F.col("comp").alias("b")).union(links.select("a", "b")))
+    return stage(both.mapInArrow(_outliers(whole), "a long, b long, key long").distinct(), "cross")
 
 
 def components(docs: DataFrame) -> DataFrame:
@@ -296,29 +323,47 @@ def components(docs: DataFrame) -> DataFrame:
     other. Repeated rows are documents that link with each other. An empty table gives no row.
     """
     known = stage(sketches(docs), "sketches")
-    meta = known.select("node", "doc_id", "text_hash", "n", "print", "dense")
     bands = known.select(F.explode("keys").alias("key"), "node").repartition("key").sortWithinPartitions("key")
-    shared = stage(bands.mapInArrow(_shared, "key long, node long"), "shared")
+    sets = bands.mapInArrow(_shared, "m long, m2 long, key long, nodes array<long>").repartition("m", "m2").dropDuplicates(["m", "m2"])
+    sets = stage(sets.select("key", F.explode("nodes").alias("node")), "sets")
+    # copies of a set are one node from here on: the first of each task, and of these the least
+    lead = known.filter("leader IS NULL AND n > 0")
+    first = lead.groupBy("print").agg(F.min("node").alias("rep"), F.count("*").alias("times"))
+    apart = lead.select("node", "print").join(first.filter("times > 1"), "print").filter("node <> rep").select("node", "rep")
+    found = stage(known.select("node", "doc_id", "text_hash", "n", "leader").join(apart, "node", "left").select("node", "doc_id", "text_hash", "n", F.coalesce("leader", "rep").alias("leader")), "documents")
+    shared = sets.join(found.select("node", "leader"), "node").select("key", F.coalesce("leader", "node").alias("node")).distinct()
+    shared = stage(shared, "shared")
+    met = stage(known.select("node", "doc_id", "text_hash", "n", "dense").join(shared.select("node").distinct(), "node", "left_semi"), "met")
+    unstage(known, sets)
+    ids = met.select(F.col("node"), F.col("doc_id").alias("id"), F.col("text_hash").alias("hash"))
+    hashed = docs.select("doc_id", "text", F.xxhash64("text").alias("text_hash"))
+    texts = hashed.join(ids, (F.col("text_hash") == F.col("hash")) & F.col("doc_id").eqNullSafe(F.col("id"))).groupBy("node").agg(F.first("text").alias("text"))
+    texts = stage(texts, "texts")
+
     degree = shared.groupBy("node").agg(F.count("*").alias("d"))
     hubs = shared.join(degree, "node").groupBy("key").agg(F.max(F.struct("d", (-F.col("node")).alias("h"))).alias("top")).select("key", (-F.col("top.h")).alias("hub"))
-    stars = stage(shared.join(hubs, "key").filter("node <> hub").groupBy("node", "hub").agg(F.count("*").alias("c")), "stars")
+    stars = shared.join(hubs, "key").filter("node <> hub").groupBy("node", "hub").agg(F.count("*").alias("c"))
     best = stars.groupBy("node").agg(F.max(F.struct("c", (-F.col("hub")).alias("h"))).alias("best")).select((-F.col("best.h")).alias("a"), F.col("node").alias("b"))
-    best = stage(best, "best")
-    copies = known.filter("leader IS NOT NULL").select(F.col("leader").alias("a"), F.col("node").alias("b"))
-    comps = connected(_links(best, meta, docs).union(copies))
-    of = lambda x: comps.select(F.col("node").alias(x), F.col("comp").alias(f"{x}_comp"))
-    across = stars.select(F.col("hub").alias("a"), F.col("node").alias("b")).join(best, ["a", "b"], "left_anti")
-    across = across.join(of("a"), "a", "left").join(of("b"), "b", "left").filter(F.coalesce("a_comp", "a") != F.coalesce("b_comp", "b")).select("a", "b")
-    comps = _merged(comps, _links(across, meta, docs))
-    for nearest in (True, False):
-        pairs = stage(_blocks(shared, comps, meta, nearest), "cross")
-        links = _links(pairs, meta, docs)
-        n = links.count()
-        if n:
-            comps = _merged(comps, links)
-        if pairs.count() == n:  # each outlier joined every component with a candidate; nothing is left to compare
+    side = lambda x: met.select(F.col("node").alias(x), F.col("n").alias(f"{x}_n"), F.col("dense").alias(f"{x}_dense"))
+    full = best.join(side("a"), "a").join(side("b"), "b").filter(f"{DENOMINATOR} * least(a_n, b_n) >= {NUMERATOR} * greatest(a_n, b_n)")
+    near = stage(full.select("a", "b", "a_n", "b_n", "a_dense", "b_dense").mapInArrow(_near, "a long, b long"), "near")
+    links = _links(near, texts)
+    comps, todo, whole = connected(links), shared, False
+    while True:
+        cross = _blocks(todo, comps, met, whole)
+        more = _links(cross.filter("a IS NOT NULL").select("a", "b"), texts)
+        merged = not more.isEmpty()
+        if merged:
+            links = links.union(more)
+            comps = connected(links)
+        left = cross.filter("key IS NOT NULL").select("key").distinct()
+        if left.isEmpty():
             break
-    return known.select("node", "doc_id", "text_hash", F.col("n").alias("n_shingles")).join(comps, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
+        todo, whole = shared.join(left, "key", "left_semi"), not merged
+    comps = connected(found.filter("leader IS NOT NULL").select(F.col("leader").alias("a"), F.col("node").alias("b")).union(links))
+    out = found.select("node", "doc_id", "text_hash", F.col("n").alias("n_shingles")).join(comps, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
+    unstage(shared, met, texts, near)
+    return out
 
 
 def jaccard_components(docs: DataFrame) -> DataFrame:
@@ -334,7 +379,18 @@ def keep_one(docs: DataFrame) -> DataFrame:
     inner = [c if c in ("doc_id", "text") else f"own{i}" for i, c in enumerate(names)]  # so that no name can clash
     docs = docs.toDF(*inner)
     found = stage(components(docs), "components")
-    kept = found.groupBy("comp").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "node", "text_hash")).alias("k")).select("k.doc_id", "k.text_hash").distinct()
-    hashed = docs.withColumn("_hash", F.xxhash64("text"))
-    one = hashed.join(kept, (hashed["_hash"] == kept["text_hash"]) & hashed["doc_id"].eqNullSafe(kept["doc_id"]), "left_semi").dropDuplicates(["doc_id", "_hash"])
+    kept = found.groupBy("comp").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "node", "text_hash")).alias("k")).select(F.col("k.doc_id").alias("id"), F.col("k.text_hash").alias("hash"))
+    kept = kept.groupBy("id", "hash").agg(F.count("*").alias("groups"))
+    times = found.groupBy("doc_id", "text_hash").agg(F.count("*").alias("times"))
+    kept = stage(kept.join(times, (F.col("hash") == F.col("text_hash")) & F.col("id").eqNullSafe(F.col("doc_id"))).select("id", "hash", "times"), "kept")
+    unstage(found)
+
+    def rows(which: str) -> DataFrame:
+        some = kept.filter(which)
+        return docs.withColumn("_hash", F.xxhash64("text")).join(some, (F.col("_hash") == some["hash"]) & F.col("doc_id").eqNullSafe(some["id"]), "left_semi")
+
+    # only rows that repeat, if there are any, are moved with their texts to be made one
+    one = rows("times = 1")
+    if not kept.filter("times > 1").isEmpty():
+        one = one.union(rows("times > 1").dropDuplicates(["doc_id", "_hash"]))
     return one.select(*[F.col(i).alias(c) for i, c in zip(inner, names, strict=True)])
