@@ -1,18 +1,20 @@
 """Operators over half-open intervals ``[start, end)``: maximum runs, unions, overlaps, as-of lookups, chunks.
 
 Positions are cut into tiles, so that joins of intervals are equi-joins on (keys, tile) with a range condition, and a
-hot chromosome or track is spread over its tiles. Rows are dealt by (keys, tile) once; grouping, windows and the join
-inside a tile use that partitioning.
+hot chromosome or track is spread over its tiles. Maxima and minima are sweeps: rows sorted by (keys, tile) pass
+through a dense array of one tile, so memory is that of a tile and a batch, however many intervals lie over a position.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-TILE = 1024
+TILE = 8192
 
 
 def tiles(df: DataFrame, tile: int, start: str = "start", end: str = "end", out: str = "tile") -> DataFrame:
@@ -34,6 +36,78 @@ def _islands(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     return df.groupBy(*keys, "_run").agg(F.min("start").alias("start"), F.max("end").alias("end"), F.first("value").alias("value")).drop("_run")
 
 
+def _codes(column: pa.Array) -> np.ndarray:
+    """Equal numbers for equal values of a batch's column."""
+    return column.dictionary_encode().indices.fill_null(-1).to_numpy(zero_copy_only=False)
+
+
+def _segments(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[tuple[bool, pa.RecordBatch, int, int]]:
+    """Rows i to j of a batch that agree in the first ``width`` columns, and whether they go on with the ones before."""
+    last = None
+    for b in batches:
+        if not len(b):
+            continue
+        new = np.zeros(len(b), bool)
+        new[0] = True
+        for c in b.columns[:width]:
+            codes = _codes(c)
+            new[1:] |= codes[1:] != codes[:-1]
+        first = np.flatnonzero(new)
+        goes_on = last == [c[0].as_py() for c in b.columns[:width]]
+        for k, (i, j) in enumerate(zip(first.tolist(), [*first[1:].tolist(), len(b)], strict=True)):
+            yield k == 0 and goes_on, b, i, j
+        last = [c[len(b) - 1].as_py() for c in b.columns[:width]]
+
+
+def _painted(batches: Iterator[pa.RecordBatch], width: int, tile: int) -> Iterator[pa.RecordBatch]:
+    """Maximum runs of rows (``width`` columns of keys and tile, start, end, value), sorted by the keys and the value."""
+    out: list[tuple] = []  # a group's first row with its batch, and its runs
+    dense, at, now = None, None, None
+
+    def close() -> None:
+        edge = np.concatenate(([0], np.flatnonzero(dense[1:] != dense[:-1]) + 1, [tile]))
+        kept = dense[edge[:-1]] > 0
+        base = at[0].column(width - 1)[at[1]].as_py() * tile
+        out.append((*at, edge[:-1][kept] + base, edge[1:][kept] + base, dense[edge[:-1]][kept]))
+
+    def flush() -> Iterator[pa.RecordBatch]:
+        while out:
+            b = out[0][0]
+            n = next((i for i, x in enumerate(out) if x[0] is not b), len(out))
+            some, out[:n] = out[:n], []
+            keys = pa.Table.from_batches([b]).select(list(range(width))).take(pa.array(np.repeat([x[1] for x in some], [len(x[2]) for x in some])))
+            columns = [c.combine_chunks() for c in keys.columns]
+            columns = [c.combine_chunks() if isinstance(c, pa.ChunkedArray) else c for c in columns]
+            yield pa.RecordBatch.from_arrays([*columns, *[pa.array(np.concatenate([x[i] for x in some])) for i in (2, 3, 4)]], names=b.schema.names)
+
+    for goes_on, b, i, j in _segments(batches, width):
+        if b is not now:
+            now, base = b, b.column(width - 1).to_numpy() * tile
+            low, high, value = (b.column(width).to_numpy() - base).tolist(), (b.column(width + 1).to_numpy() - base).tolist(), b.column(width + 2).to_numpy()
+        if not goes_on:
+            if dense is not None:
+                close()
+                if len(out) >= 2000:
+                    yield from flush()
+            dense, at = np.zeros(tile, value.dtype), (b, i)
+        for x in range(i, j):  # by rising value, so that larger ones paint over smaller ones
+            dense[low[x] : high[x]] = value[x]
+    if dense is not None:
+        close()
+    yield from flush()
+
+
+def _combined(batches: Iterator[pa.RecordBatch], width: int, tile: int) -> Iterator[pa.RecordBatch]:
+    """The same for each batch alone where its groups are large, so that hot tiles shrink before rows are dealt."""
+    for b in batches:
+        codes = [_codes(c) for c in b.columns[:width]]
+        order = np.lexsort((b.column(width + 2).to_numpy(), *codes))
+        new = np.zeros(len(b), bool)
+        for c in codes:
+            new[1:] |= c[order][1:] != c[order][:-1]
+        yield from _painted(iter([b.take(pa.array(order))]), width, tile) if 8 * (new.sum() + 1) < len(b) else [b]
+
+
 def max_runs(df: DataFrame, keys: Sequence[str], *, bin_size: int = 1, tile: int = TILE, start: str = "start", end: str = "end", value: str = "value") -> DataFrame:
     """The largest value at each position, as maximal runs (keys, start, end, value) of equal values above 0.
 
@@ -47,28 +121,31 @@ def max_runs(df: DataFrame, keys: Sequence[str], *, bin_size: int = 1, tile: int
         low = F.floor(F.col("start") / bin_size)
         df = df.withColumns({"start": low, "end": F.greatest(F.ceil(F.col("end") / bin_size), low + 1)})
     at = [*keys, "tile"]
-    parts = clipped(df, tile).repartition(*at).groupBy(*at, "start", "end").agg(F.max("value").alias("value"))
-    # every part of a tile gets the tile's sorted borders, as many as a tile has positions at most
-    inside = Window.partitionBy(*at)
-    borders = F.array_sort(F.array_union(F.collect_set("start").over(inside), F.collect_set("end").over(inside)))
-    parts = parts.withColumn("_all", borders).withColumn("_at", F.filter("_all", lambda x: (x >= F.col("start")) & (x <= F.col("end"))))
-    spans = F.transform(F.slice("_at", 1, F.size("_at") - 1), lambda x, i: F.struct(x.alias("s"), F.get("_at", i + 1).alias("e")))
-    held = parts.select(*at, "value", F.explode(spans).alias("_x")).groupBy(*at, F.col("_x.s").alias("start"), F.col("_x.e").alias("end")).agg(F.max("value").alias("value"))
-    runs = _islands(held, at)
-    border = (F.pmod("start", F.lit(tile)) == 0) | (F.pmod("end", F.lit(tile)) == 0)
-    runs = _islands(runs.withColumn("_place", F.when(border, -1).otherwise(F.col("tile"))).drop("tile"), [*keys, "_place"])
+    parts = clipped(df, tile).select(*at, "start", "end", "value")
+    width = len(at)
+    parts = parts.mapInArrow(lambda x: _combined(x, width, tile), parts.schema).repartition(*at).sortWithinPartitions(*at, "value")
+    runs = parts.mapInArrow(lambda x: _painted(x, width, tile), parts.schema)
+    runs = _joined(runs, keys, tile)
     if bin_size > 1:
         runs = runs.withColumns({"start": F.col("start") * bin_size, "end": F.col("end") * bin_size})
     return runs.select(*keys, "start", "end", "value")
 
 
-def merge_runs(df: DataFrame, keys: Sequence[str], *, start: str = "start", end: str = "end") -> DataFrame:
-    """The union of intervals for each key; those that overlap or touch become one."""
-    order = Window.partitionBy(*keys).orderBy(start, end)
-    reach = F.max(end).over(order.rowsBetween(Window.unboundedPreceding, -1))
-    df = df.select(*keys, start, end).withColumn("_new", F.when(F.col(start) <= reach, 0).otherwise(1))
+def _joined(runs: DataFrame, keys: Sequence[str], tile: int) -> DataFrame:
+    """Runs of tiles, joined where a border cut them."""
+    border = (F.pmod("start", F.lit(tile)) == 0) | (F.pmod("end", F.lit(tile)) == 0)
+    return _islands(runs.withColumn("_place", F.when(border, -1).otherwise(F.col("tile"))).drop("tile"), [*keys, "_place"])
+
+
+def merge_runs(df: DataFrame, keys: Sequence[str], *, start: str = "start", end: str = "end", tile: int = 16 * TILE) -> DataFrame:
+    """The union of intervals for each key; those that overlap or touch become one. Empty intervals count nothing."""
+    at = [*keys, "tile"]
+    order = Window.partitionBy(*at).orderBy("start", "end")
+    df = clipped(df.select(*keys, F.col(start).alias("start"), F.col(end).alias("end")), tile)
+    df = df.withColumn("_new", F.when(F.col("start") <= F.max("end").over(order.rowsBetween(Window.unboundedPreceding, -1)), 0).otherwise(1))
     df = df.withColumn("_run", F.sum("_new").over(order.rowsBetween(Window.unboundedPreceding, 0)))
-    return df.groupBy(*keys, "_run").agg(F.min(start).alias(start), F.max(end).alias(end)).drop("_run")
+    runs = df.groupBy(*at, "_run").agg(F.min("start").alias("start"), F.max("end").alias("end")).drop("_run").withColumn("value", F.lit(1))
+    return _joined(runs, keys, tile).select(*keys, F.col("start").alias(start), F.col("end").alias(end))
 
 
 def overlap_bp(windows: DataFrame, runs: DataFrame, keys: Sequence[str] = ("chrom",), *, ids: Sequence[str] | None = None, tile: int = 16 * TILE, out: str = "bp") -> DataFrame:
@@ -85,15 +162,24 @@ def overlap_bp(windows: DataFrame, runs: DataFrame, keys: Sequence[str] = ("chro
     return windows.join(found, ids, "left").withColumn(out, F.coalesce("_bp", F.lit(0)).cast("long")).drop("_bp")
 
 
-def covered_before(points: DataFrame, runs: DataFrame, keys: Sequence[str] = ("chrom",), *, pos: str = "pos", out: str = "covered") -> DataFrame:
-    """Adds to each point how many positions before it the disjoint runs cover (an as-of join with prefix sums)."""
-    before = Window.partitionBy(*keys).orderBy("start").rowsBetween(Window.unboundedPreceding, 0)
-    sums = runs.withColumn("_sum", F.sum(F.col("end") - F.col("start")).over(before) - (F.col("end") - F.col("start")))
-    events = sums.select(*keys, F.col("start").alias("_at"), F.lit(0).alias("_kind"), F.struct("start", "end", "_sum").alias("_run"))
-    events = events.unionByName(points.select(*keys, F.col(pos).alias("_at")).distinct().withColumn("_kind", F.lit(1)), allowMissingColumns=True)
-    last = F.last("_run", ignorenulls=True).over(Window.partitionBy(*keys).orderBy("_at", "_kind").rowsBetween(Window.unboundedPreceding, 0))
-    found = events.withColumn("_last", last).filter("_kind = 1")
-    value = F.when(F.col("_last").isNull(), 0).otherwise(F.col("_last._sum") + F.least("_at", "_last.end") - F.col("_last.start"))
+def covered_before(points: DataFrame, runs: DataFrame, keys: Sequence[str] = ("chrom",), *, pos: str = "pos", out: str = "covered", tile: int = 16 * TILE) -> DataFrame:
+    """Adds to each point how many positions before it the disjoint runs cover.
+
+    It is an as-of join with prefix sums inside each tile, to which come the prefix sums of whole tiles, a row for each.
+    """
+    parts = clipped(runs.select(*keys, "start", "end"), tile)
+    asked = points.select(*keys, F.col(pos).alias("_at")).distinct().withColumn("tile", F.floor(F.col("_at") / tile))
+    at = [*keys, "tile"]
+    whole = parts.groupBy(*at).agg(F.sum(F.col("end") - F.col("start")).alias("_bp")).unionByName(asked.select(*at).distinct().withColumn("_bp", F.lit(0).cast("long")))
+    whole = whole.groupBy(*at).agg(F.sum("_bp").alias("_bp"))
+    ahead = whole.select(*at, (F.sum("_bp").over(Window.partitionBy(*keys).orderBy("tile").rowsBetween(Window.unboundedPreceding, 0)) - F.col("_bp")).alias("_ahead"))
+    before = Window.partitionBy(*at).orderBy("start").rowsBetween(Window.unboundedPreceding, 0)
+    sums = parts.withColumn("_sum", F.sum(F.col("end") - F.col("start")).over(before) - (F.col("end") - F.col("start")))
+    events = sums.select(*at, F.col("start").alias("_at"), F.lit(0).alias("_kind"), F.struct("start", "end", "_sum").alias("_run"))
+    events = events.unionByName(asked.withColumn("_kind", F.lit(1)), allowMissingColumns=True)
+    last = F.last("_run", ignorenulls=True).over(Window.partitionBy(*at).orderBy("_at", "_kind").rowsBetween(Window.unboundedPreceding, 0))
+    found = events.withColumn("_last", last).filter("_kind = 1").join(ahead, at)
+    value = F.col("_ahead") + F.when(F.col("_last").isNull(), 0).otherwise(F.col("_last._sum") + F.least("_at", "_last.end") - F.col("_last.start"))
     return points.join(found.select(*keys, F.col("_at").alias(pos), value.cast("long").alias(out)), [*keys, pos], "left")
 
 
@@ -107,15 +193,53 @@ def explode_to_chunks(df: DataFrame, size: int, *, start: str = "start", end: st
     return df.withColumn(out, F.explode(chunk_numbers(F.col(start), F.col(end), size)))
 
 
-def min_over(spans: DataFrame, runs: DataFrame, keys: Sequence[str] = ("chrom",), *, tile: int = 4 * TILE, out: str = "least") -> DataFrame:
+def _least(batches: Iterator[pa.RecordBatch], width: int, tile: int) -> Iterator[pa.RecordBatch]:
+    """For rows (``width`` columns of keys and tile, kind, low, high, value, ids), runs (kind 0) before spans: of each span the
+    ids, the least value between low and high, and whether runs cover it."""
+    dense = held = covered = now = None
+    out: list[tuple] = []
+    for goes_on, b, i, j in _segments(batches, width):
+        if b is not now:
+            if out:
+                yield _spans(now, out, width)
+                out = []
+            now, base = b, b.column(width - 1).to_numpy() * tile
+            kind, low, high = b.column(width).to_numpy(), b.column(width + 1).to_numpy() - base, b.column(width + 2).to_numpy() - base
+            value = b.column(width + 3).to_numpy(zero_copy_only=False)
+        if not goes_on:
+            dense, held, covered = np.zeros(tile + 1, value.dtype), np.zeros(tile, bool), None
+        split = i + int(np.searchsorted(kind[i:j], 1))
+        for x in range(i, split):
+            dense[low[x] : high[x]] = value[x]
+            held[low[x] : high[x]] = True
+        if split < j:
+            if covered is None or split > i:
+                covered = np.append(0, np.cumsum(held))
+            s, e = low[split:j], high[split:j]
+            out.append((split, j, np.minimum.reduceat(dense, np.column_stack((s, e)).ravel())[::2], covered[e] - covered[s] == e - s))
+    if out:
+        yield _spans(now, out, width)
+
+
+def _spans(b: pa.RecordBatch, out: list[tuple], width: int) -> pa.RecordBatch:
+    at = pa.array(np.concatenate([np.arange(x[0], x[1]) for x in out]))
+    ids = [b.column(i).take(at) for i in (*range(width - 1), width + 4, width + 5)]
+    return pa.RecordBatch.from_arrays([*ids, pa.array(np.concatenate([x[2] for x in out])), pa.array(np.concatenate([x[3] for x in out]))], names=[*b.schema.names[: width - 1], "start", "end", "_low", "_full"])
+
+
+def min_over(spans: DataFrame, runs: DataFrame, keys: Sequence[str] = ("chrom",), *, tile: int = TILE, out: str = "least") -> DataFrame:
     """Adds to each span the least value of disjoint runs over it; 0 if any of its positions lies in no run."""
-    ids = [*keys, "start", "end"]
-    left = tiles(spans.select(*ids).distinct(), tile).withColumns({"_s": F.greatest("start", F.col("tile") * tile), "_e": F.least("end", (F.col("tile") + 1) * tile)})
-    right = clipped(runs.select(*keys, "start", "end", "value"), tile).select(*keys, "tile", F.col("start").alias("_rs"), F.col("end").alias("_re"), F.col("value").alias("_low"))
-    both = left.join(right, [*keys, "tile"]).filter("_rs < _e AND _re > _s")
-    found = both.groupBy(*ids).agg(F.sum(F.least("_e", "_re") - F.greatest("_s", "_rs")).alias("_bp"), F.min("_low").alias("_low"))
-    held = F.when(F.col("_bp") == F.col("end") - F.col("start"), F.col("_low")).otherwise(0)
-    return spans.join(found, ids, "left").withColumn(out, held).drop("_bp", "_low")
+    ids, at = [*keys, "start", "end"], [*keys, "tile"]
+    cut = {"_s": F.greatest(F.col("start"), F.col("tile") * tile), "_e": F.least(F.col("end"), (F.col("tile") + 1) * tile)}
+    kind = dict(runs.dtypes)["value"]
+    as_rows = lambda df, k, v: tiles(df, tile).withColumns(cut).select(*at, F.lit(k).alias("_kind"), F.col("_s").cast("long").alias("_s"), F.col("_e").cast("long").alias("_e"), v.cast(kind).alias("_value"), F.col("start").cast("long").alias("start"), F.col("end").cast("long").alias("end"))
+    rows = as_rows(runs.select(*keys, "start", "end", "value"), 0, F.col("value")).union(as_rows(spans.select(*ids).distinct(), 1, F.lit(0)))
+    rows = rows.repartition(*at).sortWithinPartitions(*at, "_kind")
+    types = dict(rows.dtypes)
+    schema = ", ".join(f"`{k}` {types[k]}" for k in keys) + f", start long, end long, _low {kind}, _full boolean"
+    width = len(at)
+    found = rows.mapInArrow(lambda x: _least(x, width, tile), schema).groupBy(*ids).agg(F.min("_low").alias("_low"), F.min("_full").alias("_full"))
+    return spans.join(found, ids, "left").withColumn(out, F.when(F.col("_full"), F.col("_low")).otherwise(0)).drop("_low", "_full")
 
 
 def n_runs(sequences: DataFrame, keys: Sequence[str], *, seq: str = "seq") -> DataFrame:

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from genoweave.operators.intervals import chunk_numbers
 
 CHUNK = 65536
+#: The columns of stored signal.
 SCHEMA = "Chromosome string, Start long, End long, Name int, feature_name string"
 
 
@@ -35,10 +36,10 @@ def load_window(omics: DataFrame, tissue: str, chrom: str, begin: int, end: int,
 
 
 def dna_chunks(sequences: DataFrame, chunk: int = CHUNK) -> DataFrame:
-    """(chrom, start, end, dna) of (chrom, seq), in upper case."""
-    df = sequences.filter(F.length("seq") > 0).select("chrom", "seq", F.explode(F.sequence(F.lit(0), F.length("seq") - 1, F.lit(chunk))).alias("s"))
-    dna = F.upper(F.substring("seq", F.col("s") + 1, F.lit(chunk)))
-    return df.select("chrom", F.col("s").cast("long").alias("start"), (F.col("s") + F.length(dna)).cast("long").alias("end"), dna.alias("dna"))
+    """(chrom, start, end, dna) of (chrom, seq), in upper case; a sequence is cut in one pass."""
+    pieces = F.regexp_extract_all("seq", F.lit(f"(?s).{{1,{chunk}}}"), F.lit(0))
+    df = sequences.select("chrom", F.posexplode(pieces).alias("k", "dna")).withColumn("start", F.col("k").cast("long") * chunk)
+    return df.select("chrom", "start", (F.col("start") + F.length("dna")).cast("long").alias("end"), F.upper("dna").alias("dna"))
 
 
 def dna_window(chunks: DataFrame, chrom: str, begin: int, end: int) -> DataFrame:
