@@ -18,7 +18,7 @@ the words themselves. Groups of copies are never expanded to pairs: in each buck
 the one that shares most buckets overall, and of these pairs each document verifies that with most shared buckets.
 Only buckets that then hold more than one component have the rest compared, outliers against all, in blocks of
 bounded size, by compact sketches: what the Hamming distance can't exclude is verified, or, where that is much,
-an outlier's nearest members first and the rest after these have merged components.
+an outlier's nearest members first, to begin with in its largest bucket, and the rest after these have merged components.
 """
 
 from __future__ import annotations
@@ -38,8 +38,9 @@ from genoweave.llm.components import connected
 #: Similarity as a fraction, the number of words in a shingle, the least number of parts of a sketch.
 NUMERATOR, DENOMINATOR, WIDTH, PARTS = 4, 5, 5, 64
 #: Rows of a block of either kind, members of a bucket that are held at once, documents verified against one in a task,
-#: candidate pairs for each row of a block that are verified at once.
+#: candidate pairs for each outlier that are verified without trying its nearest first.
 BLOCK, HELD, STAR, MANY = 2048, 4096, 512, 8
+FIRST, NEAREST, WHOLE = range(3)
 _ODD = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F], np.uint64)
 
 
@@ -249,18 +250,19 @@ def _links(pairs: DataFrame, texts: DataFrame) -> DataFrame:
 
 
 def _outliers(whole: bool):
-    """Blocks sorted by (key, i, j): outliers (kind 1) against members (kind 0); emits pairs that sketches don't exclude.
+    """Blocks sorted by (key, i, j): outliers (kind 1) against members (kind 0); emits pairs that sketches don't exclude, as
+    (outlier, member, Hamming distance), and for a block with such pairs a row of its key that says if these are all.
 
-    Where there are more of them than ``MANY`` times the rows of the block, only those of an outlier with its nearest
-    member of the bucket's major component and with its nearest other one come, and a row (null, null, key) that says so;
-    not with ``whole``. A block has about ``BLOCK`` rows of either kind at most, so it is held in memory.
+    They are all with ``whole``, or if there are at most two for each outlier; else an outlier's nearest member of the
+    bucket's major component and its nearest other one come. A block has about ``BLOCK`` rows of either kind at most, so
+    it is held in memory.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple] = []
 
         def compare() -> pa.RecordBatch:
-            a, b, d, major, key = [np.empty(0, np.int64)], [np.empty(0, np.int64)], [np.empty(0, np.int64)], [np.empty(0, bool)], None
+            found = [(np.empty(0, np.int64),) * 4]
             u, v = ([r for r in held if r[3] == k] for k in (1, 0))
             if u and v:
                 size = min(len(r[7]) for r in held)
@@ -273,21 +275,19 @@ def _outliers(whole: bool):
                     near = (apart <= most_apart(mu[k, None], mv[None, :])) & (cu[k, None] != cv[None, :])
                     near &= DENOMINATOR * np.minimum(mu[k, None], mv[None, :]) >= NUMERATOR * np.maximum(mu[k, None], mv[None, :])
                     x, y = np.nonzero(near)
-                    a.append(nu[k][x])
-                    b.append(nv[y])
-                    d.append(apart[x, y])
-                    major.append(cv[y] == held[0][8])
-            a, b, d, major = (np.concatenate(x) for x in (a, b, d, major))
-            if not whole and len(a) > MANY * len(held):
+                    found.append((nu[k][x], nv[y], apart[x, y], cv[y] == held[0][8]))
+            a, b, d, major = (np.concatenate(x) for x in zip(*found, strict=True))
+            complete = whole or len(a) <= 2 * len(u)
+            if not complete:
                 order = np.lexsort((b, d, major, a))
-                a, b, major, key = a[order], b[order], major[order], held[0][0]
+                a, b, d, major = (x[order] for x in (a, b, d, major))
                 first = np.append(True, (a[1:] != a[:-1]) | (major[1:] != major[:-1]))
-                a, b = a[first], b[first]
+                a, b, d = a[first], b[first], d[first]
+            keys = [held[0][0]] if len(a) else []
             held.clear()
-            low, high = np.minimum(a, b), np.maximum(a, b)
-            if key is None:
-                return pa.RecordBatch.from_arrays([pa.array(low), pa.array(high), pa.nulls(len(low), pa.int64())], names=["a", "b", "key"])
-            return pa.RecordBatch.from_arrays([pa.array([*low.tolist(), None], pa.int64()), pa.array([*high.tolist(), None], pa.int64()), pa.array([None] * len(low) + [key], pa.int64())], names=["a", "b", "key"])
+            rows = [pa.concat_arrays([pa.array(x, pa.int64()), pa.nulls(len(keys), pa.int64())]) for x in (a, b, d)]
+            rows += [pa.concat_arrays([pa.nulls(len(a), t), pa.array(x, t)]) for x, t in ((keys, pa.int64()), ([complete] * len(keys), pa.bool_()))]
+            return pa.RecordBatch.from_arrays(rows, names=["a", "b", "d", "key", "complete"])
 
         for batch in batches:
             for row in zip(*[c.to_pylist() for c in batch.columns], strict=True):
@@ -299,21 +299,29 @@ def _outliers(whole: bool):
     return run
 
 
-def _blocks(shared: DataFrame, comps: DataFrame, met: DataFrame, whole: bool) -> DataFrame:
-    """Staged rows (a, b) of pairs across components that share a bucket and that compact sketches don't exclude, and rows
-    (null, null, key) of buckets for which these are not all (never with ``whole``)."""
+def _blocks(shared: DataFrame, comps: DataFrame, met: DataFrame, mode: int, only: DataFrame | None) -> DataFrame:
+    """Staged rows (a, b, d) of pairs across components that share a bucket and that compact sketches don't exclude, and rows
+    (key, complete) of the buckets that they are from. An outlier is compared in its largest bucket (mode FIRST), or in all,
+    or in those with a key in ``only``."""
     rows = shared.join(comps, "node", "left").select("key", "node", F.coalesce("comp", "node").alias("comp"))
     by_comp = rows.groupBy("key", "comp").agg(F.count("*").alias("c"))
     top = by_comp.groupBy("key").agg(F.max(F.struct("c", "comp")).alias("top"), F.sum("c").alias("m")).filter("m > top.c")  # of buckets with several components
-    top = top.select("key", F.col("top.comp").alias("major"), F.ceil(F.col("m") / BLOCK).cast("int").alias("is"), F.ceil((F.col("m") - F.col("top.c")) / BLOCK).cast("int").alias("js"))
-    rows = rows.join(top, "key").join(met.select("node", "n", "dense"), "node")
+    top = top.select("key", "m", F.col("top.comp").alias("major"), F.ceil(F.col("m") / BLOCK).cast("int").alias("is"), F.ceil((F.col("m") - F.col("top.c")) / BLOCK).cast("int").alias("js"))
+    if only is not None:
+        top = top.join(only, "key", "left_semi")
+    outliers = rows.join(top, "key").filter("comp <> major")
+    if mode == FIRST:
+        largest = outliers.groupBy("node").agg(F.max(F.struct("m", "key", "comp", "major", "is", "js")).alias("x"))
+        outliers = stage(largest.select("node", "x.*"), "largest")
+        top = top.join(outliers.select("key").distinct(), "key", "left_semi")
     place = lambda n: F.pmod(F.xxhash64("node"), F.col(n)).cast("int")
     each = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
-    members = rows.withColumn("i", place("is")).withColumn("j", each("js")).withColumn("kind", F.lit(0))
-    outliers = rows.filter("comp <> major").withColumn("j", place("js")).withColumn("i", each("is")).withColumn("kind", F.lit(1))
-    order = ["key", "i", "j", "kind", "node", "comp", "n", "dense", "major"]
-    both = members.select(*order).union(outliers.select(*order)).repartition("key", "i", "j").sortWithinPartitions("key", "i", "j", "kind")
-    return stage(both.mapInArrow(_outliers(whole), "a long, b long, key long").distinct(), "cross")
+    order = ["key", "i", "j", "kind", "node", "comp", "major"]
+    members = rows.join(top, "key").withColumn("i", place("is")).withColumn("j", each("js")).withColumn("kind", F.lit(0))
+    outliers = outliers.withColumn("j", place("js")).withColumn("i", each("is")).withColumn("kind", F.lit(1))
+    both = members.select(*order).union(outliers.select(*order)).join(met.select("node", "n", "dense"), "node").select("key", "i", "j", "kind", "node", "comp", "n", "dense", "major")
+    both = both.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j", "kind")
+    return stage(both.mapInArrow(_outliers(mode == WHOLE), "a long, b long, d long, key long, complete boolean").distinct(), "cross")
 
 
 def components(docs: DataFrame) -> DataFrame:
@@ -326,13 +334,13 @@ def components(docs: DataFrame) -> DataFrame:
     bands = known.select(F.explode("keys").alias("key"), "node").repartition("key").sortWithinPartitions("key")
     sets = bands.mapInArrow(_shared, "m long, m2 long, key long, nodes array<long>").repartition("m", "m2").dropDuplicates(["m", "m2"])
     sets = stage(sets.select("key", F.explode("nodes").alias("node")), "sets")
-    # copies of a set are one node from here on: the first of each task, and of these the least
+    # copies of a set are one node from here on, their root: the first of each task, and of these the least
     lead = known.filter("leader IS NULL AND n > 0")
-    first = lead.groupBy("print").agg(F.min("node").alias("rep"), F.count("*").alias("times"))
-    apart = lead.select("node", "print").join(first.filter("times > 1"), "print").filter("node <> rep").select("node", "rep")
-    found = stage(known.select("node", "doc_id", "text_hash", "n", "leader").join(apart, "node", "left").select("node", "doc_id", "text_hash", "n", F.coalesce("leader", "rep").alias("leader")), "documents")
-    shared = sets.join(found.select("node", "leader"), "node").select("key", F.coalesce("leader", "node").alias("node")).distinct()
-    shared = stage(shared, "shared")
+    first = lead.groupBy("print").agg(F.min("node").alias("rep"), F.count("*").alias("times")).filter("times > 1")
+    apart = lead.select(F.col("node").alias("own"), "print").join(first, "print").filter("own <> rep").select("own", "rep")
+    found = known.select("node", "doc_id", "text_hash", "n", F.coalesce("leader", "node").alias("own")).join(apart, "own", "left")
+    found = stage(found.select("node", "doc_id", "text_hash", "n", F.coalesce("rep", "own").alias("root")), "documents")
+    shared = stage(sets.join(found.select("node", "root"), "node").select("key", F.col("root").alias("node")).distinct(), "shared")
     met = stage(known.select("node", "doc_id", "text_hash", "n", "dense").join(shared.select("node").distinct(), "node", "left_semi"), "met")
     unstage(known, sets)
     ids = met.select(F.col("node"), F.col("doc_id").alias("id"), F.col("text_hash").alias("hash"))
@@ -348,20 +356,28 @@ def components(docs: DataFrame) -> DataFrame:
     full = best.join(side("a"), "a").join(side("b"), "b").filter(f"{DENOMINATOR} * least(a_n, b_n) >= {NUMERATOR} * greatest(a_n, b_n)")
     near = stage(full.select("a", "b", "a_n", "b_n", "a_dense", "b_dense").mapInArrow(_near, "a long, b long"), "near")
     links = _links(near, texts)
-    comps, todo, whole = connected(links), shared, False
+    comps, only, mode = connected(links), None, FIRST
     while True:
-        cross = _blocks(todo, comps, met, whole)
-        more = _links(cross.filter("a IS NOT NULL").select("a", "b"), texts)
-        merged = not more.isEmpty()
+        cross = _blocks(shared, comps, met, mode, only)
+        all_, by = cross.filter("a IS NOT NULL"), cross.filter("key IS NOT NULL")
+        n = all_.agg(F.count("*").alias("pairs"), F.count_distinct("a").alias("outliers")).first()
+        last = mode == WHOLE or mode == NEAREST and (not n.pairs or n.pairs <= MANY * n.outliers and by.filter("NOT complete").isEmpty())
+        merged = 0
+        if n.pairs:
+            # all of them, or an outlier's nearest, which may merge components and so make others needless
+            some = all_.groupBy("a").agg(F.min(F.struct("d", "b")).alias("m")).select("a", "m.b") if mode == NEAREST and not last else all_
+            more = _links(some.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), texts)
+            merged = more.count()
         if merged:
             links = links.union(more)
             comps = connected(links)
-        left = cross.filter("key IS NOT NULL").select("key").distinct()
-        if left.isEmpty():
+        if last:
             break
-        todo, whole = shared.join(left, "key", "left_semi"), not merged
-    comps = connected(found.filter("leader IS NOT NULL").select(F.col("leader").alias("a"), F.col("node").alias("b")).union(links))
-    out = found.select("node", "doc_id", "text_hash", F.col("n").alias("n_shingles")).join(comps, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
+        if mode == NEAREST:
+            only = by.select("key").distinct()
+        mode = NEAREST if mode == FIRST or 2 * merged >= n.outliers and n.pairs > 64 * n.outliers else WHOLE
+    comps = comps.withColumnRenamed("node", "root")
+    out = found.join(comps, "root", "left").select("node", "doc_id", "text_hash", F.col("n").alias("n_shingles"), F.coalesce("comp", "root").alias("comp"))
     unstage(shared, met, texts, near)
     return out
 
