@@ -132,7 +132,11 @@ def train(docs: DataFrame, labels: DataFrame, *, target: str = "quality", sample
 
 
 def score(docs: DataFrame, weights: np.ndarray, *, text: str = "text", out: str = "score") -> DataFrame:
-    """Append the probability of label 1 to all rows; empty and null texts get that of the constant alone."""
+    """Append the probability of label 1 to all rows; empty and null texts get that of the constant alone.
+
+    Rows that repeat get the same score each, texts of any length are read whole, an empty table stays empty. Other columns are
+    kept, but for one named like ``out``, which it replaces.
+    """
     model = docs.sparkSession.sparkContext.broadcast(weights.astype("<f4"))  # 2 MB, fixed by BITS
 
     @F.pandas_udf("double")

@@ -24,7 +24,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from genoweave.llm.common import stage
+from genoweave.llm.common import stage, unstage
 from genoweave.llm.quality import sampled
 
 #: The closed word classes of the grammar, in English, German, French and Spanish.
@@ -168,37 +168,47 @@ class Matcher:
 FEATURES = ["high", "many", "total", "share"]
 
 
-def learn(docs: DataFrame, labels: DataFrame, *, target: str = "toxic", sample: int = 12_000, terms: int = 4000, support: int = 6, least: float = 1.5) -> tuple[dict[str, float], np.ndarray]:
+def learn(docs: DataFrame, labels: DataFrame, *, target: str = "toxic", sample: int = 12_000, support: int = 6, least: float = 1.5) -> tuple[dict[str, float], np.ndarray]:
     """Insult patterns with weights, and the calibration (constant and a factor for each of ``FEATURES``).
 
-    Both come from one bounded sample of labelled rows; ``terms`` bounds the patterns. Without labels of both kinds
-    there are no patterns, and every score is about the share of toxic labels, near 0 without any.
+    Both come from one bounded sample of labelled rows. A pattern occurs in ``support`` toxic documents or more, so the sample bounds
+    their number too. Rows are in two halves, by their sketch; the calibration reads the clauses of a half with patterns from the
+    other, as patterns fit the rows that they were learned from too well. Without labels of both kinds there are no
+    patterns, and every score is about the share of toxic labels, near 0 without any.
     """
     words = F.filter(F.split(F.lower(F.coalesce("text", F.lit(""))), r"[^\p{L}\p{N}]+"), lambda w: w != "")
     rows = sampled(docs, labels, target, sample).filter("y IN (0, 1)").withColumn("w", words)
     triples = F.transform(F.sequence(F.lit(0), F.greatest(F.size("w") - 3, F.lit(0))), lambda i: F.xxhash64(F.get("w", i), F.get("w", i + 1), F.get("w", i + 2)))
-    rows = stage(rows.withColumn("sketch", F.array_min(triples)).groupBy("y", "sketch").agg(F.min("text").alias("text"), F.min("w").alias("w")), "labelled")
-    counts = {r.y: r.n for r in rows.groupBy("y").agg(F.count("*").alias("n")).collect()}
-    toxic, other = counts.get(1, 0), counts.get(0, 0)
-    insults: dict[str, float] = {}
-    if toxic and other:
-        of = lambda y: F.count_if(F.col("y") == y)
-        forms = rows.select("y", F.explode(F.array_distinct("w")).alias("word")).groupBy("word").agg(of(1).alias("a"), of(0).alias("b"))
-        parts = F.array(*[F.when(F.length("word") >= k, F.substring("word", 1, k)) for k in STEMS], F.concat(F.lit("="), "word"))
-        seen = forms.select("a", "b", F.explode(F.array_compact(parts)).alias("p")).groupBy("p").agg(F.sum("a").alias("a"), F.sum("b").alias("b"))
-        odds = F.log((F.col("a") + 0.5) / (toxic + 1.0)) - F.log((F.col("b") + 0.5) / (other + 1.0))
-        found = seen.filter(F.col("a") >= support).select("p", odds.alias("v")).filter(F.col("v") >= least)
-        insults = {r.p: r.v for r in found.orderBy(F.desc("v"), "p").limit(terms).collect()}
+    one = rows.withColumn("sketch", F.array_min(triples)).groupBy("y", "sketch").agg(F.min(F.struct("text", "w")).alias("x"))
+    rows = stage(one.select("y", F.pmod("sketch", F.lit(2)).cast("int").alias("half"), "x.text", "x.w"), "labelled")
+    n = {(r.y, r.half): r.n for r in rows.groupBy("y", "half").agg(F.count("*").alias("n")).collect()}
+    toxic, other = (n.get((y, 0), 0) + n.get((y, 1), 0) for y in (1, 0))
     if not (toxic and other):
-        return insults, np.array([math.log((toxic + 0.5) / (other + 1.0)) if toxic or other else -5.0, *[0.0] * len(FEATURES)])
-    matcher = Matcher(insults)
+        return {}, np.array([math.log((toxic + 0.5) / (other + 1.0)) if toxic or other else -5.0, *[0.0] * len(FEATURES)])
+    of = [F.count_if((F.col("y") == y) & (F.col("half") == h)).alias(f"n{y}{h}") for y in (0, 1) for h in (0, 1)]
+    forms = rows.select("y", "half", F.explode(F.array_distinct("w")).alias("word")).groupBy("word").agg(*of)
+    parts = F.array(*[F.when(F.length("word") >= k, F.substring("word", 1, k)) for k in STEMS], F.concat(F.lit("="), "word"))
+    names = ["n00", "n01", "n10", "n11"]
+    seen = forms.select(*names, F.explode(F.array_compact(parts)).alias("p")).groupBy("p").agg(*[F.sum(x).alias(x) for x in names])
+    rare = max(2, support // 2)  # in one half
+    seen = seen.filter((F.col("n10") + F.col("n11") >= support) | (F.col("n10") >= rare) | (F.col("n11") >= rare))
+    odds = lambda a, b, t, o: math.log((a + 0.5) / (t + 1.0)) - math.log((b + 0.5) / (o + 1.0))
+    insults, halves = {}, ({}, {})
+    for r in seen.collect():
+        if r.n10 + r.n11 >= support and (v := odds(r.n10 + r.n11, r.n00 + r.n01, toxic, other)) >= least:
+            insults[r.p] = v
+        for h in (0, 1):
+            if r[f"n1{h}"] >= rare and (v := odds(r[f"n1{h}"], r[f"n0{h}"], n.get((1, h), 0), n.get((0, h), 0))) >= least:
+                halves[h][r.p] = v
 
     @F.pandas_udf(", ".join(f"{x} double" for x in FEATURES))
-    def features(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            yield pd.DataFrame([matcher.features(t) for t in batch], columns=FEATURES, dtype=float)
+    def features(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
+        matchers = [Matcher(halves[1 - h]) for h in (0, 1)]
+        for texts, half in batches:
+            yield pd.DataFrame([matchers[h].features(t) for t, h in zip(texts, half, strict=True)], columns=FEATURES, dtype=float)
 
-    found = rows.select(features("text").alias("f"), "y").select("f.*", "y").collect()  # at most ``sample`` narrow rows
+    found = rows.select(features("text", "half").alias("f"), "y").select("f.*", "y").collect()  # at most ``sample`` narrow rows
+    unstage(rows)
     x = np.array([(1.0, *(r[k] for k in FEATURES)) for r in found]).reshape(-1, len(FEATURES) + 1)
     return insults, _logistic(x, np.array([float(r.y) for r in found]))
 
@@ -221,7 +231,11 @@ def _logistic(x: np.ndarray, y: np.ndarray, ridge: float = 0.1) -> np.ndarray:
 
 
 def score(docs: DataFrame, insults: dict[str, float], calibration: np.ndarray, *, text: str = "text", out: str = "score") -> DataFrame:
-    """Append the probability that a text is toxic to all rows; texts without a match (null, empty) get the base rate."""
+    """Append the probability that a text is toxic to all rows; texts without a match (null, empty) get the base rate.
+
+    Rows that repeat get the same score each, texts of any length are read whole, an empty table stays empty. Other columns are
+    kept, but for one named like ``out``, which it replaces.
+    """
 
     @F.pandas_udf("double")
     def scored(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
