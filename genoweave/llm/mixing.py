@@ -2,8 +2,9 @@
 
 Within a source every document expects the same number of copies, its source's target over its source's size. The
 documents lie in a fixed order, by size class and a hash of the id, so their expected copies have a simple prefix sum:
-rank times rate. One random offset per source is added, and a document is emitted once per integer boundary its
-interval crosses. As neighbours have near-equal sizes, the words taken come close to the target.
+rank times rate. One offset per source is added, and a document is emitted once per integer boundary its
+interval crosses. As neighbours have near-equal sizes, the words taken come close to the target, and of ``OFFSETS`` offsets,
+evenly spaced from a seeded random one, the source takes that which comes closest.
 
 A source may hold most of the rows, so ranks are not taken in one window over a source: documents are counted by
 (source, size class, hash bucket), the counts have a prefix sum within the source, and only the rank inside a bucket
@@ -15,9 +16,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from genoweave.llm.common import n_words
+from genoweave.llm.common import n_words, stage
 
-CAP, WEIGHTS, SEED = 3, (1, 2, 3), 42
+CAP, WEIGHTS, SEED, OFFSETS = 3, (1, 2, 3), 42, 32
 
 
 def _sized(docs: DataFrame) -> DataFrame:
@@ -62,17 +63,25 @@ def copies(docs: DataFrame, *, cap: int = CAP, weights: tuple[int, ...] = WEIGHT
     needed = ("doc_id", "text", "source")
     inner = {c: c if c in needed else f"given{i}" for i, c in enumerate(given)}  # so that no name can clash
     docs = docs.select(*[F.col(f"`{c}`").alias(inner[c]) for c in given])
-    counts = _sized(docs.select(*needed)).groupBy("_key", "_cls", "_bucket").agg(F.count("*").alias("_n"), F.sum("_size").alias("_words"), F.first("source").alias("source"))
+    cell = ["_key", "_cls", "_bucket"]
+    narrow = stage(_sized(docs.select(*needed)).drop("text"), "sizes")
+    counts = narrow.groupBy(*cell).agg(F.count("*").alias("_n"), F.sum("_size").alias("_words"), F.first("source").alias("source"))
     totals = counts.groupBy("_key", "source").agg(F.sum("_words").alias("source_size"))
     before = Window.partitionBy("_key").orderBy("_cls", "_bucket").rowsBetween(Window.unboundedPreceding, 0)
-    places = counts.withColumn("_before", F.sum("_n").over(before) - F.col("_n")).select("_key", "_cls", "_bucket", "_before")
+    places = counts.withColumn("_before", F.sum("_n").over(before) - F.col("_n")).select(*cell, "_before")
     offset = F.conv(F.substring(F.md5(F.concat(F.lit(f"{seed}:"), "_key")), 1, 8), 16, 10).cast("double") / 4294967296.0
     rate = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0)
-    places = places.join(targets(totals, cap=cap, weights=weights).drop("source"), "_key").withColumn("_rate", rate).withColumn("_offset", offset)
-    inside = Window.partitionBy("_key", "_cls", "_bucket").orderBy("_size", "doc_id", "_tie")
-    df = _sized(docs).join(places, ["_key", "_cls", "_bucket"]).withColumn("_rank", F.col("_before") + F.row_number().over(inside))
-    edge = lambda rank: F.floor(rank.cast("double") * F.col("_rate") + F.col("_offset"))
-    df = df.withColumn("copies", edge(F.col("_rank")) - edge(F.col("_rank") - 1)).withColumn("size", F.col("_size"))
+    goals = targets(totals, cap=cap, weights=weights).drop("source").withColumn("_rate", rate).withColumn("_offset", offset)
+    rank = F.col("_before") + F.row_number().over(Window.partitionBy(*cell).orderBy("_size", "doc_id", "_tie"))
+    edge = lambda rank, offset: F.floor(rank.cast("double") * F.col("_rate") + offset)
+    taken = lambda offset: edge(F.col("_rank"), offset) - edge(F.col("_rank") - 1, offset)
+    tried = [F.col("_offset") + j / OFFSETS - F.when(F.col("_offset") + j / OFFSETS >= 1, 1.0).otherwise(0.0) for j in range(OFFSETS)]
+    ranked = narrow.join(places, cell).withColumn("_rank", rank).join(goals, "_key")
+    sums = ranked.groupBy("_key").agg(*[F.sum(F.col("_size") * taken(o)).alias(f"_t{j}") for j, o in enumerate(tried)])
+    closest = F.array_min(F.array(*[F.struct(F.abs(F.col(f"_t{j}") - F.col("target")), F.lit(j), o.alias("o")) for j, o in enumerate(tried)]))
+    goals = goals.join(sums, "_key").select("_key", "source_size", "target", "_rate", closest["o"].alias("_offset"))
+    places = stage(places.join(goals, "_key"), "places")
+    df = _sized(docs).join(places, cell).withColumn("_rank", rank).withColumn("copies", taken(F.col("_offset"))).withColumn("size", F.col("_size"))
     return df.select(*[F.col(inner[c]).alias(c) for c in given], "size", "source_size", "target", "copies")
 
 

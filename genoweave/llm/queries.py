@@ -47,12 +47,17 @@ goals AS (
   SELECT k, source_size, CASE WHEN is_full THEN cap::DOUBLE ELSE rest::DOUBLE * w / open END AS target,
          ('0x' || substr(md5('42:' || k), 1, 8))::BIGINT::DOUBLE / 4294967296.0 AS off FROM shared),
 ranked AS (
-  SELECT c.doc_id, c.size, g.source_size, g.target, g.off, CASE WHEN g.source_size > 0 THEN g.target / g.source_size ELSE 0.0 END AS rate,
+  SELECT c.doc_id, c.k, c.size, g.source_size, g.target, g.off, CASE WHEN g.source_size > 0 THEN g.target / g.source_size ELSE 0.0 END AS rate,
          row_number() OVER (PARTITION BY c.k ORDER BY c.cls, c.bucket, c.size, c.doc_id NULLS FIRST) AS r
-  FROM classed c JOIN goals g USING (k))
+  FROM classed c JOIN goals g USING (k)),
+tried AS (SELECT k, j, off + j / 32.0::DOUBLE - CASE WHEN off + j / 32.0::DOUBLE >= 1 THEN 1.0 ELSE 0.0 END AS o FROM goals, range(32) t(j)),
+sums AS (
+  SELECT r.k, t.j, t.o, any_value(r.target) AS target, sum(size * (floor(r::DOUBLE * rate + o)::BIGINT - floor((r - 1)::DOUBLE * rate + o)::BIGINT)) AS words
+  FROM ranked r JOIN tried t ON r.k = t.k GROUP BY r.k, t.j, t.o),
+chosen AS (SELECT k, o FROM (SELECT *, row_number() OVER (PARTITION BY k ORDER BY abs(words::DOUBLE - target), j) AS n FROM sums) WHERE n = 1)
 SELECT doc_id, size, source_size, target,
-       (floor(r::DOUBLE * rate + off)::BIGINT - floor((r - 1)::DOUBLE * rate + off)::BIGINT) * size AS taken
-FROM ranked
+       (floor(r::DOUBLE * rate + o)::BIGINT - floor((r - 1)::DOUBLE * rate + o)::BIGINT) * size AS taken
+FROM ranked JOIN chosen USING (k)
 """
 
 
