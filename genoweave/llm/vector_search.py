@@ -190,7 +190,27 @@ class HashTables:
         return out
 
 
-def nearest(vectors: DataFrame, is_query: Column, *, k: int = 20, tables: int = 4, functions: int = 8, width: float = 2.0, visit: float = 0.25, seed: int = 9, vec_id: str = "vec_id", embedding: str = "embedding") -> DataFrame:
+def by_norm(x: np.ndarray, **how) -> list[tuple[np.ndarray, HashTables | None]]:
+    """Tables for the rows of each octave of norms, so that a few very long vectors don't make all others alike; an octave of
+    few rows has none."""
+    octave = np.floor(np.log2(np.sqrt((x * x).sum(1))))
+    out = []
+    for o in np.unique(octave):
+        at = np.flatnonzero(octave == o)
+        out.append((at, HashTables(x[at], 2.0 ** (o + 1), **how) if len(at) >= 64 else None))
+    return out
+
+
+def candidates(indexes: list[tuple[np.ndarray, HashTables | None]], q: np.ndarray, n: int, visit: float) -> np.ndarray:
+    """For each query, which rows are candidates in their octave; all of an octave without tables."""
+    out = np.ones((len(q), n), bool)
+    for at, index in indexes:
+        if index is not None:
+            out[:, at] = index.candidates(q, visit)
+    return out
+
+
+def nearest(vectors: DataFrame, is_query: Column, *, k: int = 20, tables: int = 4, functions: int = 8, width: float = 2.0, visit: float = 0.3, seed: int = 9, vec_id: str = "vec_id", embedding: str = "embedding") -> DataFrame:
     """The k rows of each query with the largest inner products among the candidates of all tables.
 
     Zero vectors take no part. Every row is in every table. Candidates are reranked on the original vectors, summed in
@@ -198,15 +218,13 @@ def nearest(vectors: DataFrame, is_query: Column, *, k: int = 20, tables: int =
     rows there has all of the block's rows scored.
     """
     df = _valid(vectors, vec_id, embedding).filter(F.exists("v", lambda x: x != 0))
-    norm = F.sqrt(F.aggregate("v", F.lit(0.0), lambda s, x: s + x * x))
-    largest = df.select(F.max(norm)).first()[0] or 1.0
 
     def search(ids, x, query_ids, q):
-        index = HashTables(x, largest, tables=tables, functions=functions, width=width, seed=seed)
+        indexes = by_norm(x, tables=tables, functions=functions, width=width, seed=seed)
         found = []
         for start in range(0, len(q), 256):
             some = slice(start, start + 256)
-            for own, v, c in zip(query_ids[some].tolist(), q[some], index.candidates(q[some], visit), strict=True):
+            for own, v, c in zip(query_ids[some].tolist(), q[some], candidates(indexes, q[some], len(x), visit), strict=True):
                 places = np.flatnonzero(c & (ids != own))
                 if len(places) < k:
                     places = np.flatnonzero(ids != own)
