@@ -48,9 +48,9 @@ MAPPED = ("peaks", "experiments", "mapped")
 GROUPS = "groups := SELECT (row_number() OVER (ORDER BY ag_class, antigen, ct_class) - 1)::INTEGER AS group_id, ag_class, antigen, ct_class, count(*) AS n_experiments FROM experiments GROUP BY ag_class, antigen, ct_class"
 LOOKUP = "lookup := SELECT x.srx, g.group_id FROM (SELECT *, row_number() OVER (PARTITION BY srx ORDER BY line_no) AS n FROM experiments) x JOIN groups g USING (ag_class, antigen, ct_class) WHERE n = 1"
 RESOLVED = "resolved := SELECT p.*, l.group_id FROM peaks p LEFT JOIN lookup l USING (srx)"
-PROFILE = "profile := SELECT DISTINCT i.window_id, m.antigen AS track FROM ids i JOIN mapped m ON m.chrom = i.chrom AND m.e > i.s AND m.s < i.e AND m.score > 1900"
+PROFILE = "profile := SELECT DISTINCT i.window_id, m.srx AS track FROM ids i JOIN mapped m ON m.chrom = i.chrom AND m.e > i.s AND m.s < i.e"
 IDS = "ids := SELECT row_number() OVER (ORDER BY chrom, s) - 1 AS window_id, chrom, s, e, split FROM labelled"
-WEIGHTS = "weights := SELECT t.track, coalesce(n, 0)::DOUBLE / (SELECT count(*) FROM ids WHERE split = 'train') AS p, ln(1 / greatest(least(coalesce(n, 0)::DOUBLE / (SELECT count(*) FROM ids WHERE split = 'train'), 1), 0.0001)) AS weight FROM (SELECT DISTINCT antigen AS track FROM mapped) t LEFT JOIN (SELECT track, count(*) AS n FROM profile JOIN ids USING (window_id) WHERE split = 'train' GROUP BY track) USING (track)"
+WEIGHTS = "weights := SELECT t.track, coalesce(n, 0)::DOUBLE / (SELECT count(*) FROM ids WHERE split = 'train') AS p, ln(1 / greatest(least(coalesce(n, 0)::DOUBLE / (SELECT count(*) FROM ids WHERE split = 'train'), 1), 0.0001)) AS weight FROM (SELECT DISTINCT srx AS track FROM mapped) t LEFT JOIN (SELECT track, count(*) AS n FROM profile JOIN ids USING (window_id) WHERE split = 'train' GROUP BY track) USING (track)"
 
 
 def _resolved(t: Tables) -> DataFrame:
@@ -77,7 +77,7 @@ def _omics(t: Tables) -> DataFrame:
 
 def _profile(t: Tables) -> tuple[DataFrame, DataFrame]:
     ids = checkpointed(pairs.window_ids(_labelled(t)))  # a release stores both
-    return checkpointed(pairs.profiles(ids, t.mapped().filter("score > 1900"), track="antigen")), ids
+    return checkpointed(pairs.profiles(ids, t.mapped(), track="srx")), ids
 
 
 @query(fx.max_runs_sql("mapped", "antigen, chrom").replace("WITH iv", ", iv", 1), *MAPPED)
@@ -249,23 +249,27 @@ def locus_split_clash(t: Tables) -> DataFrame:
     return windows.split_clashes(_labelled(t))
 
 
-CANDIDATES = "r0 := SELECT DISTINCT ct_class AS tissue, antigen FROM experiments WHERE line_no < 100"
+CANDIDATES = "r0 := SELECT DISTINCT celltype || ' ' || ct_class AS tissue, antigen || ' ' || ag_class AS antigen FROM experiments"
+
+
+#: Antigens of a tissue and tissues of an antigen at least.
+ENOUGH = (24, 6)
 
 
 def _rounds(n: int) -> list[str]:
     out = []
     for i in range(n):
-        out += [f"t{i} := SELECT * FROM r{i} WHERE tissue IN (SELECT tissue FROM r{i} GROUP BY tissue HAVING count(*) >= 6)", f"r{i + 1} := SELECT * FROM t{i} WHERE antigen IN (SELECT antigen FROM t{i} GROUP BY antigen HAVING count(*) >= 3)"]
+        out += [f"t{i} := SELECT * FROM r{i} WHERE tissue IN (SELECT tissue FROM r{i} GROUP BY tissue HAVING count(*) >= {ENOUGH[0]})", f"r{i + 1} := SELECT * FROM t{i} WHERE antigen IN (SELECT antigen FROM t{i} GROUP BY antigen HAVING count(*) >= {ENOUGH[1]})"]
     return out
 
 
 def _candidates(t: Tables) -> DataFrame:
-    return vocab.candidate_pairs(t.experiments().filter("line_no < 100"))
+    return vocab.candidate_pairs(t.experiments().withColumns({"ct_class": F.concat_ws(" ", "celltype", "ct_class"), "antigen": F.concat_ws(" ", "antigen", "ag_class")}))
 
 
 @query("SELECT tissue, antigen FROM r12", "experiments", CANDIDATES, *_rounds(12))
 def vocab_select(t: Tables) -> DataFrame:
-    return vocab.select(_candidates(t), 6, 3)[0]
+    return vocab.select(_candidates(t), *ENOUGH)[0]
 
 
 @query("SELECT tissue, list_sort(list(antigen)) AS features FROM r0 GROUP BY tissue", "experiments", CANDIDATES)
@@ -273,13 +277,13 @@ def feature_availability(t: Tables) -> DataFrame:
     return vocab.availability_map(_candidates(t))
 
 
-FROZEN = "frozen := SELECT i::INTEGER AS idx, 'brand#' || (i + 1)::VARCHAR || CASE WHEN i % 4 = 0 THEN '_' ELSE '' END AS name FROM range(0, 30) t(i)"
+FROZEN = "frozen := SELECT i::INTEGER AS idx, 'brand#' || (i + 1)::VARCHAR || CASE WHEN i % 4 = 0 THEN '_' ELSE ' ' END || 'economy' AS name FROM range(0, 30) t(i)"
 ALIASES = "aliases := SELECT name, min(antigen) AS alias, count(*) AS n FROM frozen JOIN (SELECT DISTINCT antigen FROM r0) ON lower(trim(replace(name, '_', ' '))) = lower(antigen) GROUP BY name"
 
 
 def _frozen(t: Tables) -> DataFrame:
     i = F.col("id")
-    return t.spark.range(30).select(i.cast("int").alias("idx"), F.concat(F.lit("brand#"), (i + 1).cast("string"), F.when(i % 4 == 0, "_").otherwise("")).alias("name"))
+    return t.spark.range(30).select(i.cast("int").alias("idx"), F.concat(F.lit("brand#"), (i + 1).cast("string"), F.when(i % 4 == 0, "_").otherwise(" "), F.lit("economy")).alias("name"))
 
 
 @query("SELECT name, alias, n FROM aliases", "experiments", CANDIDATES, FROZEN, ALIASES)
@@ -287,10 +291,10 @@ def vocab_aliases(t: Tables) -> DataFrame:
     return vocab.resolve_aliases(_frozen(t), _candidates(t))
 
 
-@query("SELECT DISTINCT tissue, idx, name FROM (SELECT *, count(*) OVER (PARTITION BY tissue) AS n FROM (SELECT r.tissue, f.idx, f.name FROM r0 r JOIN aliases a ON r.antigen = a.alias JOIN frozen f USING (name))) WHERE n >= 6", "experiments", CANDIDATES, FROZEN, ALIASES)
+@query("SELECT DISTINCT tissue, idx, name FROM (SELECT *, count(*) OVER (PARTITION BY tissue) AS n FROM (SELECT r.tissue, f.idx, f.name FROM r0 r JOIN aliases a ON r.antigen = a.alias JOIN frozen f USING (name))) WHERE n >= 5", "experiments", CANDIDATES, FROZEN, ALIASES)
 def vocab_freeze(t: Tables) -> DataFrame:
     p, f = _candidates(t), _frozen(t)
-    return vocab.apply_freeze(p, f, vocab.resolve_aliases(f, p), 6)["availability"]
+    return vocab.apply_freeze(p, f, vocab.resolve_aliases(f, p), 5)["availability"]
 
 
 @query("SELECT tissue, antigen FROM r0 UNION SELECT 'All cell types', antigen FROM r0", "experiments", CANDIDATES)
@@ -317,7 +321,7 @@ def profiles(t: Tables) -> DataFrame:
 @query("SELECT track, round(p, 6) AS p, round(weight, 6) AS weight FROM weights", *MAPPED, *ALL_WINDOWS, IDS, PROFILE, WEIGHTS)
 def idf_weights(t: Tables) -> DataFrame:
     p, ids = _profile(t)
-    return pairs.idf_weights(p, ids, t.mapped().select(F.col("antigen").alias("track")).distinct()).select("track", F.round("p", 6).alias("p"), F.round("weight", 6).alias("weight"))
+    return pairs.idf_weights(p, ids, t.mapped().select(F.col("srx").alias("track")).distinct()).select("track", F.round("p", 6).alias("p"), F.round("weight", 6).alias("weight"))
 
 
 JACCARD = (
@@ -325,14 +329,14 @@ JACCARD = (
     "sizes_of := SELECT window_id, chrom, s, sum(weight) AS size FROM held GROUP BY window_id, chrom, s HAVING count(*) >= 2",
     "met := SELECT a.window_id AS src, b.window_id AS dst, sum(a.weight) AS i FROM held a JOIN held b ON a.track = b.track AND a.window_id <> b.window_id GROUP BY a.window_id, b.window_id",
     "scored := SELECT src, dst, round(i / (x.size + y.size - i), 6) AS score FROM met JOIN sizes_of x ON x.window_id = src JOIN sizes_of y ON y.window_id = dst WHERE x.chrom <> y.chrom OR abs(x.s - y.s) > 20000",
-    "top := SELECT src, dst, score, row_number() OVER (PARTITION BY src ORDER BY score DESC, md5('0:' || src::VARCHAR || ':' || dst::VARCHAR))::INTEGER AS rank FROM scored WHERE score >= 0.2",
+    "top := SELECT src, dst, score, row_number() OVER (PARTITION BY src ORDER BY score DESC, md5('0:' || src::VARCHAR || ':' || dst::VARCHAR))::INTEGER AS rank FROM scored WHERE score >= 0.12",
 )
 
 
 def _pairs(t: Tables) -> DataFrame:
     p, ids = _profile(t)
-    weights = pairs.idf_weights(p, ids, t.mapped().select(F.col("antigen").alias("track")).distinct())
-    return pairs.similar_pairs(p, ids, weights, threshold=0.2, max_pairs=8, min_separation=20000)
+    weights = pairs.idf_weights(p, ids, t.mapped().select(F.col("srx").alias("track")).distinct())
+    return pairs.similar_pairs(p, ids, weights, threshold=0.12, max_pairs=8, min_separation=20000)
 
 
 @query("SELECT src, dst, score, rank FROM top WHERE rank <= 8", *MAPPED, *ALL_WINDOWS, IDS, PROFILE, WEIGHTS, *JACCARD)
