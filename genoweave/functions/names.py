@@ -77,8 +77,8 @@ def parse_size(text: str) -> int:
 
 
 def check_release_id(text: str) -> str:
-    """A release id, a date such as 2024-06-01 with an optional suffix; anything else is refused."""
-    if not re.fullmatch(r"\d{4}-\d{2}-\d{2}(?:[._-][A-Za-z0-9._-]+)?", text):
+    """A release id, which names a folder: letters, digits, dots, underscores and dashes after a letter or digit."""
+    if not re.fullmatch(r"[A-Za-z0-9][A-Za-z0-9._-]*", text):
         raise ValueError(f"not a release id: {text!r}")
     return text
 

@@ -13,7 +13,8 @@ from genoweave.functions import names
 from genoweave.operators import intervals as iv
 from genoweave.operators import omics, pairs, peaks, vocab, windows
 from genoweave.plans import verify
-from genoweave.session import checkpointed
+from genoweave.session import checkpointed, scratch
+from genoweave.sources import readers, sinks
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -102,7 +103,11 @@ def pan_tissue_runs(t: Tables) -> DataFrame:
 
 @query("SELECT chrom, count(*) AS n, min(s) AS first_s, max(e) AS last_e, sum(score)::BIGINT AS total FROM peaks GROUP BY chrom", "peaks")
 def peak_scan_typed(t: Tables) -> DataFrame:
-    return t.peaks().groupBy("chrom").agg(F.count("*").alias("n"), F.min("start").alias("first_s"), F.max("end").alias("last_e"), F.sum("score").alias("total"))
+    path, p = scratch(t.spark, "bed5"), t.peaks()
+    wrong = F.concat_ws("\t", "chrom", "start", "end", "srx", "score", "srx")  # lines of another width, which the reader sets apart
+    p.select(F.explode(F.array(F.concat_ws("\t", *p.columns), wrong)).alias("value")).write.option("compression", "gzip").text(path)
+    found = readers.good_peaks(readers.read_peaks(t.spark, path))
+    return found.groupBy("chrom").agg(F.count("*").alias("n"), F.min("start").alias("first_s"), F.max("end").alias("last_e"), F.sum("score").alias("total"))
 
 
 @query("SELECT *, 'hg38/' || k(ag_class) || '/' || k(ct_class) || '/' || k(antigen) || '.bed' AS path FROM groups".replace("k(", "regexp_replace(").replace("_class)", "_class, '[^A-Za-z0-9._+-]+', '_', 'g')").replace("(antigen)", "(antigen, '[^A-Za-z0-9._+-]+', '_', 'g')"), "experiments", GROUPS)
@@ -382,3 +387,94 @@ def conservation(t: Tables) -> DataFrame:
 @query("SELECT tissue, chrom, s, e FROM (SELECT tissue, chrom, least(x, len) AS s, least(x + 4096, len) AS e, x // 4096 AS chunk FROM tissues, (SELECT *, unnest(range(0, len, 4096)) AS x FROM sizes)) g WHERE NOT EXISTS (SELECT 1 FROM chunked c WHERE c.tissue = g.tissue AND c.chrom = g.chrom AND c.chunk = g.chunk)", "sizes", *MAPPED, RUNS, CHUNKED, TISSUES)
 def missing_chunks(t: Tables) -> DataFrame:
     return _named(verify.missing_chunks(_omics(t), windows.chunk_grid(t.sizes(), CHUNK), t.experiments().select(F.col("ct_class").alias("tissue")).distinct(), CHUNK))
+
+
+# tables written in the engine's formats and read back
+
+
+@query("SELECT chrom, count(*) AS bad FROM peaks GROUP BY chrom", "peaks")
+def bad_peak_lines(t: Tables) -> DataFrame:
+    path, p = scratch(t.spark, "bed4"), t.peaks()
+    p.select(F.explode(F.array(F.concat_ws("\t", *p.columns), F.concat_ws("\t", "chrom", "start", "end", "srx"))).alias("value"), "chrom").write.partitionBy("chrom").text(path)
+    counts = [(f"chr{i}", readers.bad_rows(readers.read_peaks(t.spark, f"{path}/chrom=chr{i}"))) for i in range(1, 8)]
+    return t.spark.createDataFrame(counts, "chrom string, bad long").filter("bad > 0")
+
+
+@query("SELECT srx, org, ag_class, antigen, ct_class, celltype FROM experiments", "experiments")
+def live_list_scan(t: Tables) -> DataFrame:
+    path, names = scratch(t.spark, "list"), readers.EXPERIMENT
+    whole = F.concat_ws("\t", *names, F.lit('a "title'), F.lit("more"))
+    t.experiments().select(F.explode(F.array(whole, F.concat_ws("\t", *names[:5]))).alias("value")).write.text(path)  # every second line is too short
+    return readers.read_live_list(t.spark, path).drop("line_no")
+
+
+@query("SELECT ct_class, antigen, chrom, s, e, value FROM tissue_runs WHERE chrom IN ('chr2', 'chr5')", *MAPPED, RUNS)
+def track_scan(t: Tables) -> DataFrame:
+    path = scratch(t.spark, "tracks")
+    sinks.write_tracks(_runs(t), path, ("ct_class", "antigen"), text=f"{path}-text")
+    return _named(readers.read_track(t.spark, f"{path}-text", ["chr2", "chr5"]))
+
+
+@query("SELECT ct_class, antigen, chrom, s, e, value FROM tissue_runs", *MAPPED, RUNS)
+def tracks_stored(t: Tables) -> DataFrame:
+    path = scratch(t.spark, "tracks")
+    sinks.write_tracks(_runs(t), path, ("ct_class", "antigen"))
+    return _named(t.spark.read.parquet(path))
+
+
+@query("SELECT chrom, s, e FROM n_runs", "n_intervals", MERGED_N)
+def runs_scan(t: Tables) -> DataFrame:
+    path, lines = scratch(t.spark, "bed3"), t.n_intervals().select(F.concat_ws("  ", "chrom", "start", "end", F.lit("label")).alias("value"))
+    odd = t.spark.createDataFrame([(x,) for x in ("# chr1 1 60000", "track chr1 1", "browser position chr1", "", "chr1 5")], "value string")
+    lines.union(odd).write.text(path)
+    return _named(readers.read_runs(t.spark, path))
+
+
+@query(r"SELECT doc_id::VARCHAR AS chrom, len(regexp_replace(replace(coalesce(text, ''), '>', ''), '[\s\x0B]', '', 'g'))::BIGINT AS len FROM documents")
+def fasta_scan(t: Tables) -> DataFrame:
+    path = scratch(t.spark, "fasta")
+    body = F.replace(F.coalesce("text", F.lit("")), F.lit(">"), F.lit(""))
+    t.read("documents").select(F.concat(F.lit(">"), F.col("doc_id").cast("string"), F.lit(" a record\n"), body).alias("value")).write.text(path)
+    return readers.chrom_sizes(readers.read_fasta(t.spark, path))
+
+
+@query("SELECT chrom, s, e, srx, score FROM mapped", *MAPPED)
+def group_beds(t: Tables) -> DataFrame:
+    path = scratch(t.spark, "beds")
+    sinks.write_group_beds(t.mapped(), path, ("ct_class", "antigen"))
+    return _named(readers.good_peaks(readers.read_peaks(t.spark, path)))
+
+
+@query("SELECT group_id, ag_class, antigen, ct_class, n_experiments FROM groups", "experiments", GROUPS)
+def groups_stored(t: Tables) -> DataFrame:
+    path, columns = scratch(t.spark, "groups"), ["group_id", "ag_class", "antigen", "ct_class", "n_experiments"]
+    peaks.group_table(peaks.experiments_of(t.experiments(), "hg38")).select(*columns, "path").write.option("sep", "\t").option("header", True).csv(path)
+    return readers.read_groups(t.spark, path).select(*columns)
+
+
+@query("SELECT srx, group_id FROM lookup", "experiments", GROUPS, LOOKUP)
+def lookup_stored(t: Tables) -> DataFrame:
+    path, x = scratch(t.spark, "lookup"), t.experiments()
+    sinks.write_lookup(peaks.accession_lookup(x, peaks.group_table(x)), path)
+    return readers.read_lookup(t.spark, path)
+
+
+@query('SELECT tissue, chrom, chunk, chrom AS "Chromosome", s AS "Start", e AS "End", value AS "Name", antigen AS feature_name FROM chunked', *MAPPED, RUNS, CHUNKED)
+def omics_stored(t: Tables) -> DataFrame:
+    path = scratch(t.spark, "omics")
+    sinks.write_omics(_omics(t), path)
+    return readers.read_omics(t.spark, path)
+
+
+@query("SELECT chrom, s, e, split FROM labelled", *ALL_WINDOWS)
+def windows_stored(t: Tables) -> DataFrame:
+    path = scratch(t.spark, "windows")
+    sinks.write_windows(_labelled(t), path)
+    return _named(t.spark.read.parquet(path))
+
+
+@query("SELECT chrom, len FROM sizes", "sizes")
+def sizes_stored(t: Tables) -> DataFrame:
+    path = scratch(t.spark, "sizes")
+    sinks.write_chrom_sizes(t.sizes(), path)
+    return readers.read_chrom_sizes(t.spark, path)

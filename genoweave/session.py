@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 import zipfile
 from pathlib import Path
 
@@ -15,10 +16,26 @@ def build(app: str = "genoweave", **conf: str) -> SparkSession:
     return SparkSession.builder.appName(app).config(map=base | {k.replace("__", "."): v for k, v in conf.items()}).getOrCreate()
 
 
+_LOCAL: dict[str, str] = {}
+
+
+def shared_dir(spark: SparkSession) -> str:
+    """The folder that the driver and all executors share, which ``spark.checkpoint.dir`` names.
+
+    Where that is unset, a local session (tests) takes a temporary folder; on a cluster it is an error.
+    """
+    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    if not root:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that the driver and all executors share")
+        root = _LOCAL.get("dir") or _LOCAL.setdefault("dir", tempfile.mkdtemp(prefix="genoweave-"))
+    return root.rstrip("/")
+
+
 def with_checkpoints(spark: SparkSession) -> SparkSession:
-    """Makes ``checkpoint()`` usable: in the folder that spark.checkpoint.dir names, else (in tests) in a local one."""
+    """Makes ``checkpoint()`` usable, in the shared folder."""
     if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="genoweave-"))
+        spark.sparkContext.setCheckpointDir(shared_dir(spark))
     return spark
 
 
@@ -43,3 +60,8 @@ def ship(spark: SparkSession) -> SparkSession:
         context.addPyFile(str(target))
         _SHIPPED.add(context.applicationId)
     return spark
+
+
+def scratch(spark: SparkSession, name: str) -> str:
+    """A new path in the shared folder, for tables that are written and read back."""
+    return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -91,16 +92,16 @@ def write_pairs(pairs: DataFrame, weights: DataFrame, path: str) -> None:
 
 
 def put_text(spark: SparkSession, path: str, text: str) -> None:
-    """Replace a small file by rename, on any file system that Spark reaches."""
-    jvm = spark.sparkContext._jvm
-    target, part = jvm.org.apache.hadoop.fs.Path(path), jvm.org.apache.hadoop.fs.Path(path + ".tmp")
-    fs = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    """Replace a small file by one rename over it, so that readers find the old text or the new one."""
+    hadoop, conf = spark.sparkContext._jvm.org.apache.hadoop.fs, spark.sparkContext._jsc.hadoopConfiguration()
+    fs = hadoop.Path(path).getFileSystem(conf)
+    target, part = fs.makeQualified(hadoop.Path(path)), fs.makeQualified(hadoop.Path(f"{path}.{uuid.uuid4().hex}.tmp"))
     out = fs.create(part, True)
     out.write(bytearray(text.encode()))
     out.close()
-    if not fs.rename(part, target):
-        fs.delete(target, False)
-        fs.rename(part, target)
+    over = spark.sparkContext._gateway.new_array(hadoop.Options.Rename, 1)
+    over[0] = hadoop.Options.Rename.OVERWRITE
+    hadoop.FileContext.getFileContext(target.toUri(), conf).rename(part, target, over)
 
 
 def get_text(spark: SparkSession, path: str) -> str:

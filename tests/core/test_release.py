@@ -26,11 +26,11 @@ def test_names(spark):
     for r in df.select("x", names.slugify(F.col("x")).alias("s"), names.normalise(F.col("x")).alias("n")).collect():
         assert r.s == names.slug_text(r.x) and r.n == ("NA" if (r.x or "").strip() in ("", "-", "N/A") else r.x.strip())
     assert names.slug_text("CD4/CD8") == names.slug_text("CD4 CD8") == "CD4_CD8" and names.slug_text("α-tubulin") == "-tubulin" and names.slug_text("é à") == "e_a"
-    assert names.parse_size("512M") == 512 << 20 and names.parse_size("7") == 7 and names.check_release_id("2024-06-01") == "2024-06-01"
+    assert names.parse_size("512M") == 512 << 20 and names.parse_size("7") == 7 and [names.check_release_id(x) for x in ("2024-06-01", "v2", "2026Q1")] == ["2024-06-01", "v2", "2026Q1"]
     for bad in ("x", "1.5G", ""):
         with pytest.raises(ValueError):
             names.parse_size(bad)
-    for bad in ("latest", "../x", "2024-6-1", ""):
+    for bad in ("../x", ".x", "a/b", "a b", "v2\n", ""):
         with pytest.raises(ValueError):
             names.check_release_id(bad)
     got = df.limit(1).select(names.signal_file_parts(F.lit("05.H3.K27ac.AllCell.bed")).alias("a"), names.signal_file_parts(F.lit("x.bed")).alias("b")).first()
