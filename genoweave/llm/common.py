@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 import re
-import tempfile
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from genoweave.session import shared_dir
+
 #: A word, wherever the contracts speak of words: a run of anything but ASCII white space.
 WORD = r"[^\x20\x09-\x0D]+"
 
@@ -24,18 +25,6 @@ def common_only(text: str) -> bool:
 _CONTROL = re.compile("[\x00-\x08\x0b-\x0c\x0e-\x1f\x7f]")
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that the driver and all executors share.
-
-    It is read from ``spark.checkpoint.dir``; only where that is unset (local tests) a temporary folder is taken.
-    """
-    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
-    if not root:
-        root = _LOCAL.setdefault("dir", tempfile.mkdtemp(prefix="genoweave-"))
-    return root.rstrip("/")
-
-
-_LOCAL: dict[str, str] = {}
 _STAGED: dict[str, None] = {}
 
 
