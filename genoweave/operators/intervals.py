@@ -59,6 +59,41 @@ def _segments(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[tuple[b
         last = [c[len(b) - 1].as_py() for c in b.columns[:width]]
 
 
+def _alike(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The batches in one schema with nullable fields. Spark's own batches say which columns have no nulls, made ones
+    don't, and a task's stream must not hold both kinds."""
+    schema = None
+    for b in batches:
+        schema = schema or pa.schema([pa.field(f.name, f.type) for f in b.schema])
+        yield pa.RecordBatch.from_arrays(b.columns, schema=schema)
+
+
+def _paint(dense: np.ndarray, low: np.ndarray, high: np.ndarray, value: np.ndarray) -> None:
+    """Raises ``dense`` to the largest value of the spans [low, high) at each place; ``value`` rises.
+
+    A span is the union of two stretches whose length is a power of two. The stretches of one length are written by their
+    starts, the largest last, and each length passes its values on to the one half as long, so the work is that of the
+    rows and of the array, however long the spans are.
+    """
+    if len(low) < 200:
+        for a, b, v in zip(low.tolist(), high.tolist(), value, strict=True):
+            dense[a:b] = v
+        return
+    power = np.frexp(high - low)[1] - 1
+    level = np.zeros_like(dense)
+    for k in range(int(power.max()), -1, -1):
+        own = np.zeros_like(dense)
+        at = power == k
+        own[low[at]] = value[at]
+        other = np.zeros_like(dense)
+        other[high[at] - (1 << k)] = value[at]
+        np.maximum(level, np.maximum(own, other), out=level)
+        if k:
+            half = 1 << (k - 1)
+            level[half:] = np.maximum(level[half:], level[:-half])
+    np.maximum(dense, level, out=dense)
+
+
 def _painted(batches: Iterator[pa.RecordBatch], width: int, tile: int) -> Iterator[pa.RecordBatch]:
     """Maximum runs of rows (``width`` columns of keys and tile, start, end, value), sorted by the keys and the value."""
     out: list[tuple] = []  # a group's first row with its batch, and its runs
@@ -83,15 +118,14 @@ def _painted(batches: Iterator[pa.RecordBatch], width: int, tile: int) -> Iterat
     for goes_on, b, i, j in _segments(batches, width):
         if b is not now:
             now, base = b, b.column(width - 1).to_numpy() * tile
-            low, high, value = (b.column(width).to_numpy() - base).tolist(), (b.column(width + 1).to_numpy() - base).tolist(), b.column(width + 2).to_numpy()
+            low, high, value = b.column(width).to_numpy() - base, b.column(width + 1).to_numpy() - base, b.column(width + 2).to_numpy()
         if not goes_on:
             if dense is not None:
                 close()
                 if len(out) >= 2000:
                     yield from flush()
             dense, at = np.zeros(tile, value.dtype), (b, i)
-        for x in range(i, j):  # by rising value, so that larger ones paint over smaller ones
-            dense[low[x] : high[x]] = value[x]
+        _paint(dense, low[i:j], high[i:j], value[i:j])  # by rising value, so that larger ones paint over smaller ones
     if dense is not None:
         close()
     yield from flush()
@@ -123,8 +157,8 @@ def max_runs(df: DataFrame, keys: Sequence[str], *, bin_size: int = 1, tile: int
     at = [*keys, "tile"]
     parts = clipped(df, tile).select(*at, "start", "end", "value")
     width = len(at)
-    parts = parts.mapInArrow(lambda x: _combined(x, width, tile), parts.schema).repartition(*at).sortWithinPartitions(*at, "value")
-    runs = parts.mapInArrow(lambda x: _painted(x, width, tile), parts.schema)
+    parts = parts.mapInArrow(lambda x: _alike(_combined(x, width, tile)), parts.schema).repartition(*at).sortWithinPartitions(*at, "value")
+    runs = parts.mapInArrow(lambda x: _alike(_painted(x, width, tile)), parts.schema)
     runs = _joined(runs, keys, tile)
     if bin_size > 1:
         runs = runs.withColumns({"start": F.col("start") * bin_size, "end": F.col("end") * bin_size})
@@ -238,7 +272,7 @@ def min_over(spans: DataFrame, runs: DataFrame, keys: Sequence[str] = ("chrom",)
     types = dict(rows.dtypes)
     schema = ", ".join(f"`{k}` {types[k]}" for k in keys) + f", start long, end long, _low {kind}, _full boolean"
     width = len(at)
-    found = rows.mapInArrow(lambda x: _least(x, width, tile), schema).groupBy(*ids).agg(F.min("_low").alias("_low"), F.min("_full").alias("_full"))
+    found = rows.mapInArrow(lambda x: _alike(_least(x, width, tile)), schema).groupBy(*ids).agg(F.min("_low").alias("_low"), F.min("_full").alias("_full"))
     return spans.join(found, ids, "left").withColumn(out, F.when(F.col("_full"), F.col("_low")).otherwise(0)).drop("_low", "_full")
 
 
