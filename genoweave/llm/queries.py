@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from genoweave.llm import html_text, jaccard_join, mixing, packing, quality, token_counts, toxicity, url_filter, vector_search
+from genoweave.llm import filter_audit, html_text, jaccard_join, mixing, packing, quality, token_counts, toxicity, url_filter, vector_search
 from genoweave.llm.common import fold
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -145,8 +145,39 @@ def op10_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return df.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
 
 
+def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.audit(_table(spark, sf_dir, "documents").select("doc_id", "text", "lang"), _table(spark, sf_dir, "labels"))
+
+
+OP13_SQL = r"""
+WITH texts AS (
+  SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+marked AS (SELECT doc_id, max((quality = 1)::INT) AS good, max((toxic = 1)::INT) AS toxic FROM labels GROUP BY doc_id),
+failing AS (
+  SELECT part, (len(w) < 200)::INT + 2 * (100 * len(list_distinct(w)) < 50 * len(w))::INT + 4 * (100 * len(regexp_replace(t, '[^A-Z]', '', 'g')) > 3 * len(t))::INT
+         + 8 * regexp_matches(t, '[#$%&*|]')::INT + 16 * coalesce(doc_id > min(doc_id) OVER (PARTITION BY t), false)::INT AS mask, coalesce(good, 0) AS good, coalesce(toxic, 0) AS toxic
+  FROM texts LEFT JOIN marked USING (doc_id)),
+masks AS (SELECT part, mask, count(*)::BIGINT AS n, sum(good)::BIGINT AS good, sum(toxic)::BIGINT AS toxic FROM failing GROUP BY part, mask),
+letters AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS x),
+orders AS (
+  SELECT a.x || b.x || c.x || d.x || e.x AS filter_order FROM letters a, letters b, letters c, letters d, letters e
+  WHERE len(list_distinct([a.x, b.x, c.x, d.x, e.x])) = 5),
+steps AS (
+  SELECT filter_order, step::INTEGER AS step, 1 << instr('ABCDE', filter_order[step]) - 1 AS own, list_sum([1 << instr('ABCDE', filter_order[i]) - 1 FOR i IN range(1, step)]) AS prior
+  FROM orders, range(1, 6) r(step)),
+counted AS (
+  SELECT part, filter_order, step, own, sum(n) FILTER (mask & (own | coalesce(prior, 0)::INT) = 0) AS kept, sum(n) FILTER (mask & own > 0 AND mask & coalesce(prior, 0)::INT = 0) AS removed,
+         sum(n) FILTER (mask & own > 0 AND mask & coalesce(prior, 0)::INT > 0) AS redundant, sum(n) FILTER (mask = own) AS unique_fails,
+         sum(good) FILTER (mask & own > 0 AND mask & coalesce(prior, 0)::INT = 0) AS good_lost, sum(toxic) FILTER (mask & own > 0 AND mask & coalesce(prior, 0)::INT = 0) AS toxic_lost
+  FROM steps, masks GROUP BY part, filter_order, step, own)
+SELECT part, filter_order, step, coalesce(kept, 0)::BIGINT AS kept, coalesce(removed, 0)::BIGINT AS removed, coalesce(redundant, 0)::BIGINT AS redundant, coalesce(unique_fails, 0)::BIGINT AS unique_fails,
+       coalesce(good_lost, 0)::BIGINT AS good_lost, coalesce(toxic_lost, 0)::BIGINT AS toxic_lost, coalesce(sum(removed) OVER (PARTITION BY part, own), 0)::BIGINT AS shapley
+FROM counted
+"""
+
+
 QUERIES: dict[str, Query] = {
     "op1_mix": op1_mix, "op2_urls": op2_urls, "op3_quality": op3_quality, "op4_exact_top_k": op4_exact_top_k, "op5_pack": op5_pack, "op6_jaccard": op6_jaccard,
-    "op7_toxicity": op7_toxicity, "op8_token_counts": op8_token_counts, "op9_nearest": op9_nearest, "op10_main_text": op10_main_text,
+    "op7_toxicity": op7_toxicity, "op8_token_counts": op8_token_counts, "op9_nearest": op9_nearest, "op10_main_text": op10_main_text, "op13_filter_audit": op13_filter_audit,
 }
-ORACLE_SQL: dict[str, str] = {"op1_mix": OP1_SQL, "op4_exact_top_k": OP4_SQL, "op6_jaccard": OP6_SQL}
+ORACLE_SQL: dict[str, str] = {"op1_mix": OP1_SQL, "op4_exact_top_k": OP4_SQL, "op6_jaccard": OP6_SQL, "op13_filter_audit": OP13_SQL}
