@@ -9,10 +9,9 @@ Shapley values. No order is ever run over documents.
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
-from functools import reduce
+from collections.abc import Iterable, Mapping, Sequence
 from itertools import permutations
-from operator import add
+from math import factorial
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -20,40 +19,40 @@ from pyspark.sql import functions as F
 from genoweave.llm.common import WORD
 
 
-def _plus(terms: Sequence[Column]) -> Column:
-    return reduce(add, terms)
+def _signed(joint: str, sets: Iterable[tuple[int, int]]) -> str:
+    """SQL for a sum of joint counts (set, factor)."""
+    return " + ".join(f"{joint}[{s}] * {x}L" for s, x in sets) or "0L"
 
 
-def joint_counts(rows: DataFrame, flags: Sequence[str], measures: Mapping[str, Column], by: Sequence[str]) -> DataFrame:
-    """For each key, a column a measure: an array with, at place s, the measure summed over rows that fail all filters of
-    the set s (bit i is filter i); place 0 has all rows. ``flags`` are columns of 0 and 1."""
+def joint_counts(rows: DataFrame, flags: Sequence[str], measures: Mapping[str, str], by: Sequence[str]) -> DataFrame:
+    """For each key, a column a measure (an expression by name): an array with, at place s, the measure summed over rows
+    that fail all filters of the set s (bit i is filter i); place 0 has all rows. ``flags`` are columns of 0 and 1."""
     sets = range(1 << len(flags))
-    product = lambda s, m: reduce(lambda x, i: x * F.col(flags[i]), [i for i in range(len(flags)) if s >> i & 1], m)
-    sums = [F.sum(product(s, m)).alias(f"_{name}{s}") for name, m in measures.items() for s in sets]
-    return rows.groupBy(*by).agg(*sums).select(*by, *[F.array(*[F.col(f"_{name}{s}") for s in sets]).alias(name) for name in measures])
+    product = lambda s, m: " * ".join([f"({m})", *[f for i, f in enumerate(flags) if s >> i & 1]])
+    sums = [F.expr(f"sum({product(s, m)}) AS _{name}{s}") for name, m in measures.items() for s in sets]
+    return rows.groupBy(*by).agg(*sums).select(*by, *[F.array(*[f"_{name}{s}" for s in sets]).alias(name) for name in measures])
 
 
-def survivors(joint: Column, n: int) -> Column:
+def survivors(joint: str, n: int) -> Column:
     """An array with, at place s, the rows that fail no filter of the set s: joint counts of its subsets, signs by size."""
-    subsets = lambda s: [t for t in range(1 << n) if t & s == t]
-    return F.array(*[_plus([joint[t] if t.bit_count() % 2 == 0 else -joint[t] for t in subsets(s)]) for s in range(1 << n)])
+    subsets = lambda s: ((t, (-1) ** t.bit_count()) for t in range(1 << n) if t & s == t)
+    return F.expr(f"array({', '.join(_signed(joint, subsets(s)) for s in range(1 << n))})")
 
 
-def exactly(joint: Column, n: int) -> Column:
+def exactly(joint: str, n: int) -> Column:
     """An array with, at place s, the rows that fail just the filters of the set s: the Möbius inverse over supersets."""
-    supersets = lambda s: [t for t in range(1 << n) if t & s == s]
-    return F.array(*[_plus([joint[t] if (t ^ s).bit_count() % 2 == 0 else -joint[t] for t in supersets(s)]) for s in range(1 << n)])
+    supersets = lambda s: ((t, (-1) ** (t ^ s).bit_count()) for t in range(1 << n) if t & s == s)
+    return F.expr(f"array({', '.join(_signed(joint, supersets(s)) for s in range(1 << n))})")
 
 
-def shapley_sums(joint: Column, n: int) -> Column:
+def shapley_sums(joint: str, n: int) -> Column:
     """An array with, for each filter, what it removes summed over all n! orders.
 
     The dividend of a set is its joint count, positive for odd sizes. A filter's Shapley value has an equal share of the
     dividend of every set that it is in, and n! is a multiple of each set's size.
     """
-    orders = reduce(lambda a, b: a * b, range(1, n + 1), 1)
-    share = lambda t: joint[t] * ((orders // t.bit_count()) * (1 if t.bit_count() % 2 else -1))
-    return F.array(*[_plus([share(t) for t in range(1, 1 << n) if t >> i & 1]) for i in range(n)])
+    shares = lambda i: ((t, factorial(n) // t.bit_count() * (-1) ** (t.bit_count() + 1)) for t in range(1 << n) if t >> i & 1)
+    return F.expr(f"array({', '.join(_signed(joint, shares(i)) for i in range(n))})")
 
 
 def report(joint: DataFrame, letters: str, by: Sequence[str], *, total: str = "n", lost: Mapping[str, str] | None = None) -> DataFrame:
@@ -66,11 +65,11 @@ def report(joint: DataFrame, letters: str, by: Sequence[str], *, total: str = "n
     lost, n = dict(lost or {}), len(letters)
     orders = F.explode(F.array(*[F.lit("".join(p)) for p in permutations(letters)])).alias("filter_order")
     df = joint.select(
-        *by, F.col(total).alias("_joint"), exactly(F.col(total), n).alias("_exactly"), shapley_sums(F.col(total), n).alias("_shapley"), survivors(F.col(total), n).alias("_kept"),
-        *[survivors(F.col(m), n).alias(f"_kept_{name}") for name, m in lost.items()], orders,
+        *by, F.col(total).alias("_joint"), exactly(total, n).alias("_exactly"), shapley_sums(total, n).alias("_shapley"), survivors(total, n).alias("_kept"),
+        *[survivors(m, n).alias(f"_kept_{name}") for name, m in lost.items()], orders,
     )
     df = df.withColumn("step", F.explode(F.sequence(F.lit(1), F.lit(n))))
-    of = lambda which, value: _plus([F.when(which(x), value(i)).otherwise(0) for i, x in enumerate(letters)])
+    of = lambda which, value: sum((F.when(which(x), value(i)).otherwise(0) for i, x in enumerate(letters)), F.lit(0))
     own, prefix = F.substring("filter_order", F.col("step"), F.lit(1)), F.substring("filter_order", F.lit(1), F.col("step"))
     df = df.withColumns({"_own": of(lambda x: own == x, lambda i: i), "_bit": of(lambda x: own == x, lambda i: 1 << i), "_after": of(lambda x: F.contains(prefix, F.lit(x)), lambda i: 1 << i)})
     df = df.withColumn("_before", F.col("_after") - F.col("_bit"))
@@ -119,5 +118,4 @@ def audit(docs: DataFrame, labels: DataFrame, *, doc_id: str = "doc_id", text: s
     """For each part, each of the 120 orders of the filters A to E, and each step: the counts of ``report``, with good_lost
     and toxic_lost. An empty table gives no row; columns of other names are not looked at."""
     rows = failures(docs, labels, doc_id=doc_id, text=text, part=part)
-    measures = {"n": F.col("n"), "good": F.col("n") * F.col("good"), "toxic": F.col("n") * F.col("toxic")}
-    return report(joint_counts(rows, "ABCDE", measures, ["part"]), "ABCDE", ["part"], lost={"good_lost": "good", "toxic_lost": "toxic"})
+    return report(joint_counts(rows, "ABCDE", {"n": "n", "good": "n * good", "toxic": "n * toxic"}, ["part"]), "ABCDE", ["part"], lost={"good_lost": "good", "toxic_lost": "toxic"})

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from genoweave.llm import filter_audit, html_text, jaccard_join, mixing, packing, quality, token_counts, toxicity, url_filter, vector_search
+from genoweave.llm import decontamination, filter_audit, hard_negatives, html_text, jaccard_join, mixing, packing, quality, token_counts, toxicity, url_filter, vector_search
 from genoweave.llm.common import fold
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -145,6 +145,55 @@ def op10_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return df.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    shifted = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.mine(_table(spark, sf_dir, "embeddings").withColumn("label", shifted), F.col("id") % 100 == 0)
+
+
+OP11_SQL = """
+WITH v AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label, [floor(256 * x::DOUBLE)::BIGINT FOR x IN embedding] AS e FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+anchors AS (SELECT row_number() OVER () AS a, * FROM (SELECT DISTINCT * FROM v WHERE vec_id % 100 = 0)),
+scored AS (
+  SELECT q.a, q.vec_id AS anchor_id, q.label = c.label AS same, c.vec_id, list_inner_product(q.e::DOUBLE[], c.e::DOUBLE[])::BIGINT AS score
+  FROM anchors q JOIN v c ON c.vec_id <> q.vec_id AND len(c.e) = len(q.e)),
+positives AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY a ORDER BY score DESC, vec_id) AS p FROM scored WHERE same) WHERE p <= 5),
+ranked AS (
+  SELECT p.anchor_id, p.vec_id AS positive_id, n.vec_id AS negative_id, p.score AS positive_score, n.score AS negative_score,
+         row_number() OVER (PARTITION BY p.a, p.p ORDER BY n.score DESC, n.vec_id)::INTEGER AS rank
+  FROM positives p JOIN scored n ON n.a = p.a AND NOT n.same AND 80 * p.score <= 100 * n.score AND n.score <= p.score)
+SELECT anchor_id, positive_id, rank, negative_id, positive_score, negative_score FROM ranked WHERE rank <= 5
+"""
+
+
+def op12_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    df = decontamination.find(_table(spark, sf_dir, "documents").select("doc_id", "text"), _table(spark, sf_dir, "benchmark"))
+    hit = decontamination.n_hit(F.col("found"))
+    return df.select(
+        "doc_id", "found.n_words", hit.alias("n_hit"), F.size("found.items").cast("long").alias("n_items"), F.sha2(F.array_join("found.items", ","), 256).alias("items_sha256"), (hit > 0).alias("contaminated")
+    )
+
+
+OP12_SQL = r"""
+WITH docs AS (
+  SELECT row_number() OVER () AS r, doc_id, coalesce(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[0-9a-z\x{80}-\x{10FFFF}]+'), []) AS w FROM documents),
+items AS (
+  SELECT item_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[0-9a-z\x{80}-\x{10FFFF}]+') AS w FROM benchmark),
+windows AS (
+  SELECT DISTINCT item_id, n, array_to_string(w[k:k + n - 1], ' ') AS g
+  FROM (SELECT item_id, w, n, unnest(range(1, len(w) - n + 2)) AS k FROM (SELECT *, least(len(w), 10) AS n FROM items WHERE len(w) > 0))),
+met AS (
+  SELECT r, k, d.n, item_id
+  FROM (SELECT r, n, k, array_to_string(w[k:k + n - 1], ' ') AS g FROM (SELECT r, w, n, unnest(range(1, len(w) - n + 2)) AS k FROM docs, (SELECT DISTINCT n FROM windows) WHERE len(w) >= n)) d
+  JOIN windows v ON d.n = v.n AND d.g = v.g),
+hits AS (SELECT r, count(DISTINCT i) AS n_hit FROM (SELECT r, unnest(range(k, k + n)) AS i FROM (SELECT DISTINCT r, k, n FROM met)) GROUP BY r),
+named AS (SELECT r, count(*) AS n_items, string_agg(x, ',' ORDER BY x) AS ids FROM (SELECT DISTINCT r, item_id::VARCHAR AS x FROM met WHERE item_id IS NOT NULL) GROUP BY r)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items, sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM docs LEFT JOIN hits USING (r) LEFT JOIN named USING (r)
+"""
+
+
 def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filter_audit.audit(_table(spark, sf_dir, "documents").select("doc_id", "text", "lang"), _table(spark, sf_dir, "labels"))
 
@@ -178,6 +227,6 @@ FROM counted
 
 QUERIES: dict[str, Query] = {
     "op1_mix": op1_mix, "op2_urls": op2_urls, "op3_quality": op3_quality, "op4_exact_top_k": op4_exact_top_k, "op5_pack": op5_pack, "op6_jaccard": op6_jaccard,
-    "op7_toxicity": op7_toxicity, "op8_token_counts": op8_token_counts, "op9_nearest": op9_nearest, "op10_main_text": op10_main_text, "op13_filter_audit": op13_filter_audit,
+    "op7_toxicity": op7_toxicity, "op8_token_counts": op8_token_counts, "op9_nearest": op9_nearest, "op10_main_text": op10_main_text, "op11_hard_negatives": op11_hard_negatives, "op12_decontaminate": op12_decontaminate, "op13_filter_audit": op13_filter_audit,
 }
-ORACLE_SQL: dict[str, str] = {"op1_mix": OP1_SQL, "op4_exact_top_k": OP4_SQL, "op6_jaccard": OP6_SQL, "op13_filter_audit": OP13_SQL}
+ORACLE_SQL: dict[str, str] = {"op1_mix": OP1_SQL, "op4_exact_top_k": OP4_SQL, "op6_jaccard": OP6_SQL, "op11_hard_negatives": OP11_SQL, "op12_decontaminate": OP12_SQL, "op13_filter_audit": OP13_SQL}

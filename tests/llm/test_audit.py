@@ -73,7 +73,7 @@ def test_empty_tables(spark):
 def test_report_of_any_filters(spark):
     """Three filters named by the caller, with weights: the joint counts give what single rows say."""
     rows = [("p", a, b, c, 1 + a + 2 * b + 5 * c) for a in (0, 1) for b in (0, 1) for c in (0, 1)]
-    joint = filter_audit.joint_counts(spark.createDataFrame(rows, "k string, x int, y int, z int, n long"), ["x", "y", "z"], {"n": filter_audit.F.col("n")}, ["k"])
+    joint = filter_audit.joint_counts(spark.createDataFrame(rows, "k string, x int, y int, z int, n long"), ["x", "y", "z"], {"n": "n"}, ["k"])
     found = {(r.filter_order, r.step): r for r in filter_audit.report(joint, "xyz", ["k"]).collect()}
     assert len(found) == 18
     assert found["xyz", 3].kept == 1 and found["zyx", 1].removed == sum(r[4] for r in rows if r[3])
