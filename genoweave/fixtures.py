@@ -32,15 +32,17 @@ class Tables:
         )
 
     def sizes(self) -> DataFrame:
-        return self.spark.range(1, 8).select(F.concat(F.lit("chr"), F.col("id").cast("string")).alias("chrom"), (60500 + 7000 * F.col("id")).alias("len"))
+        """A chromosome ends 7,000 positions for each of its number beyond its last peak."""
+        return self.peaks().groupBy("chrom").agg((F.max("end") + 7000 * F.max(F.substring("chrom", 4, 1).cast("long"))).alias("len"))
 
     def n_intervals(self) -> DataFrame:
         start = (F.col("s_suppkey") * 1543) % 60000
         return self.read("supplier").select(F.concat(F.lit("chr"), (F.col("s_nationkey") % 7 + 1).cast("string")).alias("chrom"), start.alias("start"), (start + 100 + (F.col("s_suppkey") * 37) % 3000).alias("end"))
 
     def blacklist(self) -> DataFrame:
-        start = (F.col("event_id") * 7919) % 6_000_000  # most lie beyond the chromosomes' ends, so that some windows stay
-        return self.read("events").filter("event_type = 'error'").select(F.concat(F.lit("chr"), (F.col("user_id") % 7 + 1).cast("string")).alias("chrom"), start.alias("start"), (start + 200).alias("end"))
+        """All error events, in six stretches of each chromosome, so that windows between these stay."""
+        start = F.col("event_id") % 6 * 16384 + (F.col("event_id") * 7919) % 3000
+        return self.read("events").filter("event_type = 'error'").select(F.concat(F.lit("chr"), (F.col("user_id") % 7 + 1).cast("string")).alias("chrom"), start.alias("start"), (start + 40).alias("end"))
 
     def mapped(self) -> DataFrame:
         return self.peaks().join(self.experiments().drop("line_no", "org"), "srx")
@@ -53,9 +55,9 @@ SQL = {
         (floor(l_extendedprice)::BIGINT % 1990 + 10)::INTEGER AS score FROM lineitem""",
     "experiments": """SELECT 'SRX' || lpad(p_partkey::VARCHAR, 7, '0') AS srx, 'hg38' AS org, p_type AS ag_class, p_brand AS antigen,
         split_part(p_name, ' ', 2) AS ct_class, split_part(p_name, ' ', 1) AS celltype, p_partkey AS line_no FROM part WHERE p_size % 29 <> 0""",
-    "sizes": "SELECT 'chr' || i::VARCHAR AS chrom, 60500 + 7000 * i AS len FROM range(1, 8) t(i)",
+    "sizes": "SELECT chrom, max(e) + 7000 * max(substring(chrom, 4, 1)::BIGINT) AS len FROM peaks GROUP BY chrom",
     "n_intervals": "SELECT 'chr' || (s_nationkey % 7 + 1)::VARCHAR AS chrom, (s_suppkey * 1543) % 60000 AS s, (s_suppkey * 1543) % 60000 + 100 + (s_suppkey * 37) % 3000 AS e FROM supplier",
-    "blacklist": "SELECT 'chr' || (user_id % 7 + 1)::VARCHAR AS chrom, (event_id * 7919) % 6000000 AS s, (event_id * 7919) % 6000000 + 200 AS e FROM events WHERE event_type = 'error'",
+    "blacklist": "SELECT 'chr' || (user_id % 7 + 1)::VARCHAR AS chrom, event_id % 6 * 16384 + (event_id * 7919) % 3000 AS s, event_id % 6 * 16384 + (event_id * 7919) % 3000 + 40 AS e FROM events WHERE event_type = 'error'",
     "mapped": "SELECT p.*, x.ag_class, x.antigen, x.ct_class, x.celltype FROM peaks p JOIN experiments x USING (srx)",
 }
 

@@ -7,6 +7,7 @@ through a dense array of one tile, so memory is that of a tile and a batch, howe
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator, Sequence
 
 import numpy as np
@@ -277,11 +278,26 @@ def min_over(spans: DataFrame, runs: DataFrame, keys: Sequence[str] = ("chrom",)
 
 
 def n_runs(sequences: DataFrame, keys: Sequence[str], *, seq: str = "seq") -> DataFrame:
-    """Runs (keys, start, end) of ``N`` or ``n`` in each sequence."""
-    pieces = sequences.select(*keys, F.posexplode(F.regexp_extract_all(seq, F.lit("([Nn]+|[^Nn]+)"), 1)).alias("_k", "_piece"))
-    after = F.sum(F.length("_piece")).over(Window.partitionBy(*keys).orderBy("_k").rowsBetween(Window.unboundedPreceding, 0))
-    pieces = pieces.select(*keys, F.col("_piece").rlike("^[Nn]").alias("_n"), F.length("_piece").cast("long").alias("_len"), after.alias("end"))
-    return pieces.filter("_n").select(*keys, (F.col("end") - F.col("_len")).alias("start"), "end")
+    """Runs (keys, start, end) of ``N`` or ``n`` in each sequence, found where the sequence lies."""
+    width = len(keys)
+
+    def found(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            spans = [(i, *m.span()) for i, x in enumerate(b.column(width).to_pylist()) if x for m in _N.finditer(x)]
+            at, start, end = (pa.array([s[k] for s in spans], pa.int64()) for k in range(3))
+            yield pa.RecordBatch.from_arrays([*[c.take(at) for c in b.columns[:width]], start, end], names=[*b.schema.names[:width], "start", "end"])
+
+    kinds = dict(sequences.dtypes)
+    return sequences.select(*keys, seq).mapInArrow(lambda x: _alike(found(x)), ", ".join(f"`{k}` {kinds[k]}" for k in keys) + ", start long, end long")
+
+
+_N = re.compile("[Nn]+")
+
+
+def n_runs_of_pieces(pieces: DataFrame) -> DataFrame:
+    """Runs (chrom, start, end) of ``N`` or ``n`` in sequences that lie in pieces (chrom, start, seq), joined where pieces meet."""
+    found = n_runs(pieces.withColumnRenamed("start", "_at"), ["chrom", "_at"])
+    return merge_runs(found.select("chrom", (F.col("_at") + F.col("start")).alias("start"), (F.col("_at") + F.col("end")).alias("end")), ["chrom"])
 
 
 def out_of_order(df: DataFrame, keys: Sequence[str], order: Sequence[str], *, start: str = "start") -> DataFrame:

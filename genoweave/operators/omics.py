@@ -36,10 +36,44 @@ def load_window(omics: DataFrame, tissue: str, chrom: str, begin: int, end: int,
 
 
 def dna_chunks(sequences: DataFrame, chunk: int = CHUNK) -> DataFrame:
-    """(chrom, start, end, dna) of (chrom, seq), in upper case; a sequence is cut in one pass."""
-    pieces = F.regexp_extract_all("seq", F.lit(f"(?s).{{1,{chunk}}}"), F.lit(0))
-    df = sequences.select("chrom", F.posexplode(pieces).alias("k", "dna")).withColumn("start", F.col("k").cast("long") * chunk)
-    return df.select("chrom", "start", (F.col("start") + F.length("dna")).cast("long").alias("end"), F.upper("dna").alias("dna"))
+    """(chrom, start, end, dna) of whole sequences (chrom, seq) or of pieces of any length (chrom, start, seq), in upper case.
+
+    Whole sequences are cut in their rows. Pieces are dealt by chunk and joined there, so no task holds more than chunks.
+    """
+    cut = F.regexp_extract_all("seq", F.lit(f"(?s).{{1,{chunk}}}"), F.lit(0))
+    if "start" not in sequences.columns:
+        df = sequences.select("chrom", F.posexplode(cut).alias("k", "dna")).withColumn("start", F.col("k").cast("long") * chunk)
+        return df.select("chrom", "start", (F.col("start") + F.length("dna")).cast("long").alias("end"), F.upper("dna").alias("dna"))
+    return _joined(_parts(sequences, chunk), chunk)
+
+
+def _parts(pieces: DataFrame, chunk: int) -> DataFrame:
+    """(chrom, k, at, x): pieces (chrom, start, seq) cut at the borders of chunks k."""
+    cut = F.posexplode(F.regexp_extract_all("seq", F.lit(f"(?s).{{1,{chunk}}}"), F.lit(0))).alias("_i", "seq")
+    df = pieces.select("chrom", "start", cut).withColumn("start", F.col("start") + F.col("_i").cast("long") * chunk)
+    df = df.select("chrom", "start", "seq", F.explode(F.sequence(F.floor(F.col("start") / chunk), F.floor((F.col("start") + F.length("seq") - 1) / chunk))).alias("k"))
+    low = F.greatest(F.col("k") * chunk - F.col("start"), F.lit(0))
+    size = F.least((F.col("k") + 1) * chunk - F.col("start"), F.length("seq")) - low
+    return df.select("chrom", "k", (F.col("start") + low).alias("at"), F.substring("seq", (low + 1).cast("int"), size.cast("int")).alias("x"))
+
+
+def _joined(parts: DataFrame, chunk: int) -> DataFrame:
+    """(chrom, start, end, dna): the parts of each chunk, at most a chunk's letters, in order."""
+    text = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("at", "x"))), lambda p: p["x"]), "")
+    df = parts.groupBy("chrom", "k").agg(text.alias("dna")).withColumn("start", F.col("k") * chunk)
+    return df.select("chrom", "start", (F.col("start") + F.length("dna")).alias("end"), F.upper("dna").alias("dna"))
+
+
+def dna_with_donor(sequences: DataFrame, grid: DataFrame, donor: DataFrame, chunk: int = CHUNK) -> DataFrame:
+    """(chrom, start, end, dna, adopted): the grid's chunks; those that the donor (chrom, start, end, dna) has, under the same name and
+    whole, are taken from it, and only the others are cut from the sequences. Other donor pieces don't count."""
+    names = ["chrom", "start", "end"]
+    whole = donor.filter(F.length("dna") == F.col("end") - F.col("start"))
+    taken = whole.join(grid.select(*names), names, "left_semi").dropDuplicates(names).select(*names, "dna")
+    missing = grid.join(taken, names, "left_anti").select("chrom", F.floor(F.col("start") / chunk).alias("k"))
+    pieces = sequences if "start" in sequences.columns else sequences.withColumn("start", F.lit(0).cast("long"))
+    cut = _joined(_parts(pieces, chunk).join(missing, ["chrom", "k"], "left_semi"), chunk)
+    return taken.withColumn("adopted", F.lit(True)).unionByName(cut.withColumn("adopted", F.lit(False)))
 
 
 def dna_window(chunks: DataFrame, chrom: str, begin: int, end: int) -> DataFrame:

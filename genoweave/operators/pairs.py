@@ -85,12 +85,40 @@ def pairs_csr(pairs: DataFrame) -> DataFrame:
     return pairs.groupBy("src").agg(rows.alias("r")).select("src", F.col("r.dst").alias("indices"), F.col("r.score").alias("scores"))
 
 
+def csr(pairs: DataFrame, sources: DataFrame | None = None, block: int = 65536) -> tuple[DataFrame, DataFrame]:
+    """Compressed rows: indptr (row, window_id, begin, end) and values (position, window_id, score).
+
+    Rows are numbered by source; all of ``sources`` (window_id) have one, even without neighbours (by default those that have
+    some). A row's neighbours by rank lie at positions begin to end - 1. Numbers and positions are prefix sums within blocks
+    of window ids, to which come those of whole blocks, a row each.
+    """
+    n = pairs.groupBy(F.col("src").alias("window_id")).agg(F.count("*").alias("n"))
+    if sources is not None:
+        n = sources.select("window_id").distinct().join(n, "window_id", "left").na.fill(0, ["n"])
+    n = n.withColumn("_b", F.floor(F.col("window_id") / block))
+    ahead = Window.orderBy("_b").rowsBetween(Window.unboundedPreceding, 0)
+    blocks = n.groupBy("_b").agg(F.count("*").alias("_rows"), F.sum("n").alias("_n"))
+    blocks = blocks.select("_b", (F.sum("_rows").over(ahead) - F.col("_rows")).alias("_row0"), (F.sum("_n").over(ahead) - F.col("_n")).alias("_at0"))
+    inside = Window.partitionBy("_b").orderBy("window_id")
+    end = F.sum("n").over(inside.rowsBetween(Window.unboundedPreceding, 0))
+    rows = n.withColumns({"_row": F.row_number().over(inside) - 1, "_end": end}).join(blocks, "_b")
+    indptr = rows.select((F.col("_row0") + F.col("_row")).alias("row"), "window_id", (F.col("_at0") + F.col("_end") - F.col("n")).alias("begin"), (F.col("_at0") + F.col("_end")).alias("end"))
+    values = pairs.join(indptr.select(F.col("window_id").alias("src"), "begin"), "src").select((F.col("begin") + F.col("rank") - 1).alias("position"), F.col("dst").alias("window_id"), "score")
+    return indptr, values
+
+
 class PairIndex:
     """Reads a pair table: neighbours of a window, a window's interval, all sources."""
 
     def __init__(self, pairs: DataFrame, ids: DataFrame):
         self.pairs, self.ids = pairs, ids
 
+    @classmethod
+    def of_csr(cls, indptr: DataFrame, values: DataFrame, ids: DataFrame) -> PairIndex:
+        """The same over compressed rows."""
+        spans = indptr.filter(F.col("end") > F.col("begin")).select(F.col("window_id").alias("src"), F.explode(F.sequence("begin", F.col("end") - 1)).alias("position"), "begin")
+        return cls(spans.join(values, "position").select("src", F.col("window_id").alias("dst"), "score", (F.col("position") - F.col("begin") + 1).cast("int").alias("rank")), ids)
+
     def neighbours(self, window_id: int) -> DataFrame:
         return self.pairs.filter(F.col("src") == window_id).select("dst", "score", "rank").orderBy("rank")
 

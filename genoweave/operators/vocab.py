@@ -106,17 +106,30 @@ def class_codes(lines: DataFrame, line: str = "line_no", value: str = "value") -
     return both.select(line, "c.*").groupBy("kind", "name").agg(F.min_by("code", line).alias("code"))
 
 
-def signal_files(catalog: DataFrame, names: DataFrame) -> DataFrame:
-    """Joins vocabulary names (name, alias) with catalog files (stem, ag_class, path) by slug; the first class wins.
+def signal_files(catalog: DataFrame, names: DataFrame, tissues: DataFrame | None = None) -> DataFrame:
+    """Joins vocabulary names (name, alias) with catalog files (stem, ag_class, path, with ``tissues`` tissue too) by slug, as neither
+    spelling of a name need survive as a file's; of several classes the first counts.
 
-    Two names with one slug are an error.
+    With ``tissues`` (tissue) the folders' tissues are matched by slug too, and each tissue has its own files. Two names, or
+    two tissues, with one slug are an error: a track would be filed under the wrong one.
     """
     slugs = names.select("name", F.explode(F.array("name", F.coalesce("alias", "name"))).alias("_n")).select("name", slugify(F.col("_n")).alias("slug")).distinct()
-    clash = slugs.groupBy("slug").agg(F.countDistinct("name").alias("n")).filter("n > 1")
-    if not clash.isEmpty():
-        raise ValueError(f"names share a slug: {clash.first()['slug']}")
-    files = catalog.groupBy(F.col("stem").alias("slug")).agg(F.min_by("path", "ag_class").alias("path"), F.min("ag_class").alias("ag_class"))
-    return slugs.join(files, "slug").groupBy("name").agg(F.min_by("path", "slug").alias("path"), F.min_by("ag_class", "slug").alias("ag_class"))
+    _refuse_shared(slugs, "name")
+    files = catalog.withColumn("slug", slugify(F.col("stem")))
+    keys = []
+    if tissues is not None:
+        places = tissues.select("tissue").distinct().withColumn("_place", slugify(F.col("tissue")))
+        _refuse_shared(places.withColumnRenamed("_place", "slug"), "tissue")
+        files, keys = files.withColumn("_place", slugify(F.col("tissue"))).drop("tissue").join(places, "_place"), ["tissue"]
+    files = files.groupBy(*keys, "slug").agg(F.min_by("path", F.struct("ag_class", "path")).alias("path"), F.min("ag_class").alias("ag_class"))
+    found = slugs.join(files, "slug").groupBy(*keys, "name")
+    return found.agg(F.min_by("path", F.struct("ag_class", "slug")).alias("path"), F.min("ag_class").alias("ag_class"))
+
+
+def _refuse_shared(slugs: DataFrame, column: str) -> None:
+    clash = slugs.groupBy("slug").agg(F.sort_array(F.collect_set(column)).alias("n")).filter(F.size("n") > 1).first()
+    if clash:
+        raise ValueError(f"{column}s share a slug: {', '.join(clash.n)} are all {clash.slug}")
 
 
 def rename_codes(df: DataFrame, codes: DataFrame, column: str, kind: str) -> DataFrame:

@@ -1,6 +1,7 @@
 """Releases: dated, self-describing folders with a manifest, and what readers ask of them.
 
-A release is written once. Its manifest is a small JSON file that is merged and replaced by rename; ``latest`` is a text
+A release is written once. Its manifest is a small JSON file; stages that finish at the same time each add a version to it, by
+exclusive creation, and the last version is put in its place by rename. ``latest`` is a text
 file that names the promoted release, so promotion is one rename on any file system.
 """
 
@@ -19,7 +20,7 @@ from genoweave.sources import readers, sinks
 LAYOUT = 1
 #: Where a release keeps each part, below its folder.
 PATHS = {
-    "groups": "groups", "lookup": "lookup", "tracks": "tracks", "sizes": "chrom_sizes", "grid": "chunk_grid", "windows": "windows/{window}", "omics": "omics", "dna": "dna",
+    "groups": "groups", "lookup": "lookup", "tracks": "tracks", "pan": "pan_tracks", "sizes": "chrom_sizes", "grid": "chunk_grid", "windows": "windows/{window}", "omics": "omics", "dna": "dna",
     "pairs": "pairs", "weights": "weights", "vocabulary": "vocabulary",
 }
 
@@ -54,11 +55,21 @@ class Release:
         return cls(spark, root, org, release, manifest)
 
     def record(self, stage: str, **facts) -> None:
-        """Note that a stage is done. Stages that others have noted meanwhile are kept."""
-        now = json.loads(sinks.get_text(self.spark, f"{self.folder}/MANIFEST.json"))
-        now["stages"] = now.get("stages", {}) | self.manifest["stages"] | {stage: {"done": datetime.now(UTC).isoformat(timespec="seconds"), **facts}}
+        """Note that a stage is done. Stages that others note at the same time are kept, as each note is a new version of the
+        manifest that must follow the last one: whoever finds its number taken reads the newer version and tries again."""
+        done = {stage: {"done": datetime.now(UTC).isoformat(timespec="seconds"), **facts}}
+        while True:
+            version, now = _latest(self.spark, self.folder)
+            own = {k: v for k, v in self.manifest.items() if k != "stages"}
+            now |= own | {"stages": now.get("stages", {}) | done}
+            if sinks.put_new(self.spark, f"{self.folder}/manifest/{version + 1:06d}.json", json.dumps(now, indent=1)):
+                break
         self.manifest = now
-        sinks.put_text(self.spark, f"{self.folder}/MANIFEST.json", json.dumps(now, indent=1))
+        while True:  # the file that readers open is the last version, whoever writes it
+            version, now = _latest(self.spark, self.folder)
+            sinks.put_text(self.spark, f"{self.folder}/MANIFEST.json", json.dumps(now, indent=1))
+            if _latest(self.spark, self.folder)[0] == version:
+                return
 
     def has(self, stage: str) -> bool:
         return stage in self.manifest["stages"]
@@ -72,7 +83,10 @@ class Release:
         return f"{self.folder}/{self.manifest['paths'][part].format(**fields)}"
 
     def table(self, part: str, **fields) -> DataFrame:
-        return self.spark.read.parquet(self.path(part, **fields))
+        path = self.path(part, **fields)
+        if part == "omics":
+            return readers.read_omics(self.spark, path)
+        return readers.read_tracks(self.spark, path) if part in ("tracks", "pan") else self.spark.read.parquet(path)
 
     # what readers ask
     def load_chunk(self, tissue: str, chrom: str, chunk: int) -> DataFrame:
@@ -107,6 +121,16 @@ class Release:
         return self._vocabulary("availability")
 
 
+def _latest(spark: SparkSession, folder: str) -> tuple[int, dict]:
+    """The number and the content of a manifest's last version; 0 for the one that a release begins with."""
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
+    p = hadoop.Path(f"{folder}/manifest")
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    names = [x.getPath().getName() for x in fs.listStatus(p)] if fs.exists(p) else []
+    last = max((n for n in names if n.endswith(".json") and n[0].isdigit()), default=None)
+    return int(last[:6]) if last else 0, json.loads(sinks.get_text(spark, f"{folder}/manifest/{last}" if last else f"{folder}/MANIFEST.json"))
+
+
 def list_releases(spark: SparkSession, root: str, org: str) -> list[str]:
     """Names of all releases of an assembly, sorted."""
     jvm = spark.sparkContext._jvm

@@ -54,6 +54,28 @@ def rederived(omics: DataFrame, runs: DataFrame, chunk: int) -> DataFrame:
     return stored.exceptAll(wanted).withColumn("fault", F.lit("extra")).union(wanted.exceptAll(stored).withColumn("fault", F.lit("missing")))
 
 
+def footer_faults(footers: DataFrame, expected: DataFrame, chunk: int) -> DataFrame:
+    """(tissue, chrom, chunk, fault) of the exact layout, from footers alone, against ``expected`` (tissue, chrom, chunk; a null
+    chunk asks for a file only).
+
+    A file has one row group for each chunk that it lists; each is confined to its chunk; no chunk is listed twice; every
+    expected chunk is listed, and none else; every expected chromosome has a file.
+    """
+    null = F.lit(None).cast("long")
+    uneven = footers.filter(F.size("listed") != F.size("groups")).select("tissue", "chrom", null.alias("chunk"), F.lit("row groups differ from the footer's list").alias("fault"))
+    each = footers.select("tissue", "chrom", F.explode(F.arrays_zip("listed", "groups")).alias("g")).select("tissue", "chrom", F.col("g.listed").alias("chunk"), "g.groups.*")
+    inside = (F.col("first_chunk") == F.col("chunk")) & (F.col("last_chunk") == F.col("chunk")) & (F.col("most_end") > F.col("chunk") * chunk) & (F.col("least_start") < (F.col("chunk") + 1) * chunk)
+    strays = each.filter(~F.coalesce(inside | (F.col("least_start") == F.col("chunk") * chunk), F.lit(False))).select("tissue", "chrom", "chunk", F.lit("rows outside the chunk").alias("fault"))
+    listed = footers.select("tissue", "chrom", F.explode("listed").alias("chunk"))
+    twice = listed.groupBy("tissue", "chrom", "chunk").agg(F.count("*").alias("_n")).filter("_n > 1").select("tissue", "chrom", "chunk", F.lit("listed twice").alias("fault"))
+    keys = ["tissue", "chrom", "chunk"]
+    wanted = expected.select(*keys).filter("chunk IS NOT NULL").distinct()
+    missing = wanted.join(listed, keys, "left_anti").withColumn("fault", F.lit("missing chunk"))
+    extra = listed.distinct().join(wanted, keys, "left_anti").withColumn("fault", F.lit("chunk that no run touches"))
+    unwritten = expected.select("tissue", "chrom").distinct().join(footers.select("tissue", "chrom"), ["tissue", "chrom"], "left_anti").select("tissue", "chrom", null.alias("chunk"), F.lit("missing file").alias("fault"))
+    return uneven.union(strays).union(twice).union(missing).union(extra).union(unwritten)
+
+
 def unbacked_vocabulary(pairs: DataFrame, omics: DataFrame) -> DataFrame:
     """(tissue, antigen) of the vocabulary without a stored row."""
     return pairs.join(omics.select("tissue", F.col("feature_name").alias("antigen")).distinct(), ["tissue", "antigen"], "left_anti")

@@ -33,9 +33,9 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def with_checkpoints(spark: SparkSession) -> SparkSession:
-    """Makes ``checkpoint()`` usable, in the shared folder."""
+    """Makes ``checkpoint()`` usable, in the application's folder."""
     if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(shared_dir(spark))
+        spark.sparkContext.setCheckpointDir(own_dir(spark))
     return spark
 
 
@@ -62,6 +62,21 @@ def ship(spark: SparkSession) -> SparkSession:
     return spark
 
 
+_MARKED: set[str] = set()
+
+
+def own_dir(spark: SparkSession) -> str:
+    """The application's own folder in the shared one. The driver's JVM removes it when it ends."""
+    folder = f"{shared_dir(spark)}/genoweave-{spark.sparkContext.applicationId}"
+    if folder not in _MARKED:
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+        fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        fs.mkdirs(path)
+        fs.deleteOnExit(path)
+        _MARKED.add(folder)
+    return folder
+
+
 def scratch(spark: SparkSession, name: str) -> str:
-    """A new path in the shared folder, for tables that are written and read back."""
-    return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    """A new path in the application's folder, for tables that are written and read back."""
+    return f"{own_dir(spark)}/{name}-{uuid.uuid4().hex}"

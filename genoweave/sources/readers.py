@@ -6,25 +6,33 @@ import io
 import json
 import pickle
 import zipfile
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from genoweave.operators.intervals import merge_runs
+from genoweave.operators.intervals import _segments, merge_runs
+from genoweave.operators.omics import SCHEMA
+from genoweave.sources.files import listing
 
 #: The first six fields of an experiment, a peak's, a track's.
 EXPERIMENT, PEAK, TRACK = ("srx", "org", "ag_class", "antigen", "ct_class", "celltype"), "chrom string, start long, end long, srx string, score int", "chrom string, start long, end long, value int"
 
 
 def _lines(spark: SparkSession, path: str, encoding: str = "UTF-8") -> DataFrame:
-    """(line_no, value): lines of a text file in any encoding, none dropped for quotes or separators; numbered in order.
+    """(line_no, value): lines of text files in any encoding, none dropped for quotes or separators.
 
+    line_no is a struct of the file's path, the place in it where the line's split starts, and the line's place in the split, so
+    lines compare in the order of files by name and of lines in a file, however files are dealt to tasks.
     The text source knows UTF-8 only, so lines are read as CSV of one column with a separator that doesn't occur.
     """
     df = spark.read.schema("value string").option("encoding", encoding).option("sep", "\u0001").option("quote", "").option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).option("emptyValue", "").csv(path)
-    return df.select(F.monotonically_increasing_id().alias("line_no"), F.coalesce("value", F.lit("")).alias("value"))
+    place = F.struct(F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("split"), F.monotonically_increasing_id().alias("row"))
+    return df.select(place.alias("line_no"), F.coalesce("value", F.lit("")).alias("value"))
 
 
 def read_live_list(spark: SparkSession, path: str) -> DataFrame:
@@ -61,10 +69,11 @@ def read_experiment_list(spark: SparkSession, folder: str, source: str = "auto",
     return read_bundled_zip(spark, f"{folder}/{bundled}")
 
 
-def read_peaks(spark: SparkSession, path: str) -> DataFrame:
+def read_peaks(spark: SparkSession, path: str, numbered: bool = False) -> DataFrame:
     """Peaks of a BED5 file, plain or compressed (.gz, .zst), with ``bad`` for lines of another width (other fields null).
 
     A line of the right width with a number that isn't one stops the read. Take ``good_peaks`` and ``bad_rows`` of it.
+    ``numbered`` keeps ``line_no``.
     """
     f = F.split("value", "\t", -1)
     ok = F.size(f) == 5
@@ -72,7 +81,7 @@ def read_peaks(spark: SparkSession, path: str) -> DataFrame:
     wrong = ok & F.exists(F.array(f[1], f[2], f[4]), lambda x: (x != "") & x.try_cast("long").isNull())
     df = _lines(spark, path).filter("value <> ''")
     checked = F.when(wrong, F.raise_error(F.concat(F.lit("not a number in: "), "value")).cast("string")).otherwise(f[0])
-    return df.select(F.when(ok, checked).alias("chrom"), number(1, "long").alias("start"), number(2, "long").alias("end"), F.when(ok, f[3]).alias("srx"), number(4, "int").alias("score"), (~ok).alias("bad"))
+    return df.select(F.when(ok, checked).alias("chrom"), number(1, "long").alias("start"), number(2, "long").alias("end"), F.when(ok, f[3]).alias("srx"), number(4, "int").alias("score"), (~ok).alias("bad"), *(["line_no"] if numbered else []))
 
 
 def good_peaks(peaks: DataFrame) -> DataFrame:
@@ -89,6 +98,11 @@ def read_track(spark: SparkSession, path: str | list[str], chroms: Sequence[str]
     return df.filter(F.col("chrom").isin(*chroms)) if chroms is not None else df
 
 
+def read_tracks(spark: SparkSession, path: str) -> DataFrame:
+    """Runs by group as ``write_tracks`` stored them; names of folders stay strings, whatever they look like."""
+    return spark.read.schema(f"{TRACK}, ag_class string, ct_class string, antigen string").parquet(path)
+
+
 def read_runs(spark: SparkSession, path: str, chroms: Sequence[str] | None = None) -> DataFrame:
     """Merged (chrom, start, end) of a BED file by white space; blank, comment, track, browser and short lines don't count."""
     f = F.split(F.trim(F.regexp_replace("value", r"\s+", " ")), " ")
@@ -97,22 +111,121 @@ def read_runs(spark: SparkSession, path: str, chroms: Sequence[str] | None = Non
     return merge_runs(df.filter(F.col("chrom").isin(*chroms)) if chroms is not None else df, ["chrom"])
 
 
-def read_fasta(spark: SparkSession, path: str) -> DataFrame:
-    """(chrom, seq): a row for each record, named by the first word of its header. A record must fit a row."""
-    df = spark.read.option("lineSep", ">").text(path).filter(F.trim("value") != "")
-    parts = F.split("value", "\n", 2)
-    return df.select(F.split(F.trim(F.regexp_replace(parts[0], r"\s+", " ")), " ")[0].alias("chrom"), F.regexp_replace(F.coalesce(F.get(parts, F.lit(1)), F.lit("")), r"\s", "").alias("seq"))
+def _numbered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Lines (path, split, value) of FASTA files in order, as (path, split, record, name, start, seq): which record of the split a
+    line belongs to (0: one that began before), a header's name, and how much of the record the split holds ahead of it."""
+    record = ahead = 0
+    for goes_on, b, i, j in _segments(batches, 2):
+        if not goes_on:
+            record = ahead = 0
+        value = b.column(2).slice(i, j - i)
+        header = pc.starts_with(value, ">").to_numpy(zero_copy_only=False)
+        seq = pc.if_else(pa.array(header), "", pc.replace_substring_regex(value, r"[\s\x0b]+", ""))
+        of = record + np.cumsum(header)
+        after = ahead + np.cumsum(pc.utf8_length(seq).to_numpy())
+        # what lies ahead of a record's first line is taken off, for the record that began before this batch nothing is
+        first = np.concatenate(([0], after[header]))
+        start = np.concatenate(([ahead], after[:-1])) - first[of - record]
+        name = [(text[1:].split() or [""])[0] if h else None for text, h in zip(value.to_pylist(), header, strict=True)] if header.any() else [None] * len(value)
+        yield pa.RecordBatch.from_arrays([b.column(0).slice(i, j - i), b.column(1).slice(i, j - i), pa.array(of, pa.int64()), pa.array(name, pa.string()), pa.array(start, pa.int64()), seq], schema=_NUMBERED)
+        record, ahead = int(of[-1]), int(after[-1] - first[-1])
+
+
+_NUMBERED = pa.schema([("path", pa.string()), ("split", pa.int64()), ("record", pa.int64()), ("name", pa.string()), ("start", pa.int64()), ("seq", pa.string())])
+
+
+class Fasta:
+    """FASTA files by line, so no record need fit a row. ``pieces`` are lines (chrom, start, seq) with their place in the
+    record; ``records`` are (chrom, len), one for each header, also without a line. A record's name is its header's first word;
+    a name that heads two records is an error, and lines ahead of a file's first header don't count.
+
+    Lines are counted within their split of a file; prefix sums over splits, a row for each split and record, make
+    places in records of them.
+    """
+
+    def __init__(self, spark: SparkSession, path: str):
+        lines = spark.read.text(path).select(F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("split"), "value")
+        local = lines.mapInArrow(_numbered, "path string, split long, record long, name string, start long, seq string")
+        keys = ["path", "split", "record"]
+        parts = local.groupBy(*keys).agg(F.max("name").alias("name"), F.sum(F.length("seq")).cast("long").alias("len"))
+        order = Window.partitionBy("path").orderBy("split", "record").rowsBetween(Window.unboundedPreceding, 0)
+        parts = parts.withColumns({"chrom": F.last("name", ignorenulls=True).over(order), "nth": F.count("name").over(order)})
+        ahead = F.sum("len").over(Window.partitionBy("path", "nth").orderBy("split", "record").rowsBetween(Window.unboundedPreceding, 0)) - F.col("len")
+        parts = parts.withColumn("ahead", ahead)
+        found = local.filter("seq <> ''").join(parts.select(*keys, "chrom", "ahead"), keys, "left")
+        # both passes must cut files alike; if they ever don't, a line without its split is an error, not a lost line
+        start = F.when(F.col("ahead").isNull(), F.raise_error(F.lit("files were split otherwise in the second pass")).cast("long")).otherwise(F.col("ahead") + F.col("start"))
+        self.pieces = found.select("chrom", start.alias("start"), "seq").filter("chrom IS NOT NULL")
+        once = F.when(F.count("*").over(Window.partitionBy("chrom")) > 1, F.raise_error(F.concat(F.lit("two records are named "), "chrom")).cast("long")).otherwise(F.col("len"))
+        self.records = parts.filter("chrom IS NOT NULL").groupBy("path", "nth", "chrom").agg(F.sum("len").alias("len")).select("chrom", once.alias("len"))
 
 
 def chrom_sizes(sequences: DataFrame) -> DataFrame:
-    """(chrom, len) of (chrom, seq)."""
+    """(chrom, len) of whole sequences (chrom, seq) or of their pieces (chrom, start, seq)."""
+    if "start" in sequences.columns:
+        return sequences.groupBy("chrom").agg(F.max(F.col("start") + F.length("seq")).alias("len"))
     return sequences.select("chrom", F.length("seq").cast("long").alias("len"))
 
 
-def read_sequence_pickle(spark: SparkSession, path: str) -> DataFrame:
-    """(chrom, seq) of a pickled {chrom: sequence}, to be stored as a table once. Load none that you don't trust."""
+def sizes_from_names(spark: SparkSession, path: str) -> DataFrame:
+    """(chrom, len) of a tree of sequence chunks ``chrom/start_end.txt``: the largest end. Names alone are read, no file's body."""
+    part = lambda i: F.regexp_extract("path", r"([^/]+)/(\d+)_(\d+)\.txt$", i)
+    named = listing(spark, path, "*_*.txt").filter(F.col("path").rlike(r"[^/]+/\d+_\d+\.txt$"))
+    return named.groupBy(part(1).alias("chrom")).agg(F.max(part(3).cast("long")).alias("len"))
+
+
+def read_dna_tree(spark: SparkSession, path: str) -> DataFrame:
+    """(chrom, start, end, dna) of a tree ``chrom/start_end.txt``, a row for each file; they need not tile a chromosome."""
+    df = spark.read.option("wholetext", True).option("recursiveFileLookup", True).option("pathGlobFilter", "*_*.txt").text(path)
+    part = lambda i: F.regexp_extract("_metadata.file_path", r"([^/]+)/(\d+)_(\d+)\.txt$", i)
+    return df.select(F.url_decode(part(1)).alias("chrom"), part(2).cast("long").alias("start"), part(3).cast("long").alias("end"), F.upper(F.regexp_replace("value", r"\s", "")).alias("dna"))
+
+
+def signal_catalog(spark: SparkSession, path: str, suffix: str = "bedgraph") -> DataFrame:
+    """(ag_class, tissue, stem, path) of signal files ``class/tissue/name.suffix`` below a folder, names as they are on disk."""
+    part = lambda i: F.regexp_extract("path", rf"([^/]+)/([^/]+)/([^/]+)\.{suffix}$", i)
+    return listing(spark, path, f"*.{suffix}").select(part(1).alias("ag_class"), part(2).alias("tissue"), part(3).alias("stem"), "path")
+
+
+def stored_order(rows: DataFrame, *, key: str = "chrom", start: str = "start") -> DataFrame:
+    """(path, rows, out_of_order) of a scan of files: rows in each file, and those that start before the row ahead of them in the
+    file while the key is the same. One pass in stored order; splits of a file are stitched by their edges."""
+
+    def audit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        done, last = [], None
+        for goes_on, b, i, j in _segments(batches, 2):
+            keys, at = b.column(2).slice(i, j - i), b.column(3).slice(i, j - i).to_numpy(zero_copy_only=False)
+            code = keys.dictionary_encode().indices.to_numpy(zero_copy_only=False)
+            late = int(((code[1:] == code[:-1]) & (at[1:] < at[:-1])).sum())
+            edge = (keys[0].as_py(), at[0].item())
+            if goes_on:
+                late += last[0] == edge[0] and edge[1] < last[1]
+                row = done[-1]
+                done[-1] = (*row[:2], row[2] + j - i, row[3] + late, *row[4:6], keys[j - i - 1].as_py(), at[-1].item())
+            else:
+                done.append((b.column(0)[i].as_py(), b.column(1)[i].as_py(), j - i, late, *edge, keys[j - i - 1].as_py(), at[-1].item()))
+            last = done[-1][6:8]
+        if done:
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*done, strict=True)], names=["path", "split", "rows", "late", "k0", "s0", "k1", "s1"])
+
+    scan = rows.select(F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("split"), F.col(key).cast("string"), F.col(start).cast("long")).na.drop()
+    edges = scan.mapInArrow(audit, "path string, split long, rows long, late long, k0 string, s0 long, k1 string, s1 long")
+    order = Window.partitionBy("path").orderBy("split")  # a row for each split of a file
+    seam = (F.lag("k1").over(order) == F.col("k0")) & (F.col("s0") < F.lag("s1").over(order))
+    return edges.withColumn("late", F.col("late") + F.coalesce(seam.cast("long"), F.lit(0))).groupBy("path").agg(F.sum("rows").alias("rows"), F.sum("late").alias("out_of_order"))
+
+
+def _unpickled(raw: bytes, trusted: bool):
+    """What a pickle holds. It may run any code when loaded, so the caller must say that its origin is trusted."""
+    if not trusted:
+        raise ValueError("a pickle runs code when it is loaded; pass trusted=True for one of known origin")
+    return pickle.loads(raw)  # noqa: S301
+
+
+def read_sequence_pickle(spark: SparkSession, path: str, trusted: bool = False) -> DataFrame:
+    """(chrom, seq) of a pickled {chrom: sequence}, to be stored as a table once."""
     raw = bytes(spark.read.format("binaryFile").load(path).select("content").first()[0])
-    return spark.createDataFrame([(str(k), str(v)) for k, v in pickle.loads(raw).items()], "chrom string, seq string")  # noqa: S301
+    return spark.createDataFrame([(str(k), str(v)) for k, v in _unpickled(raw, trusted).items()], "chrom string, seq string")
 
 
 def read_groups(spark: SparkSession, path: str) -> DataFrame:
@@ -130,10 +243,10 @@ def read_class_list(spark: SparkSession, path: str) -> DataFrame:
     return _lines(spark, path)
 
 
-def read_feature_list(spark: SparkSession, path: str) -> DataFrame:
+def read_feature_list(spark: SparkSession, path: str, trusted: bool = False) -> DataFrame:
     """(idx, name) of a JSON list, or of an object's ``features``, in order."""
     raw = bytes(spark.read.format("binaryFile").load(path).select("content").first()[0])
-    found = pickle.loads(raw) if path.endswith((".pkl", ".joblib")) else json.loads(raw)  # noqa: S301
+    found = _unpickled(raw, trusted) if path.endswith((".pkl", ".joblib")) else json.loads(raw)
     return spark.createDataFrame(list(enumerate(found["features"] if isinstance(found, dict) else list(found))), "idx int, name string")
 
 
@@ -148,11 +261,11 @@ def read_lookup(spark: SparkSession, path: str) -> DataFrame:
 
 def read_omics(spark: SparkSession, path: str) -> DataFrame:
     """Signal by chunk; conditions on tissue and chrom prune folders, those on chunk prune row groups."""
-    return spark.read.parquet(path)
+    return spark.read.schema(f"chunk long, {SCHEMA}, tissue string, chrom string").parquet(path)
 
 
-def read_legacy_windows(spark: SparkSession, path: str) -> DataFrame:
+def read_legacy_windows(spark: SparkSession, path: str, trusted: bool = False) -> DataFrame:
     """Windows of one split from a pickled frame with columns chrom, start, end (strand, tissue), for a one-off import."""
     raw = bytes(spark.read.format("binaryFile").load(path).select("content").first()[0])
-    return spark.createDataFrame(pd.DataFrame(pickle.loads(raw)))  # noqa: S301
+    return spark.createDataFrame(pd.DataFrame(_unpickled(raw, trusted)))
 

@@ -9,65 +9,55 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from genoweave.functions.names import slugify
+from genoweave.operators.pairs import csr
+from genoweave.sources.files import write_chunks, write_text
+
 GROUP_KEYS = ("ag_class", "ct_class", "antigen")
 
 
 def write_group_beds(peaks: DataFrame, path: str, keys: Sequence[str] = GROUP_KEYS) -> None:
-    """One folder of BED text for each group, in genomic order; a group's rows of a chromosome lie in one file."""
+    """A folder of BED text for each group, in genomic order: within a file, and from one file's name to the next.
+
+    Rows are dealt by ranges of group and place, whose bounds are sampled, so a large group is spread over tasks and files.
+    """
     columns = ["chrom", "start", "end", "srx", "score"]
-    df = peaks.select(*keys, *columns).withColumn("_chrom", F.col("chrom"))
+    df = peaks.select(*keys, *columns).repartitionByRange(*keys, "chrom", "start")
     # the sort begins with the folders' keys, or the writer would sort again and lose the order
-    df = df.repartition(*keys, "_chrom").sortWithinPartitions(*keys, "chrom", "start", "end").drop("_chrom")
+    df = df.sortWithinPartitions(*keys, "chrom", "start", "end")
     df.write.mode("overwrite").partitionBy(*keys).option("sep", "\t").option("quote", "").option("emptyValue", "").csv(path)
 
 
 def write_tracks(runs: DataFrame, path: str, keys: Sequence[str] = GROUP_KEYS, text: str | None = None) -> None:
-    """Runs as Parquet by group, sorted by chromosome and start; as bedGraph text too if a folder is given."""
-    df = runs.repartition(*keys).sortWithinPartitions(*keys, "chrom", "start")
+    """Runs as Parquet by group, sorted by chromosome and start, in files as ``write_group_beds`` makes them; as bedGraph text too if a
+    folder is given."""
+    df = runs.repartitionByRange(*keys, "chrom", "start").sortWithinPartitions(*keys, "chrom", "start")
     df.write.mode("overwrite").partitionBy(*keys).option("compression", "zstd").parquet(path)
     if text:
         df.select(*keys, "chrom", "start", "end", "value").write.mode("overwrite").partitionBy(*keys).option("sep", "\t").csv(text)
 
 
-def write_omics(omics: DataFrame, path: str, rows_per_file: int = 0) -> None:
-    """Signal by chunk: folders of tissue and chromosome, sorted by chunk and start, so that row groups hold few chunks."""
-    writer = omics.repartition("tissue", "chrom").sortWithinPartitions("tissue", "chrom", "chunk", "Start").write.mode("overwrite").option("compression", "zstd").option("parquet.block.size", 8 << 20)
-    (writer.option("maxRecordsPerFile", rows_per_file) if rows_per_file else writer).partitionBy("tissue", "chrom").parquet(path)
-
+def write_signal_tree(runs: DataFrame, path: str) -> None:
+    """Runs as ``class/tissue/antigen.bedgraph`` of slugs, one file for each group, for readers of that layout."""
+    name = F.concat_ws("/", slugify(F.col("ag_class")), slugify(F.col("ct_class")), F.concat(slugify(F.col("antigen")), F.lit(".bedgraph")))
+    rows = runs.select(name.alias("file"), F.concat_ws("\t", "chrom", "start", "end", "value").alias("value"), "chrom", "start")
+    write_text(rows, path, order=("chrom", "start"))
 
-def write_chunk_files(omics: DataFrame, path: str) -> DataFrame:
-    """The exact layout: one Parquet file for each (tissue, chrom), one row group for each chunk that has rows, and the
-    chunk list as JSON in the footer's ``genoweave:chunks``. Returns (tissue, chrom, rows, chunks) as written.
 
-    ``path`` must be a folder that every executor can write, as files are written by the tasks.
-    """
-
-    def write(key, table):
-        import os
+def write_dna_tree(chunks: DataFrame, path: str) -> None:
+    """Sequence chunks as text files ``chrom/start_end.txt``, without a line's end, for readers of that layout."""
+    name = F.concat("chrom", F.lit("/"), F.col("start").cast("string"), F.lit("_"), F.col("end").cast("string"), F.lit(".txt"))
+    write_text(chunks.select(name.alias("file"), F.col("dna").alias("value")), path, ending="")
 
-        import pyarrow as pa
-        import pyarrow.compute as pc
-        import pyarrow.parquet as pq
 
-        tissue, chrom = (k.as_py() for k in key)
-        table = table.sort_by([("chunk", "ascending"), ("Start", "ascending"), ("End", "ascending"), ("feature_name", "ascending")])
-        chunks = pc.unique(table["chunk"]).to_pylist()
-        body = table.drop_columns(["tissue", "chrom"])
-        schema = body.schema.remove(body.schema.get_field_index("chunk")).with_metadata({"genoweave:chunks": json.dumps(chunks)})
-        os.makedirs(f"{path}/{tissue}", exist_ok=True)
-        part = f"{path}/{tissue}/.{chrom}.{os.getpid()}.tmp"
-        with pq.ParquetWriter(part, schema, compression="zstd") as writer:
-            for c in chunks:
-                writer.write_table(body.filter(pc.equal(body["chunk"], c)).drop_columns(["chunk"]).cast(schema), row_group_size=1 << 30)
-        os.replace(part, f"{path}/{tissue}/{chrom}.parquet")
-        return pa.table({"tissue": [tissue], "chrom": [chrom], "rows": [len(table)], "chunks": [len(chunks)]})
-
-    return omics.groupBy("tissue", "chrom").applyInArrow(write, "tissue string, chrom string, rows long, chunks long")
+def write_omics(omics: DataFrame, path: str, expected: DataFrame | None = None) -> None:
+    """Signal by chunk: folders of tissue and chromosome, one row group for each chunk, the chunks listed in the footer."""
+    write_chunks(omics, path, expected)
 
 
 def write_dna(chunks: DataFrame, path: str) -> None:
-    """(chrom, start, end, dna) by chromosome, sorted by start."""
-    chunks.repartition("chrom").sortWithinPartitions("chrom", "start").write.mode("overwrite").partitionBy("chrom").option("compression", "zstd").parquet(path)
+    """(chrom, start, end, dna) by chromosome, sorted by start; a large chromosome has several files."""
+    chunks.repartitionByRange("chrom", "start").sortWithinPartitions("chrom", "start").write.mode("overwrite").partitionBy("chrom").option("compression", "zstd").parquet(path)
 
 
 def write_windows(windows: DataFrame, path: str) -> None:
@@ -91,6 +81,37 @@ def write_pairs(pairs: DataFrame, weights: DataFrame, path: str) -> None:
     weights.coalesce(1).sortWithinPartitions("track").write.mode("overwrite").parquet(f"{path}/weights")
 
 
+def write_csr(pairs: DataFrame, path: str, sources: DataFrame | None = None) -> None:
+    """The pair table in compressed rows (see ``pairs.csr``): indptr by row, values by position."""
+    indptr, values = csr(pairs, sources)
+    indptr.repartitionByRange("row").sortWithinPartitions("row").write.mode("overwrite").parquet(f"{path}/indptr")
+    values.repartitionByRange("position").sortWithinPartitions("position").write.mode("overwrite").parquet(f"{path}/values")
+
+
+def put_new(spark: SparkSession, path: str, text: str) -> bool:
+    """Create a small file, whole, if there is none of that name; of several that try at once one succeeds."""
+    jvm = spark.sparkContext._jvm
+    hadoop, conf = jvm.org.apache.hadoop.fs, spark.sparkContext._jsc.hadoopConfiguration()
+    fs = hadoop.Path(path).getFileSystem(conf)
+    target, part = fs.makeQualified(hadoop.Path(path)), fs.makeQualified(hadoop.Path(f"{path}.{uuid.uuid4().hex}.tmp"))
+    out = fs.create(part, True)
+    out.write(bytearray(text.encode()))
+    out.close()
+    try:
+        if fs.getScheme() == "file":  # its rename looks first and renames then, which two may do at once; a link is made or refused
+            jvm.java.nio.file.Files.createLink(jvm.java.io.File(target.toUri().getPath()).toPath(), jvm.java.io.File(part.toUri().getPath()).toPath())
+        else:
+            none = spark.sparkContext._gateway.new_array(hadoop.Options.Rename, 0)
+            hadoop.FileContext.getFileContext(target.toUri(), conf).rename(part, target, none)
+    except Exception as refused:
+        if "FileAlreadyExists" not in str(refused):
+            raise
+        return False
+    finally:
+        fs.delete(part, False)
+    return True
+
+
 def put_text(spark: SparkSession, path: str, text: str) -> None:
     """Replace a small file by one rename over it, so that readers find the old text or the new one."""
     hadoop, conf = spark.sparkContext._jvm.org.apache.hadoop.fs, spark.sparkContext._jsc.hadoopConfiguration()

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import shutil
 import subprocess
 import sys
@@ -38,12 +39,20 @@ def test_tracks_and_report_from_files(spark, tmp_path, capsys):
     meta = tmp_path / "meta"
     meta.mkdir()
     (meta / "experimentList.tab").write_bytes(b"SRX1\thg38\tHistone\tH3K27ac\tBlood\tx\nSRX2\thg38\tHistone\tH3K27ac\tBlood\ty\nSRX3\thg38\tTFs\tCTCF\tLiver\tz\n")
-    (tmp_path / "p.bed").write_text("chr1\t0\t10\tSRX1\t5\nchr1\t5\t20\tSRX2\t9\nchr1\t0\t4\tSRX3\t1\nchr2\t0\t4\tSRX9\t1\n")
+    (tmp_path / "p.bed").write_text("chr1\t0\t10\tSRX1\t5\nchr1\t5\t20\tSRX2\t9\nchr1\t0\t4\tSRX3\t1\nchr2\t0\t4\tSRX9\t1\nchr2\t0\t4\tSRX9\n")
     assert cli.main(["tracks", "--meta", str(meta), "--peaks", str(tmp_path / "p.bed"), "--org", "hg38", "--out", str(tmp_path / "out"), "--beds"]) == 0
     runs = spark.read.parquet(str(tmp_path / "out/tracks"))
     assert sorted((r.antigen, r.start, r.end, r.value) for r in runs.collect()) == [("CTCF", 0, 4, 1), ("H3K27ac", 0, 5, 5), ("H3K27ac", 5, 20, 9)]
-    assert cli.main(["report", "--meta", str(meta), "--peaks", str(tmp_path / "p.bed"), "--org", "hg38"]) == 0
-    assert "chr2" in capsys.readouterr().out
+    counts = json.loads((tmp_path / "out/counts.json").read_text())
+    assert counts == {"rows_in": 5, "bad_rows": 1, "unmapped": 1, "rows_out": 3, "lost": 0}
+    assert cli.main(["report", "--out", str(tmp_path / "out")]) == 0
+    said = capsys.readouterr().out
+    assert "rows_in: 5" in said and "tracks: 2 files, 3 rows, 0 out of order" in said and "beds: 2 files, 3 rows, 0 out of order" in said
+    bed = next(f for f in (tmp_path / "out/beds").rglob("*.csv") if "H3K27ac" in str(f))
+    bed.write_text("".join(reversed(bed.read_text().splitlines(True))))
+    bed.with_name(f".{bed.name}.crc").unlink()
+    assert cli.main(["report", "--out", str(tmp_path / "out")]) == 1
+    (tmp_path / "out/counts.json").write_text(json.dumps(counts | {"lost": 2}))
     assert cli.main(["list", "--root", str(tmp_path), "--org", "hg38"]) == 0
 
 

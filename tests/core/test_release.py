@@ -7,6 +7,7 @@ import json
 import pickle
 import random
 import zipfile
+from pathlib import Path
 
 import pyarrow.parquet as pq
 import pytest
@@ -15,6 +16,7 @@ from pyspark.sql import functions as F
 from genoweave.functions import names
 from genoweave.operators import omics, pairs, peaks, vocab, windows
 from genoweave.plans import build, release, verify
+from genoweave.sources import files as stored_files
 from genoweave.sources import readers, sinks
 
 LENS = {"chr1": 400_000, "chr8": 300_000, "chr9": 120_000}
@@ -59,9 +61,11 @@ def test_readers(spark, tmp_path):
     assert sorted(map(tuple, readers.read_runs(spark, str(tmp_path / "r.bed")).collect())) == [("chr1", 5, 12), ("chr2", 1, 3)]
     assert readers.read_runs(spark, str(tmp_path / "r.bed"), ["chr2"]).count() == 1
     (tmp_path / "g.fa").write_text(">chr1 some text\nACGT\nNN\n>chr2\nA\n")
-    assert sorted(map(tuple, readers.chrom_sizes(readers.read_fasta(spark, str(tmp_path / "g.fa"))).collect())) == [("chr1", 6), ("chr2", 1)]
+    assert sorted(map(tuple, readers.Fasta(spark, str(tmp_path / "g.fa")).records.collect())) == [("chr1", 6), ("chr2", 1)]
     (tmp_path / "s.pkl").write_bytes(pickle.dumps({"chr1": "ACGTN"}))
-    assert readers.chrom_sizes(readers.read_sequence_pickle(spark, str(tmp_path / "s.pkl"))).first().len == 5
+    assert readers.chrom_sizes(readers.read_sequence_pickle(spark, str(tmp_path / "s.pkl"), trusted=True)).first().len == 5
+    with pytest.raises(ValueError, match="trusted"):
+        readers.read_sequence_pickle(spark, str(tmp_path / "s.pkl"))
     (tmp_path / "f.json").write_text(json.dumps({"features": ["b", "a"]}))
     assert [tuple(r) for r in readers.read_feature_list(spark, str(tmp_path / "f.json")).orderBy("idx").collect()] == [(0, "b"), (1, "a")]
     (tmp_path / "groups.tsv").write_text("group_id\tag_class\tantigen\tct_class\tn_experiments\tpath\n0\tHistone\tNA\tBlood\t3\tx\n")
@@ -192,13 +196,34 @@ def test_a_whole_release(spark, tmp_path):
     assert verify.pan_dominance(each, pan.withColumn("value", (F.col("value") - 1).cast("int")), ["antigen"]).agg(F.sum("above_pan")).first()[0] > 0
     assert verify.disjoint(pan, ["antigen", "chrom"]).isEmpty() and not verify.disjoint(pan.withColumn("end", F.col("end") + 5000), ["antigen", "chrom"]).isEmpty()
 
-    # the exact file layout
-    written = sinks.write_chunk_files(table.select("tissue", "chrom", "chunk", "Chromosome", "Start", "End", "Name", "feature_name"), str(tmp_path / "exact")).collect()
-    assert sum(r.rows for r in written) == table.count()
-    f = pq.ParquetFile(tmp_path / "exact" / "Blood" / "chr1.parquet")
-    chunks = json.loads(f.schema_arrow.metadata[b"genoweave:chunks"])
-    assert f.num_row_groups == len(chunks) and sorted(chunks) == chunks
-    assert f.read_row_group(chunks.index(1)).num_rows == opened.load_chunk("Blood", "chr1", 1).count()
+    # the exact file layout, and faults planted in it
+    folder = Path(opened.path("omics"))
+    one = sorted((folder / "tissue=Blood" / "chrom=chr1").glob("*.parquet"))
+    listed = [c for f in one for c in json.loads(pq.read_metadata(f).metadata[b"genoweave:chunks"])]
+    assert listed == sorted(set(listed)) and sum(pq.read_metadata(f).num_row_groups for f in one) == len(listed) > 1
+    assert [pq.read_metadata(f).num_rows for f in (folder / "tissue=Blood" / "chrom=chr9").glob("*.parquet")] == [0]
+    asked = spark.createDataFrame([*map(tuple, table.select("tissue", "chrom", "chunk").distinct().collect()), ("Blood", "chr9", None)], "tissue string, chrom string, chunk long")
+    faults = lambda: sorted((r.tissue, r.chrom, r.chunk, r.fault) for r in verify.footer_faults(stored_files.footers(spark, str(folder)), asked, chunk).collect())
+    assert faults() == []
+    target = next(f for f in one if pq.read_metadata(f).num_row_groups > 1)
+    meta, groups = pq.read_metadata(target).metadata, [pq.ParquetFile(target).read_row_group(i) for i in range(pq.read_metadata(target).num_row_groups)]
+    own = json.loads(meta[b"genoweave:chunks"])
+
+    def rewrite(kept, names):
+        target.with_name(f".{target.name}.crc").unlink(missing_ok=True)
+        with pq.ParquetWriter(target, groups[0].schema.with_metadata(None)) as w:
+            for g in kept:
+                w.write_table(g, row_group_size=len(g))
+            w.add_key_value_metadata({b"genoweave:chunks": json.dumps(names).encode()})
+
+    rewrite([*groups, groups[-1]], own)
+    assert ("Blood", "chr1", None, "row groups differ from the footer's list") in faults()
+    rewrite(groups[:-1], own[:-1])
+    assert faults() == [("Blood", "chr1", own[-1], "missing chunk")]
+    rewrite(groups, [c + 1000 for c in own])
+    assert {f[3] for f in faults()} == {"rows outside the chunk", "missing chunk", "chunk that no run touches"}
+    target.unlink()
+    assert {f[3] for f in faults()} <= {"missing chunk", "missing file"} and len(faults()) >= len(own)
 
 
 def test_faults_of_all_sizes_and_of_pan_runs_are_found(spark, tmp_path, monkeypatch):
