@@ -3,12 +3,11 @@
 from __future__ import annotations
 
 import re
-import uuid
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from genoweave.session import shared_dir
+from genoweave.session import scratch
 
 #: A word, wherever the contracts speak of words: a run of anything but ASCII white space.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -25,40 +24,26 @@ def common_only(text: str) -> bool:
 _CONTROL = re.compile("[\x00-\x08\x0b-\x0c\x0e-\x1f\x7f]")
 
 
-_STAGED: dict[str, None] = {}
-
-
 def stage(df: DataFrame, name: str) -> DataFrame:
-    """Write a table to the shared folder and read it back.
+    """Write a table to the application's folder in the shared one and read it back.
 
     It cuts the lineage, survives the loss of executors and makes values that depend on the physical row order
-    (row ids) final. ``unstage`` and ``drop_staged`` remove what was written.
+    (row ids) final. ``unstage`` removes what was written; the rest goes with the application.
     """
     spark = df.sparkSession
-    path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    path = scratch(spark, name)
     df.write.option("compression", "zstd").parquet(path)
-    _STAGED[path] = None
     out = spark.read.schema(df.schema).parquet(path)
     out.staged_at = path
     return out
 
 
-def _delete(spark: SparkSession, path: str) -> None:
-    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
-    _STAGED.pop(path, None)
-
-
 def unstage(*frames: DataFrame) -> None:
     """Remove staged tables that no frame still to be computed reads."""
     for df in frames:
-        _delete(df.sparkSession, df.staged_at)
-
-
-def drop_staged(spark: SparkSession, keep: tuple[str, ...] = ()) -> None:
-    """Remove all tables staged so far but those at ``keep``; frames that read them can't be used any more."""
-    for path in [p for p in _STAGED if p not in keep]:
-        _delete(spark, path)
+        context = df.sparkSession.sparkContext
+        target = context._jvm.org.apache.hadoop.fs.Path(df.staged_at)
+        target.getFileSystem(context._jsc.hadoopConfiguration()).delete(target, True)
 
 
 def n_words(text: Column) -> Column:

@@ -1,24 +1,31 @@
 """Mixing sources to target weights by systematic sampling.
 
-Within a source every document expects the same number of copies, its source's target over its source's size. The
-documents lie in a fixed order, by size class and a hash of the id, so their expected copies have a simple prefix sum:
-rank times rate. One offset per source is added, and a document is emitted once per integer boundary its
-interval crosses. As neighbours have near-equal sizes, the words taken come close to the target, and of ``OFFSETS`` offsets,
-evenly spaced from a seeded random one, the source takes that which comes closest.
+Within a source the documents lie in a fixed order, and their expected copies have a prefix sum. One random offset per source is
+added, and a document is emitted once per integer boundary that its interval crosses. The order is that of size class and a
+hash of the id, so neighbours have near-equal sizes, and which of them is taken hardly matters.
+
+What does matter is whether the few documents are taken that hold much of a small source. So the order begins with these: it
+has three levels, documents above 1/32 of their source's size, above 1/1024, and all others. A document of the first level expects
+target over size copies. What the first level then takes above or below its share is made good by the next: its documents
+expect what is left of the target over what is left of the source, and so again for the last. As what is made good is 0 on
+average, every document's chance is that of its source's rate, and the words taken come as close to the target as a document of
+the last level is long. In a large source all documents are of the last level.
 
 A source may hold most of the rows, so ranks are not taken in one window over a source: documents are counted by
-(source, size class, hash bucket), the counts have a prefix sum within the source, and only the rank inside a bucket
+(source, level, size class, hash bucket), the counts have a prefix sum within the level, and only the rank inside a bucket
 comes from a window. The table of counts is bounded by classes x buckets for each source.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from genoweave.llm.common import n_words, stage
 
-CAP, WEIGHTS, SEED, OFFSETS = 3, (1, 2, 3), 42, 32
+CAP, WEIGHTS, SEED = 3, (1, 2, 3), 42
+#: A document above these parts of its source is of level 0, 1, ...; others of the last.
+LEVELS = (32, 1024)
 
 
 def _sized(docs: DataFrame) -> DataFrame:
@@ -52,6 +59,20 @@ def targets(totals: DataFrame, *, cap: int = CAP, weights: tuple[int, ...] = WEI
     return df.withColumn("target", F.when(F.col("_full"), F.col("_cap").cast("double")).otherwise(share)).select("_key", "source", "source_size", "target")
 
 
+def _levelled(sized: DataFrame) -> DataFrame:
+    level = F.lit(len(LEVELS))
+    for i, part in reversed(list(enumerate(LEVELS))):
+        level = F.when(F.col("_size") * part > F.col("source_size"), i).otherwise(level)
+    return sized.withColumn("_level", level)
+
+
+def _crossed() -> Column:
+    """Integer boundaries that a document's interval crosses: ``_rate`` long, it ends at ``_start`` plus its rank times the rate."""
+    edge = lambda rank: F.floor(F.col("_start") + rank.cast("double") * F.col("_rate"))
+    n = edge(F.col("_rank")) - edge(F.col("_rank") - 1)
+    return F.greatest(F.floor("_rate"), F.least(F.ceil("_rate"), n))  # whatever the last bit of a sum
+
+
 def copies(docs: DataFrame, *, cap: int = CAP, weights: tuple[int, ...] = WEIGHTS, seed: int = SEED) -> DataFrame:
     """Adds ``size``, ``source_size``, ``target`` and ``copies`` to all documents (``doc_id``, ``text``, ``source``).
 
@@ -63,25 +84,33 @@ def copies(docs: DataFrame, *, cap: int = CAP, weights: tuple[int, ...] = WEIGHT
     needed = ("doc_id", "text", "source")
     inner = {c: c if c in needed else f"given{i}" for i, c in enumerate(given)}  # so that no name can clash
     docs = docs.select(*[F.col(f"`{c}`").alias(inner[c]) for c in given])
-    cell = ["_key", "_cls", "_bucket"]
+    cell = ["_key", "_level", "_cls", "_bucket"]
     narrow = stage(_sized(docs.select(*needed)).drop("text"), "sizes")
-    counts = narrow.groupBy(*cell).agg(F.count("*").alias("_n"), F.sum("_size").alias("_words"), F.first("source").alias("source"))
-    totals = counts.groupBy("_key", "source").agg(F.sum("_words").alias("source_size"))
-    before = Window.partitionBy("_key").orderBy("_cls", "_bucket").rowsBetween(Window.unboundedPreceding, 0)
-    places = counts.withColumn("_before", F.sum("_n").over(before) - F.col("_n")).select(*cell, "_before")
+    totals = narrow.groupBy("_key").agg(F.first("source").alias("source"), F.sum("_size").alias("source_size"))
+    goals = stage(targets(totals, cap=cap, weights=weights).drop("source"), "targets")
+    narrow = _levelled(narrow.join(goals.select("_key", "source_size"), "_key")).drop("source", "source_size")
+    counts = narrow.groupBy(*cell).agg(F.count("*").alias("_n"), F.sum("_size").alias("_words"))
+    before = Window.partitionBy("_key", "_level").orderBy("_cls", "_bucket").rowsBetween(Window.unboundedPreceding, 0)
+    places = stage(counts.withColumn("_before", F.sum("_n").over(before) - F.col("_n")), "places")
+    held = lambda x, i: F.coalesce(F.sum(F.when(F.col("_level") == i, F.col(x))), F.lit(0)).alias(f"{x}{i}")
+    last = len(LEVELS)
+    goals = goals.join(places.groupBy("_key").agg(*[held(x, i) for x in ("_n", "_words") for i in range(last + 1)]), "_key")
     offset = F.conv(F.substring(F.md5(F.concat(F.lit(f"{seed}:"), "_key")), 1, 8), 16, 10).cast("double") / 4294967296.0
-    rate = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0)
-    goals = targets(totals, cap=cap, weights=weights).drop("source").withColumn("_rate", rate).withColumn("_offset", offset)
+    goals = goals.withColumns({"_start0": offset, "_due": F.col("target"), "_open": F.col("source_size")})
     rank = F.col("_before") + F.row_number().over(Window.partitionBy(*cell).orderBy("_size", "doc_id", "_tie"))
-    edge = lambda rank, offset: F.floor(rank.cast("double") * F.col("_rate") + offset)
-    taken = lambda offset: edge(F.col("_rank"), offset) - edge(F.col("_rank") - 1, offset)
-    tried = [F.col("_offset") + j / OFFSETS - F.when(F.col("_offset") + j / OFFSETS >= 1, 1.0).otherwise(0.0) for j in range(OFFSETS)]
-    ranked = narrow.join(places, cell).withColumn("_rank", rank).join(goals, "_key")
-    sums = ranked.groupBy("_key").agg(*[F.sum(F.col("_size") * taken(o)).alias(f"_t{j}") for j, o in enumerate(tried)])
-    closest = F.array_min(F.array(*[F.struct(F.abs(F.col(f"_t{j}") - F.col("target")), F.lit(j), o.alias("o")) for j, o in enumerate(tried)]))
-    goals = goals.join(sums, "_key").select("_key", "source_size", "target", "_rate", closest["o"].alias("_offset"))
-    places = stage(places.join(goals, "_key"), "places")
-    df = _sized(docs).join(places, cell).withColumn("_rank", rank).withColumn("copies", taken(F.col("_offset"))).withColumn("size", F.col("_size"))
+    for i in range(last + 1):
+        share = F.when(F.col("_open") > 0, F.greatest(F.lit(0.0), F.least(F.lit(float(cap)), F.col("_due") / F.col("_open")))).otherwise(0.0)
+        goals = goals.withColumn(f"_rate{i}", share)
+        if i < last:  # what this level takes is few documents' words
+            own = narrow.filter(F.col("_level") == i).join(places, cell).withColumn("_rank", rank).join(goals.select("_key", F.col(f"_start{i}").alias("_start"), F.col(f"_rate{i}").alias("_rate")), "_key")
+            took = own.groupBy("_key").agg(F.sum(F.col("_size") * _crossed()).alias("_took"))
+            goals = goals.join(took, "_key", "left").na.fill(0, ["_took"])
+            goals = goals.withColumns({"_due": F.col("_due") - F.col("_took"), "_open": F.col("_open") - F.col(f"_words{i}"), f"_start{i + 1}": F.col(f"_start{i}") + F.col(f"_n{i}") * F.col(f"_rate{i}")}).drop("_took")
+            goals = stage(goals, "goals")
+    rates = goals.select("_key", "source_size", "target", F.explode(F.array(*[F.struct(F.lit(i).alias("_level"), F.col(f"_start{i}").alias("_start"), F.col(f"_rate{i}").alias("_rate")) for i in range(last + 1)])).alias("_l")).select("_key", "source_size", "target", "_l.*")
+    places = stage(places.join(rates, ["_key", "_level"]).drop("_n", "_words"), "places")
+    df = _levelled(_sized(docs).join(rates.filter("_level = 0").select("_key", "source_size"), "_key")).drop("source_size")
+    df = df.join(places, cell).withColumn("_rank", rank).withColumn("copies", _crossed()).withColumn("size", F.col("_size"))
     return df.select(*[F.col(inner[c]).alias(c) for c in given], "size", "source_size", "target", "copies")
 
 

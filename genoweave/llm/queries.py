@@ -35,29 +35,41 @@ totals AS (SELECT k, source, sum(size)::BIGINT AS source_size FROM classed GROUP
 weighted AS (
   SELECT *, 1 + (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 AS w, 3 * source_size AS cap,
          (sum(source_size) OVER ())::BIGINT AS total FROM totals),
-levels AS (
+fills AS (
   SELECT *, total - (sum(cap) OVER by_ratio)::BIGINT + cap AS remaining,
          (sum(w) OVER (ORDER BY cap::DOUBLE / w, source NULLS LAST ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING))::BIGINT AS weight
   FROM weighted WINDOW by_ratio AS (ORDER BY cap::DOUBLE / w, source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)),
-filled AS (SELECT *, cap::HUGEINT * weight <= remaining::HUGEINT * w AS is_full FROM levels),
+filled AS (SELECT *, cap::HUGEINT * weight <= remaining::HUGEINT * w AS is_full FROM fills),
 shared AS (
   SELECT *, total - (sum(CASE WHEN is_full THEN cap ELSE 0 END) OVER ())::BIGINT AS rest,
          (sum(CASE WHEN is_full THEN 0 ELSE w END) OVER ())::BIGINT AS open FROM filled),
-goals AS (
-  SELECT k, source_size, CASE WHEN is_full THEN cap::DOUBLE ELSE rest::DOUBLE * w / open END AS target,
-         ('0x' || substr(md5('42:' || k), 1, 8))::BIGINT::DOUBLE / 4294967296.0 AS off FROM shared),
 ranked AS (
-  SELECT c.doc_id, c.k, c.size, g.source_size, g.target, g.off, CASE WHEN g.source_size > 0 THEN g.target / g.source_size ELSE 0.0 END AS rate,
-         row_number() OVER (PARTITION BY c.k ORDER BY c.cls, c.bucket, c.size, c.doc_id NULLS FIRST) AS r
-  FROM classed c JOIN goals g USING (k)),
-tried AS (SELECT k, j, off + j / 32.0::DOUBLE - CASE WHEN off + j / 32.0::DOUBLE >= 1 THEN 1.0 ELSE 0.0 END AS o FROM goals, range(32) t(j)),
-sums AS (
-  SELECT r.k, t.j, t.o, any_value(r.target) AS target, sum(size * (floor(r::DOUBLE * rate + o)::BIGINT - floor((r - 1)::DOUBLE * rate + o)::BIGINT)) AS words
-  FROM ranked r JOIN tried t ON r.k = t.k GROUP BY r.k, t.j, t.o),
-chosen AS (SELECT k, o FROM (SELECT *, row_number() OVER (PARTITION BY k ORDER BY abs(words::DOUBLE - target), j) AS n FROM sums) WHERE n = 1)
-SELECT doc_id, size, source_size, target,
-       (floor(r::DOUBLE * rate + o)::BIGINT - floor((r - 1)::DOUBLE * rate + o)::BIGINT) * size AS taken
-FROM ranked JOIN chosen USING (k)
+  SELECT *, row_number() OVER (PARTITION BY k, level ORDER BY cls, bucket, size, doc_id NULLS FIRST) AS r
+  FROM (SELECT c.doc_id, c.k, c.size, c.cls, c.bucket, t.source_size, CASE WHEN c.size * 32 > t.source_size THEN 0 WHEN c.size * 1024 > t.source_size THEN 1 ELSE 2 END AS level FROM classed c JOIN totals t USING (k))),
+held AS (
+  SELECT k, count(*) FILTER (level = 0) AS n0, count(*) FILTER (level = 1) AS n1, coalesce(sum(size) FILTER (level = 0), 0)::BIGINT AS words0, coalesce(sum(size) FILTER (level = 1), 0)::BIGINT AS words1
+  FROM ranked GROUP BY k),
+first_rate AS (
+  SELECT *, CASE WHEN source_size > 0 THEN greatest(0.0::DOUBLE, least(3.0::DOUBLE, target / source_size)) ELSE 0.0::DOUBLE END AS rate0
+  FROM (SELECT k, source_size, CASE WHEN is_full THEN cap::DOUBLE ELSE rest::DOUBLE * w / open END AS target, ('0x' || substr(md5('42:' || k), 1, 8))::BIGINT::DOUBLE / 4294967296.0 AS start0 FROM shared)
+  JOIN held USING (k)),
+took0 AS (
+  SELECT g.*, coalesce(took, 0) AS took0 FROM first_rate g LEFT JOIN (
+    SELECT k, sum(size * greatest(floor(rate0), least(ceil(rate0), floor(start0 + r::DOUBLE * rate0) - floor(start0 + (r - 1)::DOUBLE * rate0)))::BIGINT)::BIGINT AS took
+    FROM ranked JOIN first_rate USING (k) WHERE level = 0 GROUP BY k) USING (k)),
+second_rate AS (
+  SELECT *, CASE WHEN source_size - words0 > 0 THEN greatest(0.0::DOUBLE, least(3.0::DOUBLE, (target - took0) / (source_size - words0))) ELSE 0.0::DOUBLE END AS rate1, start0 + n0 * rate0 AS start1 FROM took0),
+took1 AS (
+  SELECT g.*, coalesce(took, 0) AS took1 FROM second_rate g LEFT JOIN (
+    SELECT k, sum(size * greatest(floor(rate1), least(ceil(rate1), floor(start1 + r::DOUBLE * rate1) - floor(start1 + (r - 1)::DOUBLE * rate1)))::BIGINT)::BIGINT AS took
+    FROM ranked JOIN second_rate USING (k) WHERE level = 1 GROUP BY k) USING (k)),
+third_rate AS (
+  SELECT *, CASE WHEN source_size - words0 - words1 > 0 THEN greatest(0.0::DOUBLE, least(3.0::DOUBLE, (target - took0 - took1) / (source_size - words0 - words1))) ELSE 0.0::DOUBLE END AS rate2, start1 + n1 * rate1 AS start2 FROM took1),
+placed AS (
+  SELECT r.doc_id, r.size, r.r, g.source_size, g.target, CASE level WHEN 0 THEN rate0 WHEN 1 THEN rate1 ELSE rate2 END AS rate, CASE level WHEN 0 THEN start0 WHEN 1 THEN start1 ELSE start2 END AS start
+  FROM ranked r JOIN third_rate g ON r.k = g.k)
+SELECT doc_id, size, source_size, target, size * greatest(floor(rate), least(ceil(rate), floor(start + r::DOUBLE * rate) - floor(start + (r - 1)::DOUBLE * rate)))::BIGINT AS taken
+FROM placed
 """
 
 

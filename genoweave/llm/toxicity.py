@@ -1,11 +1,14 @@
 """Toxicity by a weighted finite-state pattern grammar.
 
-Words are first mapped to tags: insult, threat, target, negation, reporting verb, quote, end of clause, other. Three transducers
-over tags are composed to one machine: *negation* turns an insult or threat that a negation governs (three words at
-most between) into a negated one, *reported speech* turns those after a reporting verb or inside quotes into reported ones, and
-*clause scoring* weighs what is left, an insult more where its clause has a target, a threat only there. A clause's
-score is the sum of the weights along its path; a document's score is a calibrated logistic function of its matched
-clauses: the highest, their number and sum, and their share of the text. So matched clauses count, not isolated words.
+Words are first mapped to tags: insult, threat, target, object, negation, reporting verb, quote, end of clause, other. Three
+transducers over tags are composed to one machine: *negation* softens an insult or threat that a negation governs (three words
+at most between), *reported speech* softens those after a reporting verb or inside quotes after one, and *clause scoring* weighs
+what is left. An insult counts more when a target stands ahead of it, with at most three words between. A threat counts only where a
+target is its object: at most one word after it ("kill all of you" has one too many, "kill you all" doesn't), or, as verbs come last
+in some languages, an object pronoun at most one word ahead. A softened reading counts a quarter. A clause's score is the
+sum of the weights along its path; a document's score is a calibrated logistic function of its matched clauses: the
+highest, their number and sum, and their share of the text, none of which can make a document less toxic. So matched
+clauses count, not isolated words.
 
 Insults are patterns with weights: whole words, or beginnings of words, so that inflected forms of a stem match. They
 are learned from labels, as log odds of occurring in toxic against other documents, each distinct form in a document
@@ -28,13 +31,16 @@ from genoweave.llm.common import stage, unstage
 from genoweave.llm.quality import sampled
 
 #: The closed word classes of the grammar, in English, German, French and Spanish.
-TARGETS = "you your yours u he she they them him her people everyone du dich dir ihr euch sie er tu toi te vous il elle ils tú usted ustedes él ella ellos".split()
+TARGETS = "you your yours u he she they them him her people everyone du dir ihr sie er tu toi il elle ils tú usted ustedes él ella ellos".split()
+OBJECTS = "dich euch ihn te vous".split()
 NEGATIONS = "not never no isn't aren't wasn't don't doesn't nobody nicht kein keine nie pas jamais aucun nunca jamás".split()
 REPORTS = "said says wrote writes called calls claimed reported quoted sagte schrieb nannte dit écrit appelé dijo escribió llamó".split()
 THREATS = "kill hurt destroy murder strangle shoot stab töten umbringen verletzen tuer blesser frapper matar golpear herir".split()
 
-OTHER, INSULT, THREAT, TARGET, NEGATION, REPORT, QUOTE, END = range(8)
-NEGATED, REPORTED = 8, 9
+OTHER, INSULT, THREAT, TARGET, OBJECT, NEGATION, REPORT, QUOTE, END = range(9)
+TAGS = range(9)
+#: Tags that transducers make: insults and threats that are denied or reported.
+SOFT_INSULT, SOFT_THREAT = 9, 10
 _TOKEN = re.compile(r"[^\W_]+(?:['’][^\W_]+)*|[.!?;,\n]|[\"“”„«»]")
 _CLAUSE_END, _QUOTES = frozenset(".!?;,\n"), frozenset("\"“”„«»")
 
@@ -64,16 +70,23 @@ class Transducer:
                     open_.append((a, b))
         return Transducer(arcs, start)
 
+    def table(self, alphabet: range) -> list[list[tuple[int, int, float]]]:
+        """The arcs of each state by input, states numbered from the start, 0."""
+        number = {self.start: 0} | {s: i for i, s in enumerate((s for s in dict.fromkeys(k[0] for k in self.arcs) if s != self.start), 1)}
+        return [[(number[to], y, w) for to, y, w in (self.step(s, x) for x in alphabet)] for s in number]
+
+
+SOFTENED = {INSULT: SOFT_INSULT, THREAT: SOFT_THREAT, SOFT_INSULT: SOFT_INSULT, SOFT_THREAT: SOFT_THREAT}
+
 
 def negation(reach: int = 3) -> Transducer:
-    """State k: k more words may stand between the negation and what it governs."""
+    """State k: k - 1 more words may stand between the negation and what it governs."""
     arcs = {}
     for k in range(reach + 2):
-        after = max(0, k - 1)
-        for x in (OTHER, TARGET, REPORT):
-            arcs[k, x] = (after, x, 0.0)
+        for x in (OTHER, TARGET, OBJECT, REPORT):
+            arcs[k, x] = (max(0, k - 1), x, 0.0)
         for x in (INSULT, THREAT):
-            arcs[k, x] = (0, NEGATED if k else x, 0.0)
+            arcs[k, x] = (0, SOFTENED[x] if k else x, 0.0)
         arcs[k, NEGATION] = (reach + 1, OTHER, 0.0)
         arcs[k, QUOTE] = (k, QUOTE, 0.0)
         arcs[k, END] = (0, END, 0.0)
@@ -84,34 +97,41 @@ def reported_speech() -> Transducer:
     """States: 0 plain, 1 after a reporting verb in this clause, 2 inside quotes after one."""
     arcs = {}
     for s in range(3):
-        for x in (INSULT, THREAT):
-            arcs[s, x] = (s, REPORTED if s else x, 0.0)
+        for x, soft in SOFTENED.items():
+            arcs[s, x] = (s, soft if s else x, 0.0)
         arcs[s, REPORT] = (max(1, s), OTHER, 0.0)
         arcs[s, QUOTE] = ({0: 0, 1: 2, 2: 0}[s], OTHER, 0.0)
         arcs[s, END] = (2 if s == 2 else 0, END, 0.0)
     return Transducer(arcs)
 
 
-#: Weights that the grammar adds: per reading of an insult, with a target in its clause, for a threat with a target.
-NEGATED_AT, REPORTED_AT, AIMED, THREATENED, THREAT_WEIGHT = 0.25, 0.25, 0.25, 1.0, 4.0
+#: Weights that the grammar adds, as multiples of a word's own: a softened reading, an aimed insult, a threat to its object; a
+#: threat's own weight; how many words a target reaches ahead, and how many may lie between a threat and its object.
+SOFT, AIMED, THREATENED, THREAT_WEIGHT, AHEAD, BETWEEN = 0.25, 0.5, 1.0, 4.0, 3, 1
 
 
 def clause_scoring() -> Transducer:
-    """States: 0 nothing yet, 1 target seen, 2 threat waits for its target. Weights are multiples of the word's own."""
+    """State (t, o, k, w): a target reaches t - 1 words further, an object pronoun o - 1; a threat waits k - 1 more words for its
+    object and is worth w then."""
     arcs = {}
-    for s in range(3):
-        arcs[s, OTHER] = (s, OTHER, 0.0)
-        arcs[s, TARGET] = (1, OTHER, THREATENED if s == 2 else 0.0)
-        arcs[s, INSULT] = (s, INSULT, 1.0 + (AIMED if s == 1 else 0.0))
-        arcs[s, NEGATED] = (s, INSULT, NEGATED_AT)
-        arcs[s, REPORTED] = (s, INSULT, REPORTED_AT)
-        arcs[s, THREAT] = (1, OTHER, THREATENED) if s == 1 else (2, OTHER, 0.0)
-        arcs[s, END] = (0, END, 0.0)
-    return Transducer(arcs)
+    states = [(t, o, k, w) for t in range(AHEAD + 2) for o in range(BETWEEN + 2) for k in range(BETWEEN + 2) for w in ((0.0,) if not k else (THREATENED, SOFT * THREATENED))]
+    for t, o, k, w in states:
+        older = (max(0, t - 1), max(0, o - 1), max(0, k - 1), w if k > 1 else 0.0)
+        s = (t, o, k, w)
+        arcs[s, OTHER] = (older, OTHER, 0.0)
+        met = (AHEAD + 1, older[1], 0, 0.0)
+        arcs[s, TARGET] = (met, OTHER, w)
+        arcs[s, OBJECT] = ((*met[:1], BETWEEN + 1, *met[2:]), OTHER, w)
+        for x, share in ((INSULT, 1.0), (SOFT_INSULT, SOFT)):
+            arcs[s, x] = (older, INSULT, share * (1.0 + (AIMED if t else 0.0)))
+        for x, share in ((THREAT, THREATENED), (SOFT_THREAT, SOFT * THREATENED)):
+            arcs[s, x] = ((older[0], 0, 0, 0.0), OTHER, share) if o else ((older[0], older[1], BETWEEN + 1, share), OTHER, 0.0)
+        arcs[s, END] = ((0, 0, 0, 0.0), END, 0.0)
+    return Transducer(arcs, (0, 0, 0, 0.0))
 
 
 def grammar() -> Transducer:
-    return negation().compose(reported_speech(), range(8)).compose(clause_scoring(), range(8))
+    return negation().compose(reported_speech(), TAGS).compose(clause_scoring(), TAGS)
 
 
 #: Lengths of the word beginnings that can be insult patterns, next to whole words; bound on a worker's cache.
@@ -127,8 +147,8 @@ class Matcher:
     """Runs the composed machine over a text. ``insults`` maps patterns to weights in log odds."""
 
     def __init__(self, insults: dict[str, float]):
-        self.machine, self.insults = grammar(), insults
-        fixed = {w: t for t, words in ((TARGET, TARGETS), (NEGATION, NEGATIONS), (REPORT, REPORTS), (THREAT, THREATS)) for w in words}
+        self.arcs, self.insults = grammar().table(TAGS), insults
+        fixed = {w: t for t, words in ((TARGET, TARGETS), (OBJECT, OBJECTS), (NEGATION, NEGATIONS), (REPORT, REPORTS), (THREAT, THREATS)) for w in words}
         fixed |= dict.fromkeys(_CLAUSE_END, END) | dict.fromkeys(_QUOTES, QUOTE)
         self.fixed = {w: (t, THREAT_WEIGHT) for w, t in fixed.items()}
         self.cache = dict(self.fixed)
@@ -148,15 +168,15 @@ class Matcher:
         tokens = _TOKEN.findall(text.lower()) if text else []
         get = self.cache.get
         tags = [get(t) or self.tag(t) for t in tokens]
-        out, state, total, arcs = [], self.machine.start, 0.0, self.machine.arcs
+        out, state, total, arcs = [], 0, 0.0, self.arcs
         for tag, own in tags:
-            state, kind, w = arcs[state, tag]
+            state, kind, w = arcs[state][tag]
             if kind == END:
                 if total:
                     out.append(total)
                 total = 0.0
-            elif w:
-                total += w * own
+            elif w:  # a threat's object brings the threat's own weight
+                total += w * (own if kind == INSULT else THREAT_WEIGHT)
         return ([*out, total] if total else out), len(tokens)
 
     def features(self, text: str | None) -> tuple[float, ...]:
@@ -214,10 +234,21 @@ def learn(docs: DataFrame, labels: DataFrame, *, target: str = "toxic", sample:
 
 
 def _logistic(x: np.ndarray, y: np.ndarray, ridge: float = 0.1) -> np.ndarray:
-    """Logistic regression by damped Newton steps; the constant isn't penalised."""
+    """Logistic regression by damped Newton steps, without negative factors: of those that come out negative the lowest goes, until
+    none is. The constant (the first column) is free and not penalised."""
+    w, open_ = np.zeros(x.shape[1]), list(range(x.shape[1]))
+    while len(y):
+        w[:] = 0
+        w[open_] = _newton(x[:, open_], y, ridge)
+        lowest = min(open_[1:], key=lambda i: w[i], default=0)
+        if not lowest or w[lowest] >= 0:
+            break
+        open_.remove(lowest)
+    return w
+
+
+def _newton(x: np.ndarray, y: np.ndarray, ridge: float) -> np.ndarray:
     w = np.zeros(x.shape[1])
-    if not len(y):
-        return w
     r = np.diag([1e-6] + [ridge] * (x.shape[1] - 1))
     for _ in range(100):
         p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))

@@ -57,3 +57,32 @@ def test_edges(spark):
     df = H.extract(pages, H.learn(pages))
     assert [r.text for r in df.collect()][:5] == ["", "", TEXT, TEXT, TEXT] and df.columns == ["page_id", "html", "n_chars", "text"]
     assert H.learn(pages.limit(0)) == {} and H.extract(pages.limit(0), {}).count() == 0
+
+
+def test_the_scan_decides_where_tags_name_nothing():
+    """Lists of links and teasers in plain elements, without marks: what was learned from other pages makes them cost more than they
+    bring, and the scan cuts them off at both ends."""
+    links = lambda k: "<div>" + "".join(f"<div><a href=/{i}>link {i} to page</a></div>" for i in range(k)) + "</div>"
+    body = "<p>" + "</p><p>".join(f"Sentence {i} of the story is long enough to be read." for i in range(8)) + "</p>"
+    text = " ".join(f"Sentence {i} of the story is long enough to be read." for i in range(8))
+    labelled = [f"<body>{links(12)}<article>{body}</article>{links(15)}</body>"] * 5
+    counts = sum((H.evidence(p) for p in labelled), H.Counter())
+    weights = {}
+    for key in {k for k, _ in counts}:
+        inside, outside = counts[key, True], counts[key, False]
+        weights[key] = max(-6.0, min(3.0, H.math.log((inside + 0.5) / (outside + 0.5))))
+    plain = f"<body>{links(9)}<div>{body}</div>{links(20)}</body>"
+    assert H.main_text(plain, weights) == text
+    assert H.main_text(plain, {}) != text and "link 3" in H.main_text(plain, {}), "without the weights the lists are taken"
+    start, end = H.region(H.tokens(plain, weights), weights)
+    assert 0 < start < end < len(H.tokens(plain, weights))
+
+
+def test_marks_and_truncated_tags():
+    import time
+
+    assert H.main_text('<article><p>Body text here.</p><div class="related-posts">More of it</div><div class="notice-of-motion">The motion passed.</div></article>', {}) == "Body text here. The motion passed."
+    page = "<p>Before it.</p><div " + " ".join(f'data-a{i}="v {i}"' for i in range(200))
+    began = time.time()
+    assert H.main_text(page, {}) == "Before it." and H.main_text("<p>a</p>" + "<div class='x" * 20_000, {}) == "a"
+    assert time.time() - began < 5

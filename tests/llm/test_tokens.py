@@ -116,3 +116,37 @@ def test_mix_meets_its_targets(spark):
     assert max(free.values()) - min(free.values()) < 1e-6 * total
     assert all(3 * by[s][0].source_size <= weights[s] * min(free.values()) + 1e-6 for s in order if s not in free)
     assert sorted(map(str, mixing.mix(docs).drop("size").collect())) == sorted(str(r) for r in mixing.copies(docs).selectExpr("explode(array_repeat(struct(doc_id, text, source), int(copies))) r").select("r.*").collect())
+
+
+def test_a_source_meets_its_target_in_spite_of_large_documents(spark):
+    """One document has a third of its source's words: what it brings or lacks, the others make good; reruns agree."""
+    rng = random.Random(6)
+    rows = [(1000 * k + i, "w " * (9000 if i == 0 else rng.randint(5, 120)), f"s{k}") for k in range(6) for i in range(300)]
+    rows += [(90_000 + i, "w " * rng.randint(1, 50), None) for i in range(5)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    found = mixing.copies(docs).collect()
+    assert sorted(map(tuple, found)) == sorted(map(tuple, mixing.copies(docs.repartition(7)).collect()))
+    taken, goal = {}, {}
+    for r in found:
+        assert 0 <= r.copies <= 3
+        taken[r.source], goal[r.source] = taken.get(r.source, 0) + r.copies * r.size, r.target
+    assert all(abs(taken[f"s{k}"] - goal[f"s{k}"]) <= 0.005 * goal[f"s{k}"] for k in range(6))
+
+
+def test_the_chance_of_a_document_is_its_sources_rate(spark):
+    """Over many alike sources, each with its own offset, documents of all sizes are taken as often as target over size says."""
+    sizes = [400] * 2 + [20] * 13 + [1] * 45
+    docs = spark.createDataFrame([(100 * k + i, "w " * n, f"s{k:03d}") for k in range(300) for i, n in enumerate(sizes)], "doc_id long, text string, source string")
+    share = {}
+    for r in mixing.copies(docs).collect():
+        share.setdefault((r.size, round(r.target / r.source_size, 6)), []).append(r.copies)
+    assert len(share) == 9
+    for (size, rate), copies in share.items():
+        assert abs(sum(copies) / len(copies) - rate) < 0.08, (size, rate)
+
+
+def test_columns_of_the_same_names(spark):
+    docs = spark.createDataFrame([(1, "two words", "s", "own", 7)], "doc_id long, text string, source string, n_tokens string, size int")
+    counted = token_counts.count_tokens(docs, BYTE)
+    assert counted.columns == docs.columns and counted.first().n_tokens == 2
+    assert mixing.mix(docs).columns == docs.columns and mixing.mix(docs).first()["size"] == 7
