@@ -44,7 +44,7 @@ def main(args: list[str] | None = None) -> int:
         p.add_argument("--org", required=True)
         if stage != "list":
             p.add_argument("--id", required=True)
-    p = stages.add_parser("migrate", help="rename a legacy tree; prints the plan unless --execute")
+    p = stages.add_parser("migrate", help="move a legacy tree into a release; shows the plan unless --execute")
     for name in ("--legacy", "--root", "--org", "--id", "--class-list"):
         p.add_argument(name, required=True)
     p.add_argument("--execute", action="store_true")
@@ -82,11 +82,13 @@ def main(args: list[str] | None = None) -> int:
         print(*release.list_releases(spark, a.root, a.org), sep="\n")
     else:
         codes = vocab.class_codes(readers.read_class_list(spark, a.class_list))
-        of = lambda kind: {r.code: r.name for r in codes.filter(F.col("kind") == kind).collect()}
-        moves = migrate.plan(a.legacy, a.root, a.org, a.id, of("antigen"), of("tissue"))
-        for old, new in moves:
-            print(old, "->", new)
-        print(migrate.execute(moves, dry_run=not a.execute), "files")
+        if a.execute:
+            done = migrate.migrate(spark, a.legacy, a.root, a.org, a.id, codes).manifest["stages"]["migrate"]
+            print(f"{done['moved']} files moved, {done['left']} left in place")
+        else:
+            moves = migrate.plan(spark, a.legacy, a.root, a.org, a.id, codes)
+            moves.orderBy("old").select("old", "new").show(20, False)
+            moves.groupBy("kind").count().show()
     return 0
 
 

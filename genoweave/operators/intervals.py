@@ -301,6 +301,34 @@ def n_runs_of_pieces(pieces: DataFrame) -> DataFrame:
 
 
 def out_of_order(df: DataFrame, keys: Sequence[str], order: Sequence[str], *, start: str = "start") -> DataFrame:
-    """How many rows of each key start before the row ahead of them in the given order."""
-    ahead = F.lag(start).over(Window.partitionBy(*keys).orderBy(*order))
-    return df.withColumn("_ahead", ahead).groupBy(*keys).agg(F.count_if(F.col(start) < F.col("_ahead")).alias("out_of_order"), F.count("*").alias("rows"))
+    """How many rows of each key start before the row ahead of them in the given order.
+
+    Rows are sorted by ranges, so a hot key is spread over tasks; a range's first and last row of each key are all that is
+    compared across ranges.
+    """
+    width = len(keys)
+    ranged = df.select(*keys, *[c for c in {*order, start} if c not in keys]).repartitionByRange(*keys, *order).sortWithinPartitions(*keys, *order)
+    rows = ranged.select(*keys, F.spark_partition_id().alias("_part"), F.col(start).cast("long").alias("_at"))
+
+    def audit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        out = None  # keys, part, rows, late, first, last of the run of rows that goes on
+        for goes_on, b, i, j in _segments(batches, width + 1):
+            at = b.column(width + 1).slice(i, j - i).to_numpy(zero_copy_only=False)
+            late = int((at[1:] < at[:-1]).sum())
+            if goes_on:
+                out = (*out[:-4], out[-4] + j - i, out[-3] + late + int(at[0] < out[-1]), out[-2], at[-1].item())
+                continue
+            if out:
+                yield row(out)
+            names = b.schema.names[: width + 1]
+            kinds = [f.type for f in b.schema][: width + 1]
+            out = (*[b.column(k)[i].as_py() for k in range(width + 1)], j - i, late, at[0].item(), at[-1].item())
+            row = lambda x, names=names, kinds=kinds: pa.RecordBatch.from_arrays([pa.array([v], t) for v, t in zip(x, [*kinds, *[pa.int64()] * 4], strict=True)], names=[*names, "rows", "late", "first", "last"])
+        if out:
+            yield row(out)
+
+    kinds = dict(rows.dtypes)
+    edges = rows.mapInArrow(lambda x: _alike(audit(x)), ", ".join(f"`{k}` {kinds[k]}" for k in keys) + ", _part int, rows long, late long, first long, last long")
+    ahead = F.lag("last").over(Window.partitionBy(*keys).orderBy("_part"))  # a row for each range that a key touches
+    edges = edges.withColumn("late", F.col("late") + F.coalesce((F.col("first") < ahead).cast("long"), F.lit(0)))
+    return edges.groupBy(*keys).agg(F.sum("late").alias("out_of_order"), F.sum("rows").alias("rows"))

@@ -4,11 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from genoweave.functions.names import slugify
-from genoweave.operators.intervals import explode_to_chunks, min_over
+from genoweave.operators.intervals import clipped, explode_to_chunks, min_over
 
 
 def round_trip(peaks: DataFrame, runs: DataFrame, keys: Sequence[str], *, value: str = "score") -> DataFrame:
@@ -27,11 +27,14 @@ def pan_dominance(runs: DataFrame, pan: DataFrame, by: Sequence[str]) -> DataFra
 
 
 def disjoint(runs: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Runs that begin before the one ahead of them ends, that are empty, or that aren't positive."""
-    from pyspark.sql import Window
+    """Runs that begin before the one ahead of them ends, that are empty, or that aren't positive.
 
-    reach = F.lag("end").over(Window.partitionBy(*keys).orderBy("start", "end"))
-    return runs.withColumn("_reach", reach).filter((F.col("start") < F.col("_reach")) | (F.col("end") <= F.col("start")) | (F.col("value") <= 0)).drop("_reach")
+    Two runs that overlap share a tile, and some two neighbours in it overlap, so no more than a tile is sorted.
+    """
+    cut = clipped(runs.withColumns({"_start": F.col("start"), "_end": F.col("end")}), 65536)
+    reach = F.lag("end").over(Window.partitionBy(*keys, "tile").orderBy("start", "end"))
+    late = cut.withColumn("_reach", reach).filter(F.col("start") < F.col("_reach")).withColumns({"start": F.col("_start"), "end": F.col("_end")}).select(*runs.columns)
+    return late.distinct().union(runs.filter((F.col("end") <= F.col("start")) | (F.col("value") <= 0)))
 
 
 def missing_chunks(omics: DataFrame, grid: DataFrame, tissues: DataFrame, chunk: int) -> DataFrame:

@@ -599,3 +599,6 @@ def sizes_stored(t: Tables) -> DataFrame:
     path = scratch(t.spark, "sizes")
     sinks.write_chrom_sizes(t.sizes(), path)
     return readers.read_chrom_sizes(t.spark, path)
+
+
+from genoweave import release_queries  # noqa: E402, F401  registers more, with what is defined above

@@ -6,7 +6,7 @@ import io
 import json
 import pickle
 import zipfile
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pandas as pd
@@ -42,17 +42,33 @@ def read_live_list(spark: SparkSession, path: str) -> DataFrame:
     return df.select("line_no", *[f[i].alias(name) for i, name in enumerate(EXPERIMENT)])
 
 
+def _parsed(spark: SparkSession, path: str, parse: Callable[[bytes], Iterator[dict[str, list]]], schema: str) -> DataFrame:
+    """Rows that ``parse`` makes of a file's bytes, in the task that reads the file."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for raw in b.column(0):
+                for columns in parse(raw.as_py()):
+                    yield pa.RecordBatch.from_pydict(columns)
+
+    return spark.read.format("binaryFile").load(path).select("content").mapInArrow(run, schema)
+
+
 def read_bundled_zip(spark: SparkSession, path: str) -> DataFrame:
     """An experiment list that is the only CSV of a zip archive: header, first six columns by position, all strings."""
-    raw = bytes(spark.read.format("binaryFile").load(path).select("content").first()[0])
-    with zipfile.ZipFile(io.BytesIO(raw)) as z:
-        inside = [n for n in z.namelist() if n.lower().endswith(".csv")]
-        if len(inside) != 1:
-            raise ValueError(f"{path} holds {len(inside)} CSV files, not one")
-        table = pd.read_csv(z.open(inside[0]), dtype=str, encoding="latin-1", keep_default_na=False, on_bad_lines="warn", usecols=range(6), engine="python")
-    table.columns = list(EXPERIMENT)
-    table.insert(0, "line_no", range(len(table)))
-    return spark.createDataFrame(table, "line_no long, " + ", ".join(f"{c} string" for c in EXPERIMENT))
+
+    def parse(raw: bytes) -> Iterator[dict[str, list]]:
+        with zipfile.ZipFile(io.BytesIO(raw)) as z:
+            inside = [n for n in z.namelist() if n.lower().endswith(".csv")]
+            if len(inside) != 1:
+                raise ValueError(f"the archive holds {len(inside)} CSV files, not one")
+            with z.open(inside[0]) as f:
+                at = 0
+                for part in pd.read_csv(f, dtype=str, encoding="latin-1", keep_default_na=False, on_bad_lines="warn", usecols=range(6), engine="python", chunksize=10_000):
+                    yield {"line_no": list(range(at, at + len(part)))} | {name: part.iloc[:, i].tolist() for i, name in enumerate(EXPERIMENT)}
+                    at += len(part)
+
+    return _parsed(spark, path, parse, "line_no long, " + ", ".join(f"{c} string" for c in EXPERIMENT))
 
 
 def _exists(spark: SparkSession, path: str) -> bool:
@@ -215,17 +231,16 @@ def stored_order(rows: DataFrame, *, key: str = "chrom", start: str = "start") -
     return edges.withColumn("late", F.col("late") + F.coalesce(seam.cast("long"), F.lit(0))).groupBy("path").agg(F.sum("rows").alias("rows"), F.sum("late").alias("out_of_order"))
 
 
-def _unpickled(raw: bytes, trusted: bool):
-    """What a pickle holds. It may run any code when loaded, so the caller must say that its origin is trusted."""
+def _trust(trusted: bool) -> None:
+    """A pickle may run any code when it is loaded, so the caller must say that its origin is known."""
     if not trusted:
         raise ValueError("a pickle runs code when it is loaded; pass trusted=True for one of known origin")
-    return pickle.loads(raw)  # noqa: S301
 
 
 def read_sequence_pickle(spark: SparkSession, path: str, trusted: bool = False) -> DataFrame:
     """(chrom, seq) of a pickled {chrom: sequence}, to be stored as a table once."""
-    raw = bytes(spark.read.format("binaryFile").load(path).select("content").first()[0])
-    return spark.createDataFrame([(str(k), str(v)) for k, v in _unpickled(raw, trusted).items()], "chrom string, seq string")
+    _trust(trusted)
+    return _parsed(spark, path, lambda raw: ({"chrom": [str(k)], "seq": [str(v)]} for k, v in pickle.loads(raw).items()), "chrom string, seq string")  # noqa: S301
 
 
 def read_groups(spark: SparkSession, path: str) -> DataFrame:
@@ -244,10 +259,17 @@ def read_class_list(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_feature_list(spark: SparkSession, path: str, trusted: bool = False) -> DataFrame:
-    """(idx, name) of a JSON list, or of an object's ``features``, in order."""
-    raw = bytes(spark.read.format("binaryFile").load(path).select("content").first()[0])
-    found = _unpickled(raw, trusted) if path.endswith((".pkl", ".joblib")) else json.loads(raw)
-    return spark.createDataFrame(list(enumerate(found["features"] if isinstance(found, dict) else list(found))), "idx int, name string")
+    """(idx, name) of a JSON list, or of an object's ``features``, in order; of a pickled one if it is trusted."""
+    pickled = path.endswith((".pkl", ".joblib"))
+    if pickled:
+        _trust(trusted)
+
+    def parse(raw: bytes) -> Iterator[dict[str, list]]:
+        found = pickle.loads(raw) if pickled else json.loads(raw)  # noqa: S301
+        names = [str(x) for x in (found["features"] if isinstance(found, dict) else found)]
+        yield {"idx": pa.array(range(len(names)), pa.int32()), "name": pa.array(names, pa.string())}
+
+    return _parsed(spark, path, parse, "idx int, name string")
 
 
 def read_chrom_sizes(spark: SparkSession, path: str) -> DataFrame:
@@ -265,7 +287,12 @@ def read_omics(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_legacy_windows(spark: SparkSession, path: str, trusted: bool = False) -> DataFrame:
-    """Windows of one split from a pickled frame with columns chrom, start, end (strand, tissue), for a one-off import."""
-    raw = bytes(spark.read.format("binaryFile").load(path).select("content").first()[0])
-    return spark.createDataFrame(pd.DataFrame(_unpickled(raw, trusted)))
+    """(chrom, start, end, strand, tissue) of a pickled frame with windows of one split; what it lacks of the last two is null."""
+    _trust(trusted)
+
+    def parse(raw: bytes) -> Iterator[dict[str, list]]:
+        df = pd.DataFrame(pickle.loads(raw))  # noqa: S301
+        text = lambda c: pa.array([str(x) for x in df[c]] if c in df else [None] * len(df), pa.string())
+        yield {"chrom": text("chrom"), "start": pa.array(df["start"], pa.int64()), "end": pa.array(df["end"], pa.int64()), "strand": text("strand"), "tissue": text("tissue")}
 
+    return _parsed(spark, path, parse, "chrom string, start long, end long, strand string, tissue string")

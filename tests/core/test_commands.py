@@ -15,22 +15,37 @@ from genoweave.plans import migrate
 ROOT = Path(__file__).resolve().parents[2]
 
 
-def test_migration(tmp_path):
-    for f in ("OMICS/His/Bld/05.H3K27ac.AllCell.bed", "OMICS/Xxx/Liv/05.A B.AllCell.bed", "DNA/chr1/0.txt"):
+def test_migration(spark, tmp_path):
+    bodies = {
+        "OMICS/His/Bld/05.H3K27ac.AllCell.bed": "signal/Histone/Blood/H3K27ac.bed", "OMICS/Xxx/Liv/05.A B.AllCell.bed": "signal/Xxx/Liv/A_B.bed", "OMICS/His/Bld/odd.txt": None,
+        "DNA/hg38.fa": "genome/hg38.fa", "Subtables/dna/chr1/0_4.txt": "dna/chr1/0_4.txt", "Subtables/dna/chr1/4_9.txt": "dna/chr1/4_9.txt", "Subtables/omics/Bld/chr1/0_4.pkl": "chunks/omics/Blood/chr1/0_4.pkl",
+        "SupportFiles/train_intervals_8192_ALL.pkl": "index/train_intervals_8192_ALL.pkl", "SupportFiles/train_intervals_x.pkl": None, "SupportFiles/omics_pairs.npz": "index/omics_pairs.npz", "SupportFiles/hg38_DNA_seq.pkl": "genome/hg38_DNA_seq.pkl",
+    }
+    for f in bodies:
         p = tmp_path / "old" / f
-        p.parent.mkdir(parents=True)
-        p.write_text("x")
-    args = (str(tmp_path / "old"), str(tmp_path / "new"), "hg38", "2024-06-01", {"His": "Histone"}, {"Bld": "Blood"})
-    moves = migrate.plan(*args)
-    assert [m[1].split("2024-06-01/")[1] for m in moves] == ["signal/Histone/Blood/H3K27ac.bed", "signal/Xxx/Liv/A_B.bed", "dna/chr1/0.txt"]
-    assert migrate.execute(moves) == 3 and Path(moves[0][0]).exists()
-    assert migrate.execute(moves, dry_run=False) == 3 and Path(moves[0][1]).exists() and not Path(moves[0][0]).exists()
+        p.parent.mkdir(parents=True, exist_ok=True)
+        p.write_text(f)
+    codes = spark.createDataFrame([("antigen", "Histone", "His"), ("tissue", "Blood", "Bld")], "kind string, name string, code string")
+    args = (spark, str(tmp_path / "old"), str(tmp_path / "new"), "hg38", "2024-06-01", codes)
+    moves = {r.old.split("/old/")[1]: r.new and r.new.split("2024-06-01/")[1] for r in migrate.plan(*args).collect()}
+    assert moves == bodies
+    made = migrate.migrate(*args)
+    assert {str(f.relative_to(tmp_path / "old")) for f in (tmp_path / "old").rglob("*") if f.is_file()} == {f for f, new in bodies.items() if new is None}
+    assert all((tmp_path / "new/hg38/2024-06-01" / new).read_text() == old for old, new in bodies.items() if new)
+    assert made.manifest["chrom_sizes"] == {"chr1": 9} and made.manifest["source_threshold"] == "05" and made.manifest["stages"]["migrate"]["moved"] == 9
     with pytest.raises(FileExistsError):
         migrate.plan(*args)
     (tmp_path / "old/OMICS/His/Bld/10.X.AllCell.bed").write_text("x")
     (tmp_path / "old/OMICS/His/Bld/05.Y.AllCell.bed").write_text("x")
     with pytest.raises(ValueError, match="thresholds"):
-        migrate.plan(args[0], str(tmp_path / "other"), *args[2:])
+        migrate.plan(*args[:2], str(tmp_path / "other"), *args[3:])
+    (tmp_path / "old/OMICS/His/Bld/10.X.AllCell.bed").rename(tmp_path / "old/OMICS/His/Bld/05.Y_.AllCell.bed")
+    (tmp_path / "old/OMICS/His/Bld/05.Y_.AllCell.bed").with_name("05.Y .AllCell.bed").write_text("y")
+    with pytest.raises(ValueError, match="share a name"):
+        migrate.plan(*args[:2], str(tmp_path / "other"), *args[3:])
+    shutil.copytree(tmp_path / "new/hg38/2024-06-01/dna", tmp_path / "two/old/Subtables/dna")
+    moves = migrate.plan(spark, str(tmp_path / "two/old"), str(tmp_path / "two/new"), "hg38", "r2", codes)
+    assert [migrate.execute(moves.persist()) for _ in (1, 2)] == [2, 2], "a task that runs again finds its files moved"
 
 
 def test_tracks_and_report_from_files(spark, tmp_path, capsys):
