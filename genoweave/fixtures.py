@@ -36,8 +36,10 @@ class Tables:
         return self.peaks().groupBy("chrom").agg((F.max("end") + 7000 * F.max(F.substring("chrom", 4, 1).cast("long"))).alias("len"))
 
     def n_intervals(self) -> DataFrame:
+        """Short stretches, and long ones in one window of four."""
         start = (F.col("s_suppkey") * 1543) % 60000
-        return self.read("supplier").select(F.concat(F.lit("chr"), (F.col("s_nationkey") % 7 + 1).cast("string")).alias("chrom"), start.alias("start"), (start + 100 + (F.col("s_suppkey") * 37) % 3000).alias("end"))
+        length = 100 + (F.col("s_suppkey") * 37) % 150 + F.when((start % 16384).between(8192, 12287), 2500).otherwise(0)
+        return self.read("supplier").select(F.concat(F.lit("chr"), (F.col("s_nationkey") % 7 + 1).cast("string")).alias("chrom"), start.alias("start"), (start + length).alias("end"))
 
     def blacklist(self) -> DataFrame:
         """All error events, in six stretches of each chromosome, so that windows between these stay."""
@@ -56,7 +58,8 @@ SQL = {
     "experiments": """SELECT 'SRX' || lpad(p_partkey::VARCHAR, 7, '0') AS srx, 'hg38' AS org, p_type AS ag_class, p_brand AS antigen,
         split_part(p_name, ' ', 2) AS ct_class, split_part(p_name, ' ', 1) AS celltype, p_partkey AS line_no FROM part WHERE p_size % 29 <> 0""",
     "sizes": "SELECT chrom, max(e) + 7000 * max(substring(chrom, 4, 1)::BIGINT) AS len FROM peaks GROUP BY chrom",
-    "n_intervals": "SELECT 'chr' || (s_nationkey % 7 + 1)::VARCHAR AS chrom, (s_suppkey * 1543) % 60000 AS s, (s_suppkey * 1543) % 60000 + 100 + (s_suppkey * 37) % 3000 AS e FROM supplier",
+    "n_intervals": """SELECT 'chr' || (s_nationkey % 7 + 1)::VARCHAR AS chrom, (s_suppkey * 1543) % 60000 AS s,
+        (s_suppkey * 1543) % 60000 + 100 + (s_suppkey * 37) % 150 + CASE WHEN (s_suppkey * 1543) % 60000 % 16384 BETWEEN 8192 AND 12287 THEN 2500 ELSE 0 END AS e FROM supplier""",
     "blacklist": "SELECT 'chr' || (user_id % 7 + 1)::VARCHAR AS chrom, event_id % 6 * 16384 + (event_id * 7919) % 3000 AS s, event_id % 6 * 16384 + (event_id * 7919) % 3000 + 40 AS e FROM events WHERE event_type = 'error'",
     "mapped": "SELECT p.*, x.ag_class, x.antigen, x.ct_class, x.celltype FROM peaks p JOIN experiments x USING (srx)",
 }

@@ -13,7 +13,7 @@ from genoweave.operators.intervals import clipped, explode_to_chunks, min_over
 
 def round_trip(peaks: DataFrame, runs: DataFrame, keys: Sequence[str], *, value: str = "score") -> DataFrame:
     """Peaks of each key, and those that the stored runs don't reach everywhere."""
-    spans = peaks.groupBy(*keys, "start", "end").agg(F.count("*").alias("_n"), F.max(value).alias("_v"))
+    spans = peaks.groupBy(*keys, "start", "end", F.col(value).alias("_v")).agg(F.count("*").alias("_n"))
     held = min_over(spans, runs, keys)
     return held.groupBy(*keys).agg(F.sum("_n").alias("peaks"), F.sum(F.when(F.col("least") < F.col("_v"), F.col("_n")).otherwise(0)).alias("lost"))
 
@@ -21,7 +21,7 @@ def round_trip(peaks: DataFrame, runs: DataFrame, keys: Sequence[str], *, value:
 def pan_dominance(runs: DataFrame, pan: DataFrame, by: Sequence[str]) -> DataFrame:
     """Runs of tissues, and those above the pan track at any of their positions."""
     keys = [*by, "chrom"]
-    spans = runs.groupBy(*keys, "start", "end").agg(F.count("*").alias("_n"), F.max("value").alias("_v"))
+    spans = runs.groupBy(*keys, "start", "end", F.col("value").alias("_v")).agg(F.count("*").alias("_n"))
     held = min_over(spans, pan, keys)
     return held.groupBy(*by).agg(F.sum("_n").alias("runs"), F.sum(F.when(F.col("least") < F.col("_v"), F.col("_n")).otherwise(0)).alias("above_pan"))
 

@@ -345,8 +345,8 @@ JACCARD = (
 )
 
 
-def _pairs(t: Tables) -> DataFrame:
-    p, ids = _profile(t)
+def _pairs(t: Tables, profile: tuple[DataFrame, DataFrame] | None = None) -> DataFrame:
+    p, ids = profile or _profile(t)
     weights = pairs.idf_weights(p, ids, t.mapped().select(F.col("srx").alias("track")).distinct())
     return pairs.similar_pairs(p, ids, weights, threshold=0.12, max_pairs=8, min_separation=20000)
 
@@ -364,8 +364,8 @@ def pairs_csr(t: Tables) -> DataFrame:
 @query("SELECT row_number() OVER (ORDER BY window_id) - 1 AS row, window_id, (sum(n) OVER (ORDER BY window_id) - n)::BIGINT AS begin, (sum(n) OVER (ORDER BY window_id))::BIGINT AS end FROM (SELECT window_id, count(src) AS n FROM ids LEFT JOIN (SELECT src FROM top WHERE rank <= 8) ON src = window_id WHERE split = 'train' GROUP BY window_id)", *MAPPED, *ALL_WINDOWS[1:], IDS, PROFILE, WEIGHTS, *JACCARD)
 def pairs_indptr(t: Tables) -> DataFrame:
     """Where each training window's neighbours lie in the compressed pair table, with none for windows without any."""
-    _, ids = _profile(t)
-    return pairs.csr(_pairs(t), ids.filter("split = 'train'"))[0]
+    profile = _profile(t)
+    return pairs.csr(_pairs(t, profile), profile[1].filter("split = 'train'"))[0]
 
 
 CHROM_RUNS = "chrom_runs := " + fx.max_runs_sql("mapped", "chrom")

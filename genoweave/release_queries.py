@@ -63,9 +63,9 @@ def pairs_without_generic(t: Tables) -> DataFrame:
 @query("SELECT src, dst, score, rank FROM top WHERE rank <= 8", *MAPPED, *ALL_WINDOWS[1:], IDS, PROFILE, WEIGHTS, *JACCARD)
 def pairs_csr_stored(t: Tables) -> DataFrame:
     """Neighbours as read from compressed rows."""
-    path, (_, ids) = scratch(t.spark, "csr"), _profile(t)
-    sinks.write_csr(_pairs(t), path, ids.filter("split = 'train'"))
-    return pairs.PairIndex.of_csr(t.spark.read.parquet(f"{path}/indptr"), t.spark.read.parquet(f"{path}/values"), ids).pairs
+    path, profile = scratch(t.spark, "csr"), _profile(t)
+    sinks.write_csr(_pairs(t, profile), path, profile[1].filter("split = 'train'"))
+    return pairs.PairIndex.of_csr(t.spark.read.parquet(f"{path}/indptr"), t.spark.read.parquet(f"{path}/values"), profile[1]).pairs
 
 
 def _signal(t: Tables) -> DataFrame:

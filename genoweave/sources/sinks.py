@@ -31,10 +31,11 @@ def write_group_beds(peaks: DataFrame, path: str, keys: Sequence[str] = GROUP_KE
 def write_tracks(runs: DataFrame, path: str, keys: Sequence[str] = GROUP_KEYS, text: str | None = None) -> None:
     """Runs as Parquet by group, sorted by chromosome and start, in files as ``write_group_beds`` makes them; as bedGraph text too if a
     folder is given."""
-    df = runs.repartitionByRange(*keys, "chrom", "start").sortWithinPartitions(*keys, "chrom", "start")
-    df.write.mode("overwrite").partitionBy(*keys).option("compression", "zstd").parquet(path)
-    if text:
-        df.select(*keys, "chrom", "start", "end", "value").write.mode("overwrite").partitionBy(*keys).option("sep", "\t").csv(text)
+    ordered = lambda df: df.repartitionByRange(*keys, "chrom", "start").sortWithinPartitions(*keys, "chrom", "start")
+    ordered(runs).write.mode("overwrite").partitionBy(*keys).option("compression", "zstd").parquet(path)
+    if text:  # from what is stored, so that runs are computed once
+        stored = runs.sparkSession.read.schema(runs.schema).parquet(path)
+        ordered(stored).select(*keys, "chrom", "start", "end", "value").write.mode("overwrite").partitionBy(*keys).option("sep", "\t").csv(text)
 
 
 def write_signal_tree(runs: DataFrame, path: str) -> None:
