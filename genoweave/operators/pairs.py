@@ -60,22 +60,20 @@ def similar_pairs(
     """
     train = ids.filter("split = 'train'").select("window_id", "chrom", "start")
     held = profile.join(train, "window_id").join(weights.select("track", "weight"), "track")
-    by_weight = F.array_sort(F.collect_list(F.struct((-F.col("weight")).alias("w"), "track")))
-    sets = held.groupBy("window_id", "chrom", "start").agg(F.count("*").alias("_n"), F.sum("weight").alias("size"), by_weight.alias("t"))
-    sets = sets.filter((F.col("_n") >= min_tracks) & (F.col("size") > 0)).withColumn("t", F.filter("t", lambda x: x["w"] < 0))
-    # what weighs from here on; a hair less than the threshold, for sums that differ in the last bit
-    rest = F.transform("t", lambda x, i: F.aggregate(F.slice("t", i + 1, F.size("t")), F.lit(0.0), lambda s, y: s - y["w"]))
-    prefix = F.filter(F.transform(F.arrays_zip(F.col("t.track").alias("track"), rest.alias("rest")), lambda x: F.when(x["rest"] >= F.col("size") * threshold * (1 - 1e-9), x["track"])), lambda x: x.isNotNull())
-    keys = sets.select("window_id", "chrom", "start", "size", F.explode(prefix).alias("track"))
+    per = Window.partitionBy("window_id")
+    ahead = F.coalesce(F.sum("weight").over(per.orderBy(F.desc("weight"), "track").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0.0))
+    held = held.withColumns({"_n": F.count("*").over(per), "size": F.sum("weight").over(per), "_ahead": ahead})
+    held = held.filter((F.col("_n") >= min_tracks) & (F.col("size") > 0) & (F.col("weight") > 0))
+    # what weighs from here on reaches the threshold; a hair less, for sums that differ in the last bit
+    keys = held.filter(F.col("size") - F.col("_ahead") >= F.col("size") * threshold * (1 - 1e-9)).select("window_id", "chrom", "start", "size", "track")
     side = lambda df, x: df.select(*[F.col(c).alias(f"{x}_{c}" if c != "track" else c) for c in df.columns])
     apart = (F.col("a_chrom") != F.col("b_chrom")) | (F.abs(F.col("a_start") - F.col("b_start")) > min_separation)
     near_size = (F.col("a_size") >= F.col("b_size") * threshold * (1 - 1e-9)) & (F.col("b_size") >= F.col("a_size") * threshold * (1 - 1e-9))
     met = side(keys, "a").join(side(keys, "b"), "track").filter((F.col("a_window_id") < F.col("b_window_id")) & apart & near_size)
     met = met.select(F.col("a_window_id").alias("a"), F.col("b_window_id").alias("b")).distinct()
-    full = sets.select("window_id", "size", "t")
-    both = met.join(full.select(F.col("window_id").alias("a"), F.col("size").alias("sa"), F.col("t").alias("ta")), "a").join(full.select(F.col("window_id").alias("b"), F.col("size").alias("sb"), F.col("t").alias("tb")), "b")
-    inter = F.aggregate(F.array_intersect("ta", "tb"), F.lit(0.0), lambda s, x: s - x["w"])
-    scored = both.withColumn("i", inter).select("a", "b", F.round(F.col("i") / (F.col("sa") + F.col("sb") - F.col("i")), 6).alias("score")).filter(F.col("score") >= threshold)
+    one = met.join(held.select(F.col("window_id").alias("a"), F.col("size").alias("sa"), "track", "weight"), "a")
+    both = one.join(held.select(F.col("window_id").alias("b"), F.col("size").alias("sb"), "track"), ["b", "track"]).groupBy("a", "b", "sa", "sb").agg(F.sum("weight").alias("i"))
+    scored = both.select("a", "b", F.round(F.col("i") / (F.col("sa") + F.col("sb") - F.col("i")), 6).alias("score")).filter(F.col("score") >= threshold)
     each = scored.select(F.col("a").alias("src"), F.col("b").alias("dst"), "score").union(scored.select("b", "a", "score"))
     per = Window.partitionBy("src")
     tie = F.md5(F.concat(F.lit(f"{seed}:"), F.col("src").cast("string"), F.lit(":"), F.col("dst").cast("string")))

@@ -64,7 +64,7 @@ def pairs_without_generic(t: Tables) -> DataFrame:
 def pairs_csr_stored(t: Tables) -> DataFrame:
     """Neighbours as read from compressed rows."""
     path, profile = scratch(t.spark, "csr"), _profile(t)
-    sinks.write_csr(_pairs(t, profile), path, profile[1].filter("split = 'train'"))
+    sinks.write_csr(checkpointed(_pairs(t, profile)), path, profile[1].filter("split = 'train'"))
     return pairs.PairIndex.of_csr(t.spark.read.parquet(f"{path}/indptr"), t.spark.read.parquet(f"{path}/values"), profile[1]).pairs
 
 
