@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from genoweave.functions.names import log_weight
-from genoweave.operators.intervals import merge_runs, tiles
+from genoweave.operators.intervals import tiles
 
 MIN_P, MIN_TRACKS, THRESHOLD, MAX_PAIRS, DISQUALIFY, SEPARATION, SEED = 1e-4, 2, 0.5, 64, 4096, 1_000_000, 0
 
@@ -31,11 +31,11 @@ def window_ids(windows: DataFrame) -> DataFrame:
 def profiles(ids: DataFrame, runs: DataFrame, *, track: str = "feature", tile: int = 8192) -> DataFrame:
     """Distinct (window_id, track) where a run of any tissue overlaps the window, whichever windows were kept.
 
-    A track's runs of all tissues are joined to one union first, so a place that many of them cover is met once.
+    Runs meet the windows of their tile where they lie; each task drops its repeats, so a track that many tissues have at a place
+    leaves it once, and pairs alone are dealt.
     """
     left = tiles(ids, tile).select("window_id", "chrom", "tile", F.col("start").alias("_s"), F.col("end").alias("_e"))
-    union = merge_runs(runs.select("chrom", "start", "end", F.col(track).alias("track")), ["chrom", "track"])
-    right = tiles(union, tile).select("chrom", "tile", "track", F.col("start").alias("_rs"), F.col("end").alias("_re"))
+    right = tiles(runs.select("chrom", "start", "end", F.col(track).alias("track")), tile).select("chrom", "tile", "track", F.col("start").alias("_rs"), F.col("end").alias("_re"))
     return left.join(right, ["chrom", "tile"]).filter("_re > _s AND _rs < _e").select("window_id", "track").distinct()
 
 
