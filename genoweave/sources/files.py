@@ -1,8 +1,8 @@
 """Files whose names and inner shape matter: written by tasks from sorted streams, put in place by one commit.
 
-Both formats are Python data sources. A task gets its partition's rows as Arrow batches, in order, and writes below
-``_temporary``; the driver gets the names alone and, once all tasks are done, moves the files into place and removes what
-was there. Files of tasks that failed or ran twice are never moved. Paths may be any that pyarrow's file systems
+Both formats are Python data sources. A task gets its partition's rows as Arrow batches, in order, and writes into a folder of its own
+below ``_temporary``, under the names that the files will have; the driver gets that folder's path alone and, once all tasks are done,
+removes what was there and moves what lies in the folders into place. Files of tasks that failed or ran twice are never moved. Paths may be any that pyarrow's file systems
 open (local or shared folders, HDFS, object stores); all executors must see them.
 
 * ``genoweave_chunks``: signal by tissue, chromosome and chunk as Parquet, one row group for each chunk, and the list of chunks
@@ -13,9 +13,11 @@ open (local or shared folders, HDFS, object stores); all executors must see them
 from __future__ import annotations
 
 import json
+import os
 import uuid
 from collections.abc import Iterator
 from dataclasses import dataclass
+from fnmatch import fnmatchcase
 from urllib.parse import quote, unquote
 
 import pyarrow as pa
@@ -42,9 +44,9 @@ def filesystem(path: str) -> tuple[pa.fs.FileSystem, str]:
 
 @dataclass
 class Written(WriterCommitMessage):
-    """(temporary path, path below the table, rows) of a task's files."""
+    """The folder in which a task's files have their names below the table. The names aren't sent: there may be millions."""
 
-    files: list[tuple[str, str, int]]
+    folder: str
 
 
 class CommittedWriter(DataSourceArrowWriter):
@@ -66,13 +68,9 @@ class CommittedWriter(DataSourceArrowWriter):
             for x in fs.get_file_info(pa.fs.FileSelector(root)):
                 if x.base_name != "_temporary":
                     fs.delete_dir(x.path) if x.type == pa.fs.FileType.Directory else fs.delete_file(x.path)
-        made = set()
-        for part, name, _ in (f for m in messages if m is not None for f in m.files):
-            folder = f"{root}/{name}".rpartition("/")[0]
-            if folder not in made:
-                fs.create_dir(folder, recursive=True)
-                made.add(folder)
-            fs.move(part, f"{root}/{name}")
+        for m in messages:
+            if m is not None:
+                _merge(fs, m.folder, root)
         self._clean(fs, root)
 
     def abort(self, messages: list[WriterCommitMessage | None]) -> None:
@@ -86,25 +84,33 @@ class CommittedWriter(DataSourceArrowWriter):
                 fs.delete_dir(f"{root}/_temporary")
 
 
+def _merge(fs: pa.fs.FileSystem, source: str, target: str) -> None:
+    """Moves what lies in a folder into another; a folder that the other lacks in one piece, where the file system can."""
+    for x in fs.get_file_info(pa.fs.FileSelector(source)):
+        to = f"{target}/{x.base_name}"
+        if x.type == pa.fs.FileType.Directory and (fs.type_name not in ("local", "hdfs") or fs.get_file_info(to).type == pa.fs.FileType.Directory):
+            fs.create_dir(to, recursive=True)
+            _merge(fs, x.path, to)
+        else:
+            fs.move(x.path, to)
+
+
 class ChunkWriter(CommittedWriter):
     """Rows (tissue, chrom, chunk, ...) sorted by these. A row without ``Start`` holds its chromosome's place: a file is
     made, if need be one without rows, so that "no signal" and "not written" differ."""
 
     def write(self, iterator: Iterator[pa.RecordBatch]) -> Written:
         fs, folder = self._task_folder()
-        files: list[tuple[str, str, int]] = []
         writer = sink = where = None
         chunks: list[int] = []
         held: list[pa.RecordBatch] = []
-        rows = 0
+        part = f"{folder}/_part"
 
         def flush() -> None:
-            nonlocal rows
             if held:
                 table = pa.Table.from_batches(held).drop_columns(["tissue", "chrom"])
                 chunks.append(table.column("chunk")[0].as_py())
                 writer.write_table(table.cast(writer.schema), row_group_size=len(table))
-                rows += len(table)
                 held.clear()
 
         def close() -> None:
@@ -115,15 +121,15 @@ class ChunkWriter(CommittedWriter):
                 sink.close()
                 tissue, chrom = (NO_VALUE if x is None else quote(x, safe=" ,;()&@!$'-._~+") for x in where)
                 span = f"{chunks[0]:08d}-{chunks[-1]:08d}" if chunks else "none"
-                files.append((part, f"tissue={tissue}/chrom={chrom}/chunks-{span}-{uuid.uuid4().hex[:12]}.parquet", rows))
+                fs.create_dir(f"{folder}/tissue={tissue}/chrom={chrom}", recursive=True)
+                fs.move(part, f"{folder}/tissue={tissue}/chrom={chrom}/chunks-{span}-{uuid.uuid4().hex[:12]}.parquet")
 
         for goes_on, b, i, j in _segments(iterator, 3):
             if not goes_on:
                 key = (b.column(0)[i].as_py(), b.column(1)[i].as_py())
                 if key != where:
                     close()
-                    where, chunks, rows = key, [], 0
-                    part = f"{folder}/{len(files)}.parquet"
+                    where, chunks = key, []
                     sink = fs.open_output_stream(part)
                     schema = pa.schema([pa.field(f.name, f.type) for f in b.schema if f.name not in ("tissue", "chrom")])
                     writer = pq.ParquetWriter(sink, schema, compression="zstd")
@@ -133,7 +139,7 @@ class ChunkWriter(CommittedWriter):
             if len(piece):
                 held.append(piece)
         close()
-        return Written(files)
+        return Written(folder)
 
 
 class TextWriter(CommittedWriter):
@@ -145,8 +151,7 @@ class TextWriter(CommittedWriter):
 
     def write(self, iterator: Iterator[pa.RecordBatch]) -> Written:
         fs, folder = self._task_folder()
-        files: list[tuple[str, str, int]] = []
-        sink = None
+        sink = inside = None
         for goes_on, b, i, j in _segments(iterator, 1):
             name = b.column(0)[i].as_py()
             if not goes_on:
@@ -154,12 +159,15 @@ class TextWriter(CommittedWriter):
                     sink.close()
                 if name.startswith("/") or ".." in name.split("/"):
                     raise ValueError(f"not a name below the table: {name}")
-                files.append((f"{folder}/{len(files)}", name, 0))
-                sink = fs.open_output_stream(files[-1][0], compression=None)
+                target = f"{folder}/{name}"
+                if (parent := target.rpartition("/")[0]) != inside:
+                    fs.create_dir(parent, recursive=True)
+                    inside = parent
+                sink = fs.open_output_stream(target, compression=None)
             sink.write("".join(f"{x}{self.ending}" for x in b.column(1).slice(i, j - i).to_pylist() if x is not None).encode())
         if sink is not None:
             sink.close()
-        return Written(files)
+        return Written(folder)
 
 
 class ChunkFiles(DataSource):
@@ -199,6 +207,59 @@ def listing(spark: SparkSession, path: str, pattern: str = "*") -> DataFrame:
     return spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", pattern).load(path).select("path", "length")
 
 
+def tree(spark: SparkSession, path: str, pattern: str = "*", *, read: bool = False) -> DataFrame:
+    """(path) of all files below a folder whose names fit a pattern, or (path, value) with their whole text, for trees of very many files.
+
+    Tasks list and read: one the folder itself, the others what lies below the folders in it. The driver gets no names, as it does
+    where Spark lists files. Names that begin with ``_`` or ``.`` don't count.
+    """
+
+    def top(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for _ in batches:
+            yield from _batches(_inside(*filesystem(path)), ["path", "folder"])
+
+    def below(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        fs = filesystem(path)[0]
+        found = (x for b in batches for name, folder in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True) for x in (_walk(fs, name) if folder else [name]))
+        fit = (x for x in found if fnmatchcase(x.rpartition("/")[2], pattern))
+        yield from _batches(((x, _text(fs, x)) for x in fit) if read else ((x,) for x in fit), ["path", "value"][: 1 + read])
+
+    names = spark.range(0, 1, 1, 1).mapInArrow(top, "path string, folder boolean").repartition("path")
+    return names.mapInArrow(below, "path string, value string" if read else "path string")
+
+
+def _inside(fs: pa.fs.FileSystem, folder: str) -> Iterator[tuple[str, bool]]:
+    """(path, is a folder) of what lies in a folder; of a local one entry by entry, however many there are."""
+    if fs.type_name == "local":
+        with os.scandir(folder) as entries:
+            yield from ((x.path, x.is_dir()) for x in entries if x.name[0] not in "_.")
+    else:
+        yield from ((x.path, x.type == pa.fs.FileType.Directory) for x in fs.get_file_info(pa.fs.FileSelector(folder)) if x.base_name[0] not in "_.")
+
+
+def _walk(fs: pa.fs.FileSystem, folder: str) -> Iterator[str]:
+    for name, is_folder in _inside(fs, folder):
+        yield from _walk(fs, name) if is_folder else [name]
+
+
+def _text(fs: pa.fs.FileSystem, file: str) -> str:
+    with fs.open_input_stream(file, compression=None) as f:
+        return f.read().decode(errors="replace")
+
+
+def _batches(rows: Iterator[tuple], names: list[str], most: int = 1 << 22) -> Iterator[pa.RecordBatch]:
+    """Rows whose last column may hold long text, in batches of some megabytes."""
+    held, size = [], 0
+    for row in rows:
+        held.append(row)
+        size += 100 + (len(row[-1]) if isinstance(row[-1], str) else 0)
+        if size > most:
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*held, strict=True)], names=names)
+            held, size = [], 0
+    if held:
+        yield pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*held, strict=True)], names=names)
+
+
 FOOTER = "tissue string, chrom string, file string, listed array<long>, groups array<struct<rows: long, first_chunk: long, last_chunk: long, least_start: long, most_end: long>>"
 
 

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from genoweave.operators.intervals import _segments, merge_runs
 from genoweave.operators.omics import SCHEMA
-from genoweave.sources.files import listing
+from genoweave.sources.files import listing, tree
 
 #: The first six fields of an experiment, a peak's, a track's.
 EXPERIMENT, PEAK, TRACK = ("srx", "org", "ag_class", "antigen", "ct_class", "celltype"), "chrom string, start long, end long, srx string, score int", "chrom string, start long, end long, value int"
@@ -183,18 +183,20 @@ def chrom_sizes(sequences: DataFrame) -> DataFrame:
     return sequences.select("chrom", F.length("seq").cast("long").alias("len"))
 
 
+#: Chromosome, start and end in the name of a file of sequence.
+_CHUNK_NAME = r"([^/]+)/(\d+)_(\d+)\.txt$"
+
+
 def sizes_from_names(spark: SparkSession, path: str) -> DataFrame:
     """(chrom, len) of a tree of sequence chunks ``chrom/start_end.txt``: the largest end. Names alone are read, no file's body."""
-    part = lambda i: F.regexp_extract("path", r"([^/]+)/(\d+)_(\d+)\.txt$", i)
-    named = listing(spark, path, "*_*.txt").filter(F.col("path").rlike(r"[^/]+/\d+_\d+\.txt$"))
-    return named.groupBy(part(1).alias("chrom")).agg(F.max(part(3).cast("long")).alias("len"))
+    part = lambda i: F.regexp_extract("path", _CHUNK_NAME, i)
+    return tree(spark, path, "*_*.txt").filter(F.col("path").rlike(_CHUNK_NAME)).groupBy(part(1).alias("chrom")).agg(F.max(part(3).cast("long")).alias("len"))
 
 
 def read_dna_tree(spark: SparkSession, path: str) -> DataFrame:
     """(chrom, start, end, dna) of a tree ``chrom/start_end.txt``, a row for each file; they need not tile a chromosome."""
-    df = spark.read.option("wholetext", True).option("recursiveFileLookup", True).option("pathGlobFilter", "*_*.txt").text(path)
-    part = lambda i: F.regexp_extract("_metadata.file_path", r"([^/]+)/(\d+)_(\d+)\.txt$", i)
-    return df.select(F.url_decode(part(1)).alias("chrom"), part(2).cast("long").alias("start"), part(3).cast("long").alias("end"), F.upper(F.regexp_replace("value", r"\s", "")).alias("dna"))
+    part = lambda i: F.regexp_extract("path", _CHUNK_NAME, i)
+    return tree(spark, path, "*_*.txt", read=True).select(part(1).alias("chrom"), part(2).cast("long").alias("start"), part(3).cast("long").alias("end"), F.upper(F.regexp_replace("value", r"\s", "")).alias("dna"))
 
 
 def signal_catalog(spark: SparkSession, path: str, suffix: str = "bedgraph") -> DataFrame:

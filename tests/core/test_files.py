@@ -94,3 +94,31 @@ def test_text_files(spark, tmp_path):
     with pytest.raises(Exception, match="not a name below"):
         files.write_text(spark.createDataFrame([("../x", "y")], "file string, value string"), str(tmp_path / "dna"))
     assert {r.path.rpartition("/")[2] for r in files.listing(spark, str(tmp_path / "dna"), "*_*.txt").collect()} == {"0_4.txt", "4_6.txt", "0_1.txt"}
+
+
+def test_the_driver_gets_no_names(spark, tmp_path):
+    """A task's message is as long for many files as for one; files of a folder may come from several tasks; tasks list and read."""
+    import pickle
+
+    import pyarrow as pa
+
+    def message(n: int) -> bytes:
+        writer = files.TextWriter(str(tmp_path / "one"), True, "")
+        batch = pa.RecordBatch.from_pydict({"file": [f"c{i}/0_4.txt" for i in range(n)], "value": ["ACGT"] * n})
+        return pickle.dumps(writer.write(iter([batch])))
+
+    assert len(message(1)) == len(message(500))
+    rows = [(f"chr {k}%/{i}_{i + 1}.txt", f"{k}ñ{i}") for k in range(40) for i in range(20)]
+    path = str(tmp_path / "dna")
+    with_parts = spark.createDataFrame(rows, "file string, value string").repartition(5)
+    for _ in range(2):  # a write replaces what was there
+        files.write_text(with_parts, path, ending="")
+        (tmp_path / "dna/stray.txt").write_text("x")
+        (tmp_path / "dna/_hidden").mkdir(exist_ok=True)
+        (tmp_path / "dna/_hidden/1_2.txt").write_text("x")
+        found = files.tree(spark, path, "*_*.txt", read=True)
+        assert sorted((r.path.removeprefix(f"{path}/"), r.value) for r in found.collect()) == sorted(rows)
+    assert {r.path for r in files.tree(spark, f"file://{path}", "*_*.txt").collect()} == {f"{path}/{name}" for name, _ in rows}
+    assert files.tree(spark, path, "*.bed").isEmpty()
+    plan = readers.sizes_from_names(spark, path)._jdf.queryExecution().executedPlan().toString()
+    assert "FileScan" not in plan and "MapInArrow" in plan
