@@ -515,10 +515,10 @@ def signal_files(t: Tables) -> DataFrame:
 
 @query("SELECT chrom, count(*) FILTER (s < ahead) AS out_of_order, count(*) AS rows FROM (SELECT chrom, s, lag(s) OVER (PARTITION BY chrom ORDER BY srx, s, e, score) AS ahead FROM peaks) GROUP BY chrom", "peaks")
 def stored_order(t: Tables) -> DataFrame:
-    """Files in the order of accessions, one a chromosome, audited as they lie on disk."""
+    """Files in the order of accessions, a chromosome's one after the other, audited as they lie on disk."""
     path, p = scratch(t.spark, "beds"), t.peaks()
-    p.withColumn("k", F.col("chrom")).repartition("chrom").sortWithinPartitions("k", "srx", "start", "end", "score").write.partitionBy("k").option("sep", "\t").csv(path)
-    found = readers.stored_order(t.spark.read.schema(readers.PEAK).option("sep", "\t").csv(path))
+    p.withColumn("k", F.col("chrom")).repartitionByRange("k", "srx", "start", "end", "score").sortWithinPartitions("k", "srx", "start", "end", "score").write.partitionBy("k").option("sep", "\t").csv(path)
+    found = readers.stored_order(t.spark.read.schema(readers.PEAK).option("sep", "\t").csv(path), folders=True)
     return found.groupBy(F.regexp_extract("path", "k=([^/]+)", 1).alias("chrom")).agg(F.sum("out_of_order").alias("out_of_order"), F.sum("rows").alias("rows"))
 
 

@@ -205,9 +205,12 @@ def signal_catalog(spark: SparkSession, path: str, suffix: str = "bedgraph") ->
     return listing(spark, path, f"*.{suffix}").select(part(1).alias("ag_class"), part(2).alias("tissue"), part(3).alias("stem"), "path")
 
 
-def stored_order(rows: DataFrame, *, key: str = "chrom", start: str = "start") -> DataFrame:
+def stored_order(rows: DataFrame, *, key: str = "chrom", start: str = "start", folders: bool = False) -> DataFrame:
     """(path, rows, out_of_order) of a scan of files: rows in each file, and those that start before the row ahead of them in the
-    file while the key is the same. One pass in stored order; splits of a file are stitched by their edges."""
+    file while the key is the same. One pass in stored order; splits of a file are stitched by their edges.
+
+    With ``folders`` a path is a folder, whose files go on from one another in the order of their names, as writers of ranges make them.
+    """
 
     def audit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         done, last = [], None
@@ -228,7 +231,8 @@ def stored_order(rows: DataFrame, *, key: str = "chrom", start: str = "start") -
 
     scan = rows.select(F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("split"), F.col(key).cast("string"), F.col(start).cast("long")).na.drop()
     edges = scan.mapInArrow(audit, "path string, split long, rows long, late long, k0 string, s0 long, k1 string, s1 long")
-    order = Window.partitionBy("path").orderBy("split")  # a row for each split of a file
+    edges = edges.withColumns({"file": F.col("path"), "path": F.regexp_replace("path", "/[^/]*$", "") if folders else F.col("path")})
+    order = Window.partitionBy("path").orderBy("file", "split")  # a row for each split of a file
     seam = (F.lag("k1").over(order) == F.col("k0")) & (F.col("s0") < F.lag("s1").over(order))
     return edges.withColumn("late", F.col("late") + F.coalesce(seam.cast("long"), F.lit(0))).groupBy("path").agg(F.sum("rows").alias("rows"), F.sum("late").alias("out_of_order"))
 

@@ -85,7 +85,7 @@ def test_fasta_by_lines(spark, tmp_path, size):
 def test_order_of_stored_files(spark, tmp_path):
     rng = random.Random(2)
     (tmp_path / "beds").mkdir()
-    expected = {}
+    expected, stored = {}, []
     for name in ("a", "b", "c"):
         rows = [(f"chr{k}", s) for k in (1, 2) for s in sorted(rng.randrange(10**6) for _ in range(900))]
         if name != "a":
@@ -94,11 +94,15 @@ def test_order_of_stored_files(spark, tmp_path):
                 rows[i], rows[j] = rows[j], rows[i]
         late = sum(x[0] == y[0] and y[1] < x[1] for x, y in zip(rows, rows[1:], strict=False))
         expected[f"{name}.bed"] = (len(rows), late)
+        stored.append(rows)
         (tmp_path / f"beds/{name}.bed").write_text("".join(f"{c}\t{s}\t{s + 9}\tSRX1\t5\n" for c, s in rows))
     for size in (700, 1 << 27):
         with small_splits(spark, size), conf(spark, spark__sql__execution__arrow__maxRecordsPerBatch="13"):
             found = readers.stored_order(spark.read.schema(readers.PEAK).option("sep", "\t").csv(str(tmp_path / "beds")))
             assert {r.path.rpartition("/")[2]: (r.rows, r.out_of_order) for r in found.collect()} == expected
+            whole = readers.stored_order(spark.read.schema(readers.PEAK).option("sep", "\t").csv(str(tmp_path / "beds")), folders=True)
+            seams = sum(a[-1][0] == b[0][0] and b[0][1] < a[-1][1] for a, b in zip(stored, stored[1:], strict=False))
+            assert [(r.path.rpartition("/")[2], r.rows, r.out_of_order) for r in whole.collect()] == [("beds", sum(n for n, _ in expected.values()), seams + sum(n for _, n in expected.values()))]
 
 
 def test_a_large_group_is_written_by_several_tasks(spark, tmp_path):
