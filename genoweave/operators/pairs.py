@@ -32,7 +32,8 @@ def profiles(ids: DataFrame, runs: DataFrame, *, track: str = "feature", tile: i
     """Distinct (window_id, track) where a run of any tissue overlaps the window, whichever windows were kept.
 
     Runs meet the windows of their tile where they lie; each task drops its repeats, so a track that many tissues have at a place
-    leaves it once, and pairs alone are dealt.
+    leaves it once, and pairs alone are dealt. ``ids`` should be a stored table: where Spark knows that windows are few, it deals no
+    run by tile, and few tiles would be few tasks.
     """
     left = tiles(ids, tile).select("window_id", "chrom", "tile", F.col("start").alias("_s"), F.col("end").alias("_e"))
     right = tiles(runs.select("chrom", "start", "end", F.col(track).alias("track")), tile).select("chrom", "tile", "track", F.col("start").alias("_rs"), F.col("end").alias("_re"))

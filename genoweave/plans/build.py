@@ -11,6 +11,7 @@ from genoweave.functions.names import is_primary, slugify
 from genoweave.operators import intervals, omics, pairs, peaks, vocab, windows
 from genoweave.plans import verify
 from genoweave.plans.release import Release, adopt
+from genoweave.session import stored
 from genoweave.sources import files, readers, sinks
 
 
@@ -114,7 +115,7 @@ def build_release(
     release.record("chunks", dna_adopted=adopted, dna_cut=grid.count() - adopted)
 
     size = pair_window or sizes[0]
-    ids = pairs.window_ids(release.windows(size))
+    ids = stored(pairs.window_ids(release.windows(size)), "window-ids")
     profile = pairs.profiles(ids, signal.filter(F.col("tissue") != vocab.PAN))
     weights = pairs.idf_weights(profile, ids, names.select(F.col("name").alias("track")))
     sinks.write_pairs(pairs.similar_pairs(profile, ids, weights, **(pair_options or {})), weights, release.path("pairs"))

@@ -13,7 +13,7 @@ from genoweave.functions import names
 from genoweave.operators import intervals as iv
 from genoweave.operators import omics, pairs, peaks, vocab, windows
 from genoweave.plans import build, verify
-from genoweave.session import checkpointed, scratch
+from genoweave.session import checkpointed, scratch, stored
 from genoweave.sources import files, readers, sinks
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -77,7 +77,7 @@ def _omics(t: Tables) -> DataFrame:
 
 
 def _profile(t: Tables) -> tuple[DataFrame, DataFrame]:
-    ids = checkpointed(pairs.window_ids(_labelled(t)))  # a release stores both
+    ids = stored(pairs.window_ids(_labelled(t)), "window-ids")  # a release stores both
     return checkpointed(pairs.profiles(ids, t.mapped(), track="srx")), ids
 
 

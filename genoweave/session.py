@@ -80,3 +80,13 @@ def own_dir(spark: SparkSession) -> str:
 def scratch(spark: SparkSession, name: str) -> str:
     """A new path in the application's folder, for tables that are written and read back."""
     return f"{own_dir(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """The rows, written to the application's folder and read back.
+
+    Spark plans with their true size; what is checkpointed keeps the size that was guessed for it, a product of all tables joined.
+    """
+    path = scratch(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -9,6 +9,8 @@ import duckdb
 import pytest
 
 from genoweave import queries
+from genoweave.fixtures import Tables
+from genoweave.operators import pairs
 
 SF = "/root/testdata/sf0.001"
 
@@ -45,3 +47,10 @@ def test_queries_without_sql(spark):
     texts = {r.doc_id: r.text for r in spark.read.parquet(f"{SF}/documents.parquet").collect()}
     assert all(r.slug == slug_text(texts[r.doc_id]) for r in rows) and len(rows) == len(texts)
     assert set(queries.QUERIES) - set(queries.ORACLE_SQL) == {"slug_nfkd"}
+
+
+def test_runs_meet_stored_windows_where_they_lie(spark):
+    """Windows have their true size in the plan, so no run is dealt and sorted by the few tiles; pairs alone are."""
+    t = Tables(spark, SF)
+    plan = pairs.profiles(queries._profile(t)[1], t.mapped(), track="srx")._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" not in plan and plan.count("Exchange hashpartitioning") == 1
