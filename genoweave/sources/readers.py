@@ -129,11 +129,11 @@ def read_runs(spark: SparkSession, path: str, chroms: Sequence[str] | None = Non
 
 def _numbered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Lines (path, split, value) of FASTA files in order, as (path, split, record, name, start, seq): which record of the split a
-    line belongs to (0: one that began before), a header's name, and how much of the record the split holds ahead of it."""
-    record = ahead = 0
+    line belongs to (0: one that began before), the record's name (null for that one), and how much of it the split holds ahead."""
+    record, ahead, called = 0, 0, None
     for goes_on, b, i, j in _segments(batches, 2):
         if not goes_on:
-            record = ahead = 0
+            record, ahead, called = 0, 0, None
         value = b.column(2).slice(i, j - i)
         header = pc.starts_with(value, ">").to_numpy(zero_copy_only=False)
         seq = pc.if_else(pa.array(header), "", pc.replace_substring_regex(value, r"[\s\x0b]+", ""))
@@ -142,9 +142,10 @@ def _numbered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         # what lies ahead of a record's first line is taken off, for the record that began before this batch nothing is
         first = np.concatenate(([0], after[header]))
         start = np.concatenate(([ahead], after[:-1])) - first[of - record]
-        name = [(text[1:].split() or [""])[0] if h else None for text, h in zip(value.to_pylist(), header, strict=True)] if header.any() else [None] * len(value)
-        yield pa.RecordBatch.from_arrays([b.column(0).slice(i, j - i), b.column(1).slice(i, j - i), pa.array(of, pa.int64()), pa.array(name, pa.string()), pa.array(start, pa.int64()), seq], schema=_NUMBERED)
-        record, ahead = int(of[-1]), int(after[-1] - first[-1])
+        names = pa.array([called, *[(text[1:].split() or [""])[0] for text in value.filter(pa.array(header)).to_pylist()]], pa.string())
+        name = names.take(pa.array(of - record))
+        yield pa.RecordBatch.from_arrays([b.column(0).slice(i, j - i), b.column(1).slice(i, j - i), pa.array(of, pa.int64()), name, pa.array(start, pa.int64()), seq], schema=_NUMBERED)
+        record, ahead, called = int(of[-1]), int(after[-1] - first[-1]), names[-1].as_py()
 
 
 _NUMBERED = pa.schema([("path", pa.string()), ("split", pa.int64()), ("record", pa.int64()), ("name", pa.string()), ("start", pa.int64()), ("seq", pa.string())])
@@ -155,25 +156,31 @@ class Fasta:
     record; ``records`` are (chrom, len), one for each header, also without a line. A record's name is its header's first word;
     a name that heads two records is an error, and lines ahead of a file's first header don't count.
 
-    Lines are counted within their split of a file; prefix sums over splits, a row for each split and record, make
-    places in records of them.
+    Lines are counted within their split of a file, and most records lie in one. Only what a split holds of a record that began
+    before it needs a name and a place from other splits; these are prefix sums of a row for each split, which all tasks get. So lines
+    stay where and in the order in which they are read.
     """
 
     def __init__(self, spark: SparkSession, path: str):
         lines = spark.read.text(path).select(F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("split"), "value")
         local = lines.mapInArrow(_numbered, "path string, split long, record long, name string, start long, seq string")
-        keys = ["path", "split", "record"]
-        parts = local.groupBy(*keys).agg(F.max("name").alias("name"), F.sum(F.length("seq")).cast("long").alias("len"))
-        order = Window.partitionBy("path").orderBy("split", "record").rowsBetween(Window.unboundedPreceding, 0)
-        parts = parts.withColumns({"chrom": F.last("name", ignorenulls=True).over(order), "nth": F.count("name").over(order)})
-        ahead = F.sum("len").over(Window.partitionBy("path", "nth").orderBy("split", "record").rowsBetween(Window.unboundedPreceding, 0)) - F.col("len")
-        parts = parts.withColumn("ahead", ahead)
-        found = local.filter("seq <> ''").join(parts.select(*keys, "chrom", "ahead"), keys, "left")
+        parts = local.groupBy("path", "split", "record").agg(F.max("name").alias("name"), F.sum(F.length("seq")).cast("long").alias("len"))
+        # of each split the record that goes on after it, and what the split holds of that
+        ends = parts.groupBy("path", "split").agg(F.max_by(F.struct("record", "name", "len"), "record").alias("r")).select("path", "split", "r.*")
+        order = Window.partitionBy("path").orderBy("split")
+        ends = ends.withColumn("nth", F.count("name").over(order.rowsBetween(Window.unboundedPreceding, 0)))
+        ends = ends.withColumn("sum", F.sum("len").over(Window.partitionBy("path", "nth").orderBy("split").rowsBetween(Window.unboundedPreceding, 0)))
+        before = order.rowsBetween(Window.unboundedPreceding, -1)
+        # a file's first split has nothing before it; a file of one split has no row
+        began = F.broadcast(ends.select("path", "split", F.last("name", ignorenulls=True).over(before).alias("began"), F.lag("sum").over(order).alias("ahead")).filter("split > 0"))
+        named = lambda df: df.join(began, ["path", "split"], "left").withColumn("chrom", F.when(F.col("record") > 0, F.col("name")).otherwise(F.col("began")))
         # both passes must cut files alike; if they ever don't, a line without its split is an error, not a lost line
-        start = F.when(F.col("ahead").isNull(), F.raise_error(F.lit("files were split otherwise in the second pass")).cast("long")).otherwise(F.col("ahead") + F.col("start"))
-        self.pieces = found.select("chrom", start.alias("start"), "seq").filter("chrom IS NOT NULL")
-        once = F.when(F.count("*").over(Window.partitionBy("chrom")) > 1, F.raise_error(F.concat(F.lit("two records are named "), "chrom")).cast("long")).otherwise(F.col("len"))
-        self.records = parts.filter("chrom IS NOT NULL").groupBy("path", "nth", "chrom").agg(F.sum("len").alias("len")).select("chrom", once.alias("len"))
+        lost = (F.col("split") > 0) & F.col("ahead").isNull()
+        start = F.col("start") + F.when(lost, F.raise_error(F.lit("files were split otherwise in the second pass")).cast("long")).when(F.col("record") > 0, 0).otherwise(F.coalesce("ahead", F.lit(0)))
+        self.pieces = named(local.filter("seq <> ''")).select(F.when(lost, "").otherwise(F.col("chrom")).alias("chrom"), start.alias("start"), "seq").filter("chrom IS NOT NULL")
+        whole = named(parts).filter("chrom IS NOT NULL").groupBy("chrom").agg(F.sum("len").alias("len"), F.count_if(F.col("record") > 0).alias("heads"))
+        once = F.when(F.col("heads") > 1, F.raise_error(F.concat(F.lit("two records are named "), "chrom")).cast("long")).otherwise(F.col("len"))
+        self.records = whole.select("chrom", once.alias("len"))
 
 
 def chrom_sizes(sequences: DataFrame) -> DataFrame:

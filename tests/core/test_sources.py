@@ -68,6 +68,7 @@ def test_fasta_by_lines(spark, tmp_path, size):
     with small_splits(spark, size), conf(spark, spark__sql__execution__arrow__maxRecordsPerBatch="17"):
         found = readers.Fasta(spark, str(tmp_path / "fa"))
         assert {r.chrom: r.len for r in found.records.collect()} == {c: len(s) for c, s in seqs.items()}
+        assert "SortMergeJoin" not in found.pieces._jdf.queryExecution().executedPlan().toString()  # lines aren't dealt
         pieces = found.pieces.collect()
         for c, s in seqs.items():
             assert "".join(p.seq for p in sorted((p for p in pieces if p.chrom == c), key=lambda p: p.start)) == s
