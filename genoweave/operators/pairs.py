@@ -13,6 +13,8 @@ from pyspark.sql import functions as F
 from genoweave.functions.names import log_weight
 from genoweave.operators.intervals import tiles
 
+#: Shares of a window's tracks of one weight that are dealt apart.
+SHARES = 64
 MIN_P, MIN_TRACKS, THRESHOLD, MAX_PAIRS, DISQUALIFY, SEPARATION, SEED = 1e-4, 2, 0.5, 64, 4096, 1_000_000, 0
 
 
@@ -40,16 +42,36 @@ def profiles(ids: DataFrame, runs: DataFrame, *, track: str = "feature", tile: i
     return left.join(right, ["chrom", "tile"]).filter("_re > _s AND _rs < _e").select("window_id", "track").distinct()
 
 
-def idf_weights(profile: DataFrame, ids: DataFrame, tracks: DataFrame, min_p: float = MIN_P) -> DataFrame:
-    """(track, p, weight) from training windows; a track that none has gets the largest weight."""
+def idf_weights(profile: DataFrame, ids: DataFrame, tracks: DataFrame | None = None, min_p: float = MIN_P) -> DataFrame:
+    """(track, p, weight) from training windows; of ``tracks``, one that none has gets the largest weight.
+
+    Without ``tracks`` only those that a training window has get one. That is all that pairs need, and costs no scan of all runs for their names.
+    """
     train = ids.filter("split = 'train'")
     hits = profile.join(train.select("window_id"), "window_id", "left_semi").groupBy("track").agg(F.count("*").alias("_n"))
     total = train.agg(F.count("*").alias("_all"))
-    df = tracks.join(hits, "track", "left").crossJoin(F.broadcast(total))  # one row
+    df = (hits if tracks is None else tracks.join(hits, "track", "left")).crossJoin(F.broadcast(total))  # one row
     share = F.when(F.col("_all") > 0, F.coalesce("_n", F.lit(0)) / F.col("_all")).otherwise(0.0)
     return df.select("track", share.alias("p"), log_weight(share, min_p).alias("weight"))
 
 
+def _ranked(held: DataFrame, shares: int = SHARES) -> DataFrame:
+    """Adds to rows (window_id, track, weight, ...) their window's rows ``_n`` and weight ``size``, and the weight ``_ahead`` of the tracks before.
+
+    Tracks are ordered by falling weight, then by a share that their hash gives, then by name. Within tracks of one weight and share a row's
+    number says what lies ahead, to which come the sums of whole shares, a row each; so no task sorts or holds all tracks of a window.
+    """
+    at = ["window_id", "weight", "_share"]
+    held = held.withColumn("_share", F.pmod(F.hash("track"), F.lit(shares)))
+    per = Window.partitionBy("window_id")
+    sums = held.groupBy(*at).agg(F.count("*").alias("_rows"))
+    whole = F.col("_rows") * F.col("weight")
+    before = F.sum(whole).over(per.orderBy(F.desc("weight"), "_share").rowsBetween(Window.unboundedPreceding, -1))
+    sums = sums.select(*at, F.sum("_rows").over(per).alias("_n"), F.sum(whole).over(per).alias("size"), F.coalesce(before, F.lit(0.0)).alias("_at"))
+    nth = F.row_number().over(Window.partitionBy(*at).orderBy("track")) - 1
+    return held.withColumn("_nth", nth).join(sums, at).withColumn("_ahead", F.col("_at") + F.col("_nth") * F.col("weight")).drop("_share", "_nth", "_at")
+
+
 def similar_pairs(
     profile: DataFrame, ids: DataFrame, weights: DataFrame, *, threshold: float = THRESHOLD, max_pairs: int = MAX_PAIRS, min_tracks: int = MIN_TRACKS, disqualify_above: int = DISQUALIFY, min_separation: int = SEPARATION, seed: int = SEED
 ) -> DataFrame:
@@ -61,10 +83,7 @@ def similar_pairs(
     """
     train = ids.filter("split = 'train'").select("window_id", "chrom", "start")
     held = profile.join(train, "window_id").join(weights.select("track", "weight"), "track")
-    per = Window.partitionBy("window_id")
-    ahead = F.coalesce(F.sum("weight").over(per.orderBy(F.desc("weight"), "track").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0.0))
-    held = held.withColumns({"_n": F.count("*").over(per), "size": F.sum("weight").over(per), "_ahead": ahead})
-    held = held.filter((F.col("_n") >= min_tracks) & (F.col("size") > 0) & (F.col("weight") > 0))
+    held = _ranked(held).filter((F.col("_n") >= min_tracks) & (F.col("size") > 0) & (F.col("weight") > 0))
     # what weighs from here on reaches the threshold; a hair less, for sums that differ in the last bit
     keys = held.filter(F.col("size") - F.col("_ahead") >= F.col("size") * threshold * (1 - 1e-9)).select("window_id", "chrom", "start", "size", "track")
     side = lambda df, x: df.select(*[F.col(c).alias(f"{x}_{c}" if c != "track" else c) for c in df.columns])

@@ -345,10 +345,9 @@ JACCARD = (
 )
 
 
-def _pairs(t: Tables, profile: tuple[DataFrame, DataFrame] | None = None) -> DataFrame:
+def _pairs(t: Tables, profile: tuple[DataFrame, DataFrame] | None = None, **more: int) -> DataFrame:
     p, ids = profile or _profile(t)
-    weights = pairs.idf_weights(p, ids, t.mapped().select(F.col("srx").alias("track")).distinct())
-    return pairs.similar_pairs(p, ids, weights, threshold=0.12, max_pairs=8, min_separation=20000)
+    return pairs.similar_pairs(p, ids, pairs.idf_weights(p, ids), threshold=0.12, max_pairs=8, min_separation=20000, **more)
 
 
 @query("SELECT src, dst, score, rank FROM top WHERE rank <= 8", *MAPPED, *ALL_WINDOWS[1:], IDS, PROFILE, WEIGHTS, *JACCARD)

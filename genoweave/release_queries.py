@@ -55,9 +55,7 @@ FEW = "few := SELECT * FROM (SELECT *, count(*) OVER (PARTITION BY src) AS n FRO
 @query("SELECT src, dst, score, rank FROM few WHERE rank <= 8", *MAPPED, *ALL_WINDOWS[1:], IDS, PROFILE, WEIGHTS, *JACCARD, FEW)
 def pairs_without_generic(t: Tables) -> DataFrame:
     """Windows with more than thirty partners are too generic to be a source, but stay partners of others."""
-    p, ids = _profile(t)
-    weights = pairs.idf_weights(p, ids, t.mapped().select(F.col("srx").alias("track")).distinct())
-    return pairs.similar_pairs(p, ids, weights, threshold=0.12, max_pairs=8, min_separation=20000, disqualify_above=30)
+    return _pairs(t, disqualify_above=30)
 
 
 @query("SELECT src, dst, score, rank FROM top WHERE rank <= 8", *MAPPED, *ALL_WINDOWS[1:], IDS, PROFILE, WEIGHTS, *JACCARD)

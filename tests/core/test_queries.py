@@ -54,3 +54,9 @@ def test_runs_meet_stored_windows_where_they_lie(spark):
     t = Tables(spark, SF)
     plan = pairs.profiles(queries._profile(t)[1], t.mapped(), track="srx")._jdf.queryExecution().executedPlan().toString()
     assert "SortMergeJoin" not in plan and plan.count("Exchange hashpartitioning") == 1
+
+
+@pytest.mark.parametrize("name", ["jaccard_pairs_topk", "pairs_csr", "pairs_indptr", "pairs_without_generic"])
+def test_pairs_read_peaks_for_profiles_alone(spark, name):
+    """Weights come from the stored profiles; no second scan of all peaks makes a table of all their tracks."""
+    assert "lineitem" not in queries.QUERIES[name](spark, SF)._jdf.queryExecution().executedPlan().toString()
