@@ -78,7 +78,8 @@ def _omics(t: Tables) -> DataFrame:
 
 def _profile(t: Tables) -> tuple[DataFrame, DataFrame]:
     ids = stored(pairs.window_ids(_labelled(t)), "window-ids")  # a release stores both
-    return checkpointed(pairs.profiles(ids, t.mapped(), track="srx")), ids
+    known = t.experiments().select(F.col("srx").alias("track"))  # dealt with the pairs, as a broadcast table of all accessions grows in each task
+    return checkpointed(pairs.profiles(ids, t.peaks(), track="srx").join(known.hint("merge"), "track", "left_semi").select("window_id", "track")), ids
 
 
 @query(fx.max_runs_sql("mapped", "antigen, chrom").replace("WITH iv", ", iv", 1), *MAPPED)

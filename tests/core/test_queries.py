@@ -60,3 +60,12 @@ def test_runs_meet_stored_windows_where_they_lie(spark):
 def test_pairs_read_peaks_for_profiles_alone(spark, name):
     """Weights come from the stored profiles; no second scan of all peaks makes a table of all their tracks."""
     assert "lineitem" not in queries.QUERIES[name](spark, SF)._jdf.queryExecution().executedPlan().toString()
+
+
+def test_profiles_broadcast_no_accessions(spark, monkeypatch):
+    """Pairs meet the accessions by a join that deals both; only windows are broadcast."""
+    kept = []
+    monkeypatch.setattr(queries, "checkpointed", lambda df: kept.append(df) or df)
+    queries._profile(Tables(spark, SF))
+    plan = kept[-1]._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("BroadcastHashJoin") == 1 and plan.count("SortMergeJoin") == 1
